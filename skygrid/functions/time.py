@@ -13,9 +13,7 @@ MODIS_WITH_TIME = r"(?:MOD|MYD|MCD)\w*\.A(\d{7})\.(\d{4})\."
 MODIS_DATE_ONLY = r"(?:MOD|MYD|MCD)\w*\.A(\d{7})\."
 GEMS_STAMP = r"_(\d{8})_(\d{4})_"
 EIGHT_DIGITS = r"(\d{8})"
-DATE_AND_TIME = r"(\d{8}_\d{6})"
 ISO_DATE = r"(\d{4}-\d{2}-\d{2})"
-ISO_DATE_TIME = r"(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2})"
 SLICE_DATE = r"(20\d{6})"
 L3_DATE = r"-(\d{8})-\d{8}\.nc$"
 
@@ -40,19 +38,21 @@ def gems_time(name: Column) -> Column:
 
 
 def granule_time(name: Column) -> Column:
-    """Observation start (UTC) read from a file name, by the first pattern that fits."""
+    """Observation start (UTC) read from a file name, by the first pattern that fits.
+
+    Stamps with a clock (``yyyymmdd_hhmmss``, ISO date-time) always contain the plain
+    date tried before them, so they need no step of their own.
+    """
     clock = F.regexp_extract(name, MODIS_WITH_TIME, 2)
-    with_time = _year_day(F.regexp_extract(name, MODIS_WITH_TIME, 1)) + F.make_dt_interval(
-        hours=F.substring(clock, 1, 2).try_cast("int"), mins=F.substring(clock, 3, 2).try_cast("int"))
+    minutes = F.substring(clock, 1, 2).try_cast("int") * 60 + F.substring(clock, 3, 2).try_cast("int")
+    modis = (_year_day(F.regexp_extract(name, MODIS_DATE_ONLY, 1))
+             + F.make_dt_interval(mins=F.coalesce(minutes, F.lit(0))))
     return F.coalesce(
         _parse(F.regexp_extract(name, SENTINEL_START, 1), "yyyyMMdd'T'HHmmss"),
-        with_time,
-        _year_day(F.regexp_extract(name, MODIS_DATE_ONLY, 1)),
+        modis,
         gems_time(name),
         _parse(F.regexp_extract(name, EIGHT_DIGITS, 1), "yyyyMMdd"),
-        _parse(F.regexp_extract(name, DATE_AND_TIME, 1), "yyyyMMdd_HHmmss"),
         _parse(F.regexp_extract(name, ISO_DATE, 1), "yyyy-MM-dd"),
-        _parse(F.regexp_extract(name, ISO_DATE_TIME, 1), "yyyy-MM-dd'T'HH:mm:ss"),
     )
 
 

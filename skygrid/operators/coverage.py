@@ -20,7 +20,7 @@ def coverage_total(grid: GridSpec, region, weight: str = "count", spark=None,
 
     For a box this is arithmetic on the two axes; for a zone a scalar subquery over its mask.
     """
-    bounds = box_of(region)
+    bounds = box_of(region, vertices)
     if bounds is None:
         cells = region_cells(grid, region, spark, vertices)
         return cells.agg(F.coalesce(F.sum(cell_weight(F.col("lat"), weight)), F.lit(0.0))).scalar()

@@ -11,10 +11,15 @@ from skygrid.plans.dimension import hint_if_bounded
 from skygrid.plans.grid import GridSpec
 
 
-def box_of(region) -> tuple[float, float, float, float] | None:
-    """Bounds of a named box or of a tuple; None for a zone; anything else is an error."""
+def box_of(region, vertices: DataFrame | None = None) -> tuple[float, float, float, float] | None:
+    """Bounds of a named box or of a tuple; None for a zone; anything else is an error.
+
+    With outlines at hand, any zone name they hold may be asked for.
+    """
     if isinstance(region, tuple):
         return region
+    if vertices is not None:
+        return None
     if region in REGIONS:
         return REGIONS[region]
     if region in AIR_QUALITY_ZONES:
@@ -38,7 +43,7 @@ def zone_mask(vertices: DataFrame, grid: GridSpec) -> DataFrame:
     rows = (edges.withColumns({
         "_a": F.greatest(F.ceil((low - first_lat) / grid.lat_step - 1e-6), F.lit(0).cast("long")),
         "_b": F.least(F.floor((high - first_lat) / grid.lat_step + 1e-6), F.lit(grid.nlat - 1).cast("long"))})
-        .where(F.col("_a") <= F.col("_b")).withColumn("i", F.explode(F.sequence("_a", "_b")).cast("int")))
+        .where(F.col("_a") <= F.col("_b")).withColumn("i", F.explode(F.sequence(F.col("_a").cast("int"), F.col("_b").cast("int")))))
     y = grid.lat_of(F.col("i"))
     # Half-open in latitude: a vertex on a row belongs to one of its two edges only.
     crossing = rows.where((y >= low) & (y < high)).select(
@@ -50,14 +55,14 @@ def zone_mask(vertices: DataFrame, grid: GridSpec) -> DataFrame:
     cells = (spans.withColumns({
         "_a": F.greatest(F.ceil((F.col("x") - first_lon) / grid.lon_step - 1e-6), F.lit(0).cast("long")),
         "_b": F.least(F.floor((F.col("x2") - first_lon) / grid.lon_step + 1e-6), F.lit(grid.nlon - 1).cast("long"))})
-        .where(F.col("_a") <= F.col("_b")).withColumn("j", F.explode(F.sequence("_a", "_b")).cast("int")))
+        .where(F.col("_a") <= F.col("_b")).withColumn("j", F.explode(F.sequence(F.col("_a").cast("int"), F.col("_b").cast("int")))))
     lon = grid.lon_of(F.col("j"))
     return cells.where((lon >= F.col("x")) & (lon < F.col("x2"))).select("zone", "i", "j").distinct()
 
 
 def region_cells(grid: GridSpec, region, spark, vertices: DataFrame | None = None) -> DataFrame:
     """Cells of one region with coordinates; zones need the county outlines."""
-    bounds = box_of(region)
+    bounds = box_of(region, vertices)
     if bounds is not None:
         return grid.cells(spark).where(in_box(F.col("lat"), F.col("lon"), bounds))
     if vertices is None:
@@ -68,7 +73,7 @@ def region_cells(grid: GridSpec, region, spark, vertices: DataFrame | None = Non
 
 def restrict_to_region(cube: DataFrame, grid: GridSpec, region, vertices: DataFrame | None = None) -> DataFrame:
     """Cube rows inside a region: a pushed-down predicate for a box, a semi-join for a zone."""
-    bounds = box_of(region)
+    bounds = box_of(region, vertices)
     if bounds is not None:
         return cube.where(in_box(grid.lat_of(F.col("i")), grid.lon_of(F.col("j")), bounds))
     mask = region_cells(grid, region, cube.sparkSession, vertices).select("i", "j")

@@ -102,8 +102,8 @@ select concat('/data/', lower(l_returnflag), '/', cast(l_orderkey as string), '_
 from {lineitem}"""),
     "v_place": ("supplier", """
 select s_suppkey as place_id, s_name as name,
-       cast(21.5 as double) + cast(0.001 as double) * (s_suppkey * 37 % 4000) as lat,
-       cast(119.5 as double) + cast(0.001 as double) * (s_suppkey * 53 % 2500) as lon,
+       cast(21.5003 as double) + cast(0.001 as double) * (s_suppkey * 37 % 4000) as lat,
+       cast(119.5003 as double) + cast(0.001 as double) * (s_suppkey * 53 % 2500) as lon,
        case when s_nationkey % 3 = 0 then 'power' else 'environment' end as owner,
        case when s_acctbal < 0 then 'background' else 'general' end as site_type,
        cast(s_nationkey as int) as county_no
