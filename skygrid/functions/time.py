@@ -20,51 +20,68 @@ L3_DATE = r"-(\d{8})-\d{8}\.nc$"
 EPOCH = datetime(1970, 1, 1)
 
 
+def _first(name: Column, *choices: tuple[str, Column]) -> Column:
+    """Value of the first pattern found in ``name``, null if none is.
+
+    The test comes before the parse, so names of another kind cost one failed match
+    and no failed parse.
+    """
+    chain = None
+    for pattern, value in choices:
+        found = F.rlike(name, F.lit(pattern))
+        chain = F.when(found, value) if chain is None else chain.when(found, value)
+    return chain
+
+
 def _parse(text: Column, fmt: str) -> Column:
-    """Timestamp of a matched text, null where nothing matched or the date does not exist."""
+    """Timestamp of a matched text, null where the date does not exist."""
     return F.try_to_timestamp(text, F.lit(fmt))
 
 
 def _year_day(text: Column) -> Column:
     """Midnight of ``yyyyddd``; a day number past the year's end rolls over."""
-    year, day = F.substring(text, 1, 4).try_cast("int"), F.substring(text, 5, 3).try_cast("int")
+    year, day = F.substring(text, 1, 4).cast("int"), F.substring(text, 5, 3).cast("int")
     return F.date_add(F.make_date(year, F.lit(1), F.lit(1)), day - 1).cast("timestamp")
 
 
-def gems_time(name: Column) -> Column:
-    """Stamp between underscores, ``_yyyymmdd_hhmm_``."""
+def _gems(name: Column) -> Column:
     stamp = F.concat(F.regexp_extract(name, GEMS_STAMP, 1), F.regexp_extract(name, GEMS_STAMP, 2))
     return _parse(stamp, "yyyyMMddHHmm")
 
 
+def gems_time(name: Column) -> Column:
+    """Stamp between underscores, ``_yyyymmdd_hhmm_``."""
+    return _first(name, (GEMS_STAMP, _gems(name)))
+
+
 def granule_time(name: Column) -> Column:
     """Observation start (UTC) read from a file name, by the first pattern that fits.
 
     Stamps with a clock (``yyyymmdd_hhmmss``, ISO date-time) always contain the plain
     date tried before them, so they need no step of their own.
     """
+    day = _year_day(F.regexp_extract(name, MODIS_DATE_ONLY, 1))
     clock = F.regexp_extract(name, MODIS_WITH_TIME, 2)
-    minutes = F.substring(clock, 1, 2).try_cast("int") * 60 + F.substring(clock, 3, 2).try_cast("int")
-    modis = (_year_day(F.regexp_extract(name, MODIS_DATE_ONLY, 1))
-             + F.make_dt_interval(mins=F.coalesce(minutes, F.lit(0))))
-    return F.coalesce(
-        _parse(F.regexp_extract(name, SENTINEL_START, 1), "yyyyMMdd'T'HHmmss"),
-        modis,
-        gems_time(name),
-        _parse(F.regexp_extract(name, EIGHT_DIGITS, 1), "yyyyMMdd"),
-        _parse(F.regexp_extract(name, ISO_DATE, 1), "yyyy-MM-dd"),
+    minutes = F.substring(clock, 1, 2).cast("int") * 60 + F.substring(clock, 3, 2).cast("int")
+    return _first(
+        name,
+        (SENTINEL_START, _parse(F.regexp_extract(name, SENTINEL_START, 1), "yyyyMMdd'T'HHmmss")),
+        (MODIS_WITH_TIME, day + F.make_dt_interval(mins=minutes)),
+        (MODIS_DATE_ONLY, day),
+        (GEMS_STAMP, _gems(name)),
+        (EIGHT_DIGITS, _parse(F.regexp_extract(name, EIGHT_DIGITS, 1), "yyyyMMdd")),
+        (ISO_DATE, _parse(F.regexp_extract(name, ISO_DATE, 1), "yyyy-MM-dd")),
     )
 
 
 def slice_date(name: Column) -> Column:
     """Date of a processed slice: eight digits that start with 20."""
-    return _parse(F.regexp_extract(name, SLICE_DATE, 1), "yyyyMMdd").cast("date")
+    return _first(name, (SLICE_DATE, _parse(F.regexp_extract(name, SLICE_DATE, 1), "yyyyMMdd").cast("date")))
 
 
 def l3_date(name: Column) -> Column:
     """Data date of a ready-made grid: the first of the two trailing dates, else any eight digits."""
-    trailing = F.nullif(F.regexp_extract(name, L3_DATE, 1), F.lit(""))
-    return _parse(F.coalesce(trailing, F.regexp_extract(name, EIGHT_DIGITS, 1)), "yyyyMMdd").cast("date")
+    return _first(name, *[(p, _parse(F.regexp_extract(name, p, 1), "yyyyMMdd").cast("date")) for p in (L3_DATE, EIGHT_DIGITS)])
 
 
 def to_local(ts: Column, tz: str = "Asia/Taipei") -> Column:

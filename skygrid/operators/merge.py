@@ -23,7 +23,8 @@ def assign_time(df: DataFrame, name: str = "name", time: str = "time") -> DataFr
 def discover_l3(files: DataFrame, start, end, name: str = "name") -> DataFrame:
     """Files whose name date lies in [start, end]; undated ones are kept."""
     dated = l3_date(F.col(name))
-    return files.where(dated.isNull() | dated.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    inside = dated.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    return files.where(F.coalesce(inside, F.lit(True)))
 
 
 def merge_cubes(cubes: Sequence[DataFrame], start, end, *, hub: str, product: str, level: str = "L2",
@@ -47,7 +48,7 @@ def merge_cubes(cubes: Sequence[DataFrame], start, end, *, hub: str, product: st
 
 def merge_by_name_time(cube: DataFrame, start, end, name: str = "name") -> DataFrame:
     """Files picked by the stamp in their names, values narrowed to float for the sink."""
-    stamped = cube.withColumn("time", gems_time(F.col(name))).where(F.col("time").isNotNull())
+    stamped = cube.withColumn("time", gems_time(F.col(name)))
     return stamped.where(in_date_range(F.col("time"), start, end)).withColumn("value", F.col("value").cast("float"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from skygrid.functions.geo import finite
 from skygrid.operators.qc import drop_zero_fill
 from skygrid.plans.grid import GridSpec
-from skygrid.plans.neighbours import (candidate_cells, gather, nearest_per_cell, offsets_array, window_cells)
+from skygrid.plans.neighbours import by_block, candidate_cells, gather, nearest_per_cell, offsets_array, window_cells
 
 CELL = ("granule_id", "i", "j")
 
@@ -32,15 +32,22 @@ def swath_extent(pixels: DataFrame) -> DataFrame:
                                             (F.max("col_idx") + 1).alias("n_cols"))
 
 
-def _corner_weight(k: Column, s: Column, n: Column) -> Column:
-    """Weight of centre ``s`` in corner ``k`` of an axis with ``n`` centres.
+# Weight of a centre in the corners of an axis, by the distance from the centre to the
+# place that asks. Inside, a corner is the mean of its two neighbours; at both ends it is
+# the linear continuation of the two corners before it.
+# corner index - centre index: (inside, first corner, last corner)
+CORNER_WEIGHTS = {-2: (0.0, -0.5, 0.0), -1: (0.0, 0.5, 0.0), 0: (0.5, 1.0, 0.0),
+                  1: (0.5, 0.0, 1.0), 2: (0.0, 0.0, 0.5), 3: (0.0, 0.0, -0.5)}
+# pixel index - centre index: lower corner (inside, first pixel), upper corner (inside, last pixel)
+PIXEL_WEIGHTS = {-2: (0.0, -0.5, 0.0, 0.0), -1: (0.0, 0.5, 0.5, 0.5), 0: (0.5, 1.0, 0.5, 1.0),
+                 1: (0.5, 0.5, 0.0, 0.5), 2: (0.0, 0.0, 0.0, -0.5)}
 
-    Inside, a corner is the mean of its two neighbours; at both ends it is the
-    linear continuation of the two corners before it.
-    """
-    return (F.when(k == 0, F.when(s == 0, 1.0).when(s == 1, 0.5).when(s == 2, -0.5).otherwise(0.0))
-            .when(k == n, F.when(s == n - 1, 1.0).when(s == n - 2, 0.5).when(s == n - 3, -0.5).otherwise(0.0))
-            .when((s == k) | (s == k - 1), 0.5).otherwise(0.0))
+
+def _weighted_offsets(weights: dict[int, tuple]) -> Column:
+    """All pairs of a row and a column offset with their weights, as one literal array."""
+    def entry(d: int, name: str) -> list[Column]:
+        return [F.lit(d).alias(f"d{name}"), *[F.lit(w).alias(f"{name}{k}") for k, w in enumerate(weights[d])]]
+    return F.array(*[F.struct(*entry(a, "r"), *entry(b, "c")) for a in weights for b in weights])
 
 
 def corners_from_centers(pixels: DataFrame) -> DataFrame:
@@ -49,20 +56,21 @@ def corners_from_centers(pixels: DataFrame) -> DataFrame:
     The rule is separable, so each pixel adds its weighted position to the corners
     it touches and one hash aggregation adds them up; needs 3 rows and 3 columns.
     """
-    around = [(a, b) for a in range(-2, 4) for b in range(-2, 4)]
-    sent = (pixels.select("granule_id", "row_idx", "col_idx", "lat", "lon")
-            .join(swath_extent(pixels), "granule_id")
-            .withColumn("_o", F.explode(offsets_array(around)))
-            .withColumns({"k": F.col("row_idx") + F.col("_o.dr"), "l": F.col("col_idx") + F.col("_o.dc")})
-            .where(F.col("k").between(0, F.col("n_rows")) & F.col("l").between(0, F.col("n_cols")))
-            .withColumn("w", _corner_weight(F.col("k"), F.col("row_idx"), F.col("n_rows"))
-                        * _corner_weight(F.col("l"), F.col("col_idx"), F.col("n_cols")))
-            .where(F.col("w") != 0))
+    places = by_block(pixels.select("granule_id", "row_idx", "col_idx", "lat", "lon"), ["granule_id"], "row_idx", "col_idx")
+
+    def weight(k: str, n: str, name: str) -> Column:
+        return (F.when(F.col(k) == 0, F.col(f"_o.{name}1")).when(F.col(k) == F.col(n), F.col(f"_o.{name}2"))
+                .otherwise(F.col(f"_o.{name}0")))
 
     def sources(k: str, n: str) -> Column:
         return F.when((F.col(k) == 0) | (F.col(k) == F.col(n)), 3).otherwise(2)
 
-    summed = sent.groupBy("granule_id", "n_rows", "n_cols", "k", "l").agg(
+    sent = (places.join(swath_extent(pixels), "granule_id")
+            .withColumn("_o", F.explode(_weighted_offsets(CORNER_WEIGHTS)))
+            .withColumns({"k": F.col("row_idx") + F.col("_o.dr"), "l": F.col("col_idx") + F.col("_o.dc")})
+            .where(F.col("k").between(0, F.col("n_rows")) & F.col("l").between(0, F.col("n_cols")))
+            .withColumn("w", weight("k", "n_rows", "r") * weight("l", "n_cols", "c")))
+    summed = sent.where(F.col("w") != 0).groupBy("granule_id", "n_rows", "n_cols", "k", "l").agg(
         F.count(F.col("lat") + F.col("lon")).alias("n"),
         F.sum(F.col("w") * F.col("lat")).alias("lat"), F.sum(F.col("w") * F.col("lon")).alias("lon"))
     complete = F.col("n") == sources("k", "n_rows") * sources("l", "n_cols")
@@ -73,27 +81,32 @@ def corners_from_centers(pixels: DataFrame) -> DataFrame:
 def pixel_footprints(pixels: DataFrame, carry=("value", "qa")) -> DataFrame:
     """Each pixel with its four corners ``a..d`` (a = upper row and left column, then around).
 
-    One exchange: a pixel is sent to the nine neighbours whose corners use it.
+    A pixel is sent to the nine neighbours whose corners use it.
     Pixels with an incomplete neighbourhood have no footprint and are left out.
     """
-    around = [(a, b) for a in range(-2, 3) for b in range(-2, 3)]
-    row, col = F.col("_r"), F.col("_c")
-    sent = (pixels.join(swath_extent(pixels), "granule_id")
-            .withColumn("_o", F.explode(offsets_array(around)))
-            .withColumns({"_r": F.col("row_idx") + F.col("_o.dr"), "_c": F.col("col_idx") + F.col("_o.dc")})
-            .where(row.between(0, F.col("n_rows") - 1) & col.between(0, F.col("n_cols") - 1))
+    places = by_block(pixels.select("granule_id", "row_idx", "col_idx", "pixel_id", "lat", "lon", *carry),
+                      ["granule_id"], "row_idx", "col_idx")
+    row, col, dr, dc = F.col("_r"), F.col("_c"), F.col("_o.dr"), F.col("_o.dc")
+    last_row, last_col = F.col("n_rows") - 1, F.col("n_cols") - 1
+
+    def used(place: Column, d: Column, last: Column) -> Column:
+        """Direct neighbours, and two steps away from the first and the last place."""
+        return place.between(0, last) & ((F.abs(d) <= 1) | (place == F.when(d < 0, 0).otherwise(last)))
+
+    sent = (places.join(swath_extent(pixels), "granule_id")
+            .withColumn("_o", F.explode(_weighted_offsets(PIXEL_WEIGHTS)))
+            .withColumns({"_r": F.col("row_idx") + dr, "_c": F.col("col_idx") + dc})
+            .where(used(row, dr, last_row) & used(col, dc, last_col))
             .withColumns({
-                "_up": _corner_weight(row, F.col("row_idx"), F.col("n_rows")),
-                "_dn": _corner_weight(row + 1, F.col("row_idx"), F.col("n_rows")),
-                "_lf": _corner_weight(col, F.col("col_idx"), F.col("n_cols")),
-                "_rt": _corner_weight(col + 1, F.col("col_idx"), F.col("n_cols")),
-            })
-            .where(((F.col("_up") != 0) | (F.col("_dn") != 0)) & ((F.col("_lf") != 0) | (F.col("_rt") != 0))))
-    own = (F.col("_r") == F.col("row_idx")) & (F.col("_c") == F.col("col_idx"))
+                "_up": F.when(row == 0, F.col("_o.r1")).otherwise(F.col("_o.r0")),
+                "_dn": F.when(row == last_row, F.col("_o.r3")).otherwise(F.col("_o.r2")),
+                "_lf": F.when(col == 0, F.col("_o.c1")).otherwise(F.col("_o.c0")),
+                "_rt": F.when(col == last_col, F.col("_o.c3")).otherwise(F.col("_o.c2")),
+                "_own": (dr == 0) & (dc == 0)}))
     corners = {"a": ("_up", "_lf"), "b": ("_dn", "_lf"), "c": ("_dn", "_rt"), "d": ("_up", "_rt")}
     sums = [F.sum(F.col(v) * F.col(h) * F.col(x)).alias(f"{name}_{x}")
             for name, (v, h) in corners.items() for x in ("lat", "lon")]
-    kept = [F.max(F.when(own, F.col(c))).alias(c) for c in ("pixel_id", "lat", "lon", *carry)]
+    kept = [F.max(F.when(F.col("_own"), F.col(c))).alias(c) for c in ("pixel_id", "lat", "lon", *carry)]
     return (sent.groupBy("granule_id", F.col("_r").alias("row_idx"), F.col("_c").alias("col_idx"))
             .agg(*kept, F.count(F.col("lat") + F.col("lon")).alias("_n"), *sums)
             .where((F.col("_n") == 9) & F.col("pixel_id").isNotNull()).drop("_n"))
@@ -109,19 +122,23 @@ def supersample_regrid(pixels: DataFrame, grid: GridSpec, k: int = 4, qa_thresho
     feet = pixel_footprints(pixels).where(
         (F.col("qa") >= qa_threshold) & finite(F.col("value")).isNotNull()
         & grid.contains(F.col("lat"), F.col("lon")))
+    # Bilinear blend of the corners as a polynomial in (s, t); its coefficients are per pixel.
+    terms = {f"_{x}{n}": e for x in ("lat", "lon") for n, e in enumerate((
+        F.col(f"a_{x}"), F.col(f"b_{x}") - F.col(f"a_{x}"), F.col(f"d_{x}") - F.col(f"a_{x}"),
+        F.col(f"a_{x}") - F.col(f"b_{x}") + F.col(f"c_{x}") - F.col(f"d_{x}")))}
     steps = [(n + 0.5) / k for n in range(k)]
-    points = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(t).alias("t")) for s in steps for t in steps])
-    s, t = F.col("_p.s"), F.col("_p.t")
-
-    def blend(axis: str) -> Column:
-        return ((1 - s) * (1 - t) * F.col(f"a_{axis}") + s * (1 - t) * F.col(f"b_{axis}")
-                + s * t * F.col(f"c_{axis}") + (1 - s) * t * F.col(f"d_{axis}"))
-
-    spread = (feet.withColumn("_p", F.explode(points))
-              .select("granule_id", grid.row_index(blend("lat")).alias("i"), grid.col_index(blend("lon")).alias("j"),
-                      (F.col("qa") / (k * k)).alias("w"), "value")
-              .where(F.col("i").isNotNull() & F.col("j").isNotNull()))
-    return spread.groupBy(*CELL).agg(
+    points = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(t).alias("t"), F.lit(s * t).alias("st"))
+                       for s in steps for t in steps])
+
+    def blend(x: str) -> Column:
+        return (F.col(f"_{x}0") + F.col("_p.s") * F.col(f"_{x}1") + F.col("_p.t") * F.col(f"_{x}2")
+                + F.col("_p.st") * F.col(f"_{x}3"))
+
+    spread = (feet.select("granule_id", (F.col("qa") / (k * k)).alias("w"), "value", *[e.alias(n) for n, e in terms.items()])
+              .withColumn("_p", F.explode(points))
+              .select("granule_id", "w", "value", blend("lat").alias("_y"), blend("lon").alias("_x")))
+    binned = grid.with_cell(spread, "_y", "_x")
+    return binned.groupBy(*CELL).agg(
         F.try_divide(F.sum(F.col("w") * F.col("value")), F.sum("w")).alias("value"),
         F.count("*").cast("double").alias("count"))
 
@@ -219,25 +236,25 @@ def coarse_granules(pixels: DataFrame, grid: GridSpec, max_distance: float = 0.1
     A granule with a single pixel takes ``max_distance`` as its spacing.
     """
     limit = 1.5 * min(grid.lat_step, grid.lon_step)
-    side = limit / 2 ** 0.5
-    reach = 2 * limit
-    span = int(reach // side) + 1
-    ok = valid_pixels(pixels).select("granule_id", "pixel_id", "lat", "lon").withColumns(
-        {"_y": F.floor(F.col("lat") / side), "_x": F.floor(F.col("lon") / side)})
-    buckets = ok.groupBy("granule_id", "_y", "_x").agg(
-        F.count("*").alias("n"), *[F.min(c).alias(c) for c in ("pixel_id", "lat", "lon")])
-    lonely = buckets.where(F.col("n") == 1).select(
-        "granule_id", F.col("pixel_id").alias("own_id"), F.col("lat").alias("own_lat"), F.col("lon").alias("own_lon"),
-        "_y", "_x")
-    around = [(a, b) for a in range(-span, span + 1) for b in range(-span, span + 1)]
+    side, reach = limit / 2 ** 0.5, 2 * limit
+    ok = valid_pixels(pixels).select("granule_id", "pixel_id", "lat", "lon")
+    buckets = (ok.groupBy("granule_id", F.floor(F.col("lat") / side).alias("_y"), F.floor(F.col("lon") / side).alias("_x"))
+               .agg(F.count("*").alias("n"), *[F.min(c).alias(f"own_{c}") for c in ("pixel_id", "lat", "lon")]))
+    lonely = buckets.where(F.col("n") == 1)
+    # The search uses wider squares, so a lonely pixel looks into nine of them.
+    square = [F.floor(F.col(c) / reach) for c in ("lat", "lon")]
+    around = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
     probes = (lonely.withColumn("_o", F.explode(offsets_array(around)))
-              .withColumns({"_y": F.col("_y") + F.col("_o.dr"), "_x": F.col("_x") + F.col("_o.dc")}).drop("_o"))
-    met = (ok.join(probes, ["granule_id", "_y", "_x"]).where(F.col("pixel_id") != F.col("own_id"))
-           .groupBy("granule_id", "own_id")
-           .agg(F.min(F.hypot(F.col("lat") - F.col("own_lat"), F.col("lon") - F.col("own_lon"))).alias("d")))
+              .select("granule_id", "own_pixel_id", "own_lat", "own_lon",
+                      (F.floor(F.col("own_lat") / reach) + F.col("_o.dr")).alias("_y"),
+                      (F.floor(F.col("own_lon") / reach) + F.col("_o.dc")).alias("_x")))
+    met = (ok.withColumns({"_y": square[0], "_x": square[1]}).join(probes, ["granule_id", "_y", "_x"])
+           .where(F.col("pixel_id") != F.col("own_pixel_id")).groupBy("granule_id", "own_pixel_id")
+           .agg(F.min(F.hypot(F.col("lat") - F.col("own_lat"), F.col("lon") - F.col("own_lon"))).alias("d"))
+           .where(F.col("d") <= reach))
     # A lonely pixel with nothing in reach is farther than 2T from its neighbour.
     d = F.coalesce(F.col("d"), F.lit(float("inf")))
-    spaced = (lonely.select("granule_id", "own_id").join(met, ["granule_id", "own_id"], "left")
+    spaced = (lonely.select("granule_id", "own_pixel_id").join(met, ["granule_id", "own_pixel_id"], "left")
               .groupBy("granule_id").agg(F.count_if(d > limit).alias("far"),
                                          F.max(F.when(d <= limit, d)).alias("below"),
                                          F.min(F.when(d > limit, d)).alias("above")))

@@ -150,9 +150,20 @@ class GridSpec:
 
     def contains(self, lat: Column, lon: Column) -> Column:
         """Point within the outer edges of the grid."""
-        return (lat.between(self.lat_edge0, self.lat_edge0 + self.nlat * self.lat_step)
+        return (lat.between(float(self.lat_edge0), self.lat_edge0 + self.nlat * self.lat_step)
                 & lon.between(self.lon_edge0, self.lon_edge0 + self.nlon * self.lon_step))
 
+    def with_cell(self, df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
+        """Rows inside the grid with their cell ``i, j``.
+
+        The range test stands alone in front, so the index needs no null branches and
+        the generated code stays small enough to be compiled by the JVM.
+        """
+        inside = df.where(self.contains(F.col(lat), F.col(lon)))
+        return inside.withColumns({
+            "i": _bin_inside(F.col(lat), self.lat_edge0, self.lat_step, self.nlat),
+            "j": _bin_inside(F.col(lon), self.lon_edge0, self.lon_step, self.nlon)})
+
     # -- tables ---------------------------------------------------------------
     def cells(self, spark: SparkSession) -> DataFrame:
         """All cells, generated in parallel from one range: ``i, j, lat, lon``."""
@@ -162,19 +173,22 @@ class GridSpec:
             F.expr(f"cast(id % {max(self.nlon, 1)} as int)").alias("j")))
 
 
-def _bin_index(x: Column, edge0: float, step: float, n: int) -> Column:
-    """Left-closed bin of ``x``, last edge included, null outside.
+def _bin_inside(x: Column, edge0: float, step: float, n: int) -> Column:
+    """Left-closed bin of ``x`` known to lie between the outer edges, the last edge included.
 
     The quotient may be off by one in the last bit, so it is corrected against the
     edges themselves.
     """
     e0, st = F.lit(float(edge0)), F.lit(float(step))
-    guess = F.floor((x - e0) / st).cast("int")
-    fixed = (F.when(x < e0 + guess * st, guess - 1)
-             .when(x >= e0 + (guess + 1) * st, guess + 1)
-             .otherwise(guess))
-    return (F.when((x == e0 + F.lit(n) * st), F.lit(n - 1))
-            .when((x >= e0) & (x < e0 + F.lit(n) * st), fixed))
+    guess = F.floor((x - e0) / st)
+    over, under = x >= e0 + (guess + 1) * st, x < e0 + guess * st
+    return F.least(guess + over.cast("int") - under.cast("int"), F.lit(n - 1).cast("long")).cast("int")
+
+
+def _bin_index(x: Column, edge0: float, step: float, n: int) -> Column:
+    """``_bin_inside`` with null for points outside."""
+    e0, last = F.lit(float(edge0)), F.lit(float(edge0)) + F.lit(n) * F.lit(float(step))
+    return F.when(x.between(e0, last), _bin_inside(x, edge0, step, n))
 
 
 def _nearest_index(x: Column, centre, first: float, step: float, n: int) -> Column:

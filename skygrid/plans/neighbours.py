@@ -39,12 +39,14 @@ def window_cells(df: DataFrame, grid: GridSpec, lat_lo: Column, lat_hi: Column,
 
     boxed = df.withColumns({
         "_i": low(lat_lo, first_lat, grid.lat_step), "_j": low(lon_lo, first_lon, grid.lon_step),
-        "_ni": high(lat_hi, first_lat, grid.lat_step, grid.nlat),
-        "_nj": high(lon_hi, first_lon, grid.lon_step, grid.nlon),
-    }).withColumns({"_ni": F.col("_ni") - F.col("_i") + 1, "_nj": F.col("_nj") - F.col("_j") + 1})
-    hits = (boxed.where((F.col("_ni") > 0) & (F.col("_nj") > 0))
-            .withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_ni") * F.col("_nj") - 1))))
-    cells = hits.withColumns({
+        "_ni": high(lat_hi, first_lat, grid.lat_step, grid.nlat), "_nj": high(lon_hi, first_lon, grid.lon_step, grid.nlon),
+    }).withColumns({"_ni": F.greatest(F.col("_ni") - F.col("_i") + 1, F.lit(0)),
+                    "_nj": F.greatest(F.col("_nj") - F.col("_j") + 1, F.lit(0))})
+    # The outer form keeps Spark from adding a filter that builds the same array again;
+    # rows without a cell are dropped right after.
+    n = F.col("_ni") * F.col("_nj")
+    hits = boxed.withColumn("_k", F.explode_outer(F.when(n > 0, F.sequence(F.lit(0), n - 1))))
+    cells = hits.where(F.col("_k").isNotNull()).withColumns({
         "i": F.col("_i") + F.expr("cast(_k div _nj as int)"),
         "j": F.col("_j") + F.col("_k") % F.col("_nj"),
     }).drop("_i", "_j", "_ni", "_nj", "_k")
@@ -72,6 +74,19 @@ def nearest_per_cell(pairs: DataFrame, keys: Sequence[str], order: str, values:
     return picked.select(*keys, *[F.col(f"_p.{v}").alias(v) for v in values], F.col("_p.d").alias("d"))
 
 
+def by_block(df: DataFrame, group: Sequence[str], row: str, col: str, side: int = 32) -> DataFrame:
+    """Rows spread by blocks of ``side`` x ``side`` positions.
+
+    Neighbours then mostly meet in one task, whose partial aggregate merges what they
+    send each other: the next exchange carries little more than one row per position
+    instead of one per neighbour. A block is small whatever the size of its granule.
+    The partition count is the session's own, given explicitly: rows multiply right
+    after this exchange, so its small size must not make Spark merge its tasks.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *group, F.expr(f"{row} div {side}"), F.expr(f"{col} div {side}"))
+
+
 def gather(df: DataFrame, group: Sequence[str], row: str, col: str,
            offsets: Mapping[str, tuple[int, int]], values: Sequence[str]) -> DataFrame:
     """For every position, the ``values`` of the rows at the named offsets from it.
@@ -79,8 +94,9 @@ def gather(df: DataFrame, group: Sequence[str], row: str, col: str,
     Output columns are ``<name>_<value>``; a neighbour that does not exist gives null.
     """
     names = list(offsets)
-    sent = (df.select(*group, row, col, *values,
-                      F.explode(offsets_array([offsets[n] for n in names])).alias("_o"))
+    sent = (by_block(df.select(*group, row, col, *values), group, row, col)
+            .select(*group, row, col, *values,
+                    F.explode(offsets_array([offsets[n] for n in names])).alias("_o"))
             .withColumns({"_r": F.col(row) - F.col("_o.dr"), "_c": F.col(col) - F.col("_o.dc"),
                           "_pos": F.col("_o.pos")}))
     aggs = [F.max(F.when(F.col("_pos") == k, F.col(v))).alias(f"{name}_{v}")

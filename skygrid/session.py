@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -30,6 +29,7 @@ def local_session(cores: str | int = 8, app_name: str = "skygrid", memory: str =
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores))
     )
@@ -40,6 +40,9 @@ def local_session(cores: str | int = 8, app_name: str = "skygrid", memory: str =
     return spark
 
 
+_LOCAL_BASE: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder named by ``spark.checkpoint.dir``.
 
@@ -50,6 +53,6 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="skygrid-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+        app = spark.sparkContext.applicationId
+        base = _LOCAL_BASE.get(app) or _LOCAL_BASE.setdefault(app, tempfile.mkdtemp(prefix="skygrid-"))
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -58,15 +58,16 @@ def cube_layout(cube: DataFrame, *, hub: str, product: str, level: str = "L2", r
 
 
 def write_cube(cube: DataFrame, path: str, mode: str = "append") -> None:
-    """Partitioned Parquet. Rows are spread by partition and slice, so a large month
-    is written by many tasks and a small one makes few files."""
-    (cube.repartition(*CUBE_PARTITIONS, F.to_date("time"))
+    """Partitioned Parquet. Rows are rebalanced by output partition: small months share a
+    task and make one file each, a large month is split over several tasks."""
+    (cube.hint("rebalance", *[F.col(c) for c in CUBE_PARTITIONS])
      .write.mode(mode).partitionBy(*CUBE_PARTITIONS).parquet(path))
 
 
 def rebuild_partitions(cube: DataFrame, path: str, partitions: Sequence[str] = CUBE_PARTITIONS) -> None:
     """Replace exactly the partitions present in ``cube``; a repeated run gives the same files."""
-    (cube.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (cube.hint("rebalance", *[F.col(c) for c in partitions])
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partitions).parquet(path))
 
 
