@@ -7,8 +7,9 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# File-name patterns, tried in this order.
-SENTINEL_START = r"S5P_\w+_\w+__\w+_+(\d{8}T\d{6})_"
+# File-name patterns, tried in this order. The first one is greedy: of several
+# stamps in a name it takes the last that is followed by an underscore.
+SENTINEL_STAMP = r"S5P_\w+_\w+__\w+_+(\d{8}T\d{6})_"
 MODIS_WITH_TIME = r"(?:MOD|MYD|MCD)\w*\.A(\d{7})\.(\d{4})\."
 MODIS_DATE_ONLY = r"(?:MOD|MYD|MCD)\w*\.A(\d{7})\."
 GEMS_STAMP = r"_(\d{8})_(\d{4})_"
@@ -55,7 +56,7 @@ def gems_time(name: Column) -> Column:
 
 
 def granule_time(name: Column) -> Column:
-    """Observation start (UTC) read from a file name, by the first pattern that fits.
+    """Observation time (UTC) read from a file name, by the first pattern that fits.
 
     Stamps with a clock (``yyyymmdd_hhmmss``, ISO date-time) always contain the plain
     date tried before them, so they need no step of their own.
@@ -65,7 +66,7 @@ def granule_time(name: Column) -> Column:
     minutes = F.substring(clock, 1, 2).cast("int") * 60 + F.substring(clock, 3, 2).cast("int")
     return _first(
         name,
-        (SENTINEL_START, _parse(F.regexp_extract(name, SENTINEL_START, 1), "yyyyMMdd'T'HHmmss")),
+        (SENTINEL_STAMP, _parse(F.regexp_extract(name, SENTINEL_STAMP, 1), "yyyyMMdd'T'HHmmss")),
         (MODIS_WITH_TIME, day + F.make_dt_interval(mins=minutes)),
         (MODIS_DATE_ONLY, day),
         (GEMS_STAMP, _gems(name)),

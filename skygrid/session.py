@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Provider files come in big5 and its relatives, which Spark reads only on request.
+    "spark.sql.legacy.javaCharsets": "true",
 }
 
 

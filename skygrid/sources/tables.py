@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,8 @@ from skygrid.functions.time import granule_time, in_date_range
 # Fixed value: text encodings of provider files, tried in this order.
 ENCODINGS = ("utf-8", "big5", "cp950", "gb2312", "gbk", "latin1")
 
+REPLACEMENT = "\N{REPLACEMENT CHARACTER}"
+
 CUBE_PARTITIONS = ("hub", "level", "region", "product", "yyyy", "mm")
 
 
@@ -97,10 +100,12 @@ def read_provider_csv(spark: SparkSession, path: str, columns: dict[str, str], p
     for candidate in ((encoding,) if encoding else ENCODINGS):
         try:
             df = spark.read.option("encoding", candidate).csv(path, header=True)
-        except Exception:  # noqa: BLE001 - a missing or unreadable provider is tolerated
-            return None
-        broken = [F.contains(F.concat_ws("", *[F.col(f"`{c}`") for c in df.columns]), F.lit("�"))]
-        if "�" in "".join(df.columns) or not df.where(broken[0]).isEmpty():
+        except AnalysisException as missing:
+            if "PATH_NOT_FOUND" in str(missing):
+                return None
+            raise
+        text = F.concat_ws("", *[F.col(f"`{c}`") for c in df.columns])
+        if REPLACEMENT in "".join(df.columns) or not df.where(F.contains(text, F.lit(REPLACEMENT))).isEmpty():
             continue
         return df.select(*[F.col(f"`{src}`").alias(dst) for src, dst in columns.items() if src in df.columns],
                          F.lit(provider).alias("owner"))
