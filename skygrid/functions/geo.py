@@ -25,10 +25,14 @@ TILE_PATTERNS = (
 )
 
 
+def is_finite(x: Column) -> Column:
+    """False for null, NaN and infinities (Spark orders NaN above every number)."""
+    return F.abs(x) < F.lit(float("inf"))
+
+
 def finite(x: Column) -> Column:
     """NaN and infinities become null, so that aggregates and comparisons skip them."""
-    inf = F.lit(float("inf"))
-    return F.when(~F.isnan(x) & (x != inf) & (x != -inf), x)
+    return F.when(is_finite(x), x)
 
 
 def km_to_deg_lat(km: Column) -> Column:

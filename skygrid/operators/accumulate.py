@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skygrid.functions.geo import finite
+from skygrid.functions.geo import finite, is_finite
 from skygrid.functions.time import period_start
 from skygrid.operators.regrid import adaptive_regrid, valid_pixels
 from skygrid.plans.grid import GridSpec
@@ -13,7 +13,7 @@ from skygrid.plans.grid import GridSpec
 
 def weighted_stats(value: Column, weight: Column) -> tuple[Column, Column, Column]:
     """Aggregates ``mean, count, std`` of one cell; weight counts only where the value exists."""
-    w = F.when(finite(value).isNotNull(), weight).otherwise(0.0)
+    w = F.when(is_finite(value), weight).otherwise(0.0)
     v = F.coalesce(finite(value), F.lit(0.0))
     mean = F.try_divide(F.sum(w * v), F.sum(w))
     spread = F.try_divide(F.sum(w * v * v), F.sum(w)) - mean * mean
@@ -42,7 +42,7 @@ def tile_mean(tiles: DataFrame, keys=("obs_date",), order: str = "granule_id", l
         return (tiles.groupBy(*keys, "i", "j").agg(F.avg(valid).alias("value"))
                 .where(F.col("value").isNotNull()))
     days = tiles.select(*keys, order).distinct().groupBy(*keys).agg(F.count("*").alias("_tiles"))
-    cells = (tiles.where(valid.isNotNull()).groupBy(*keys, "i", "j")
+    cells = (tiles.where(is_finite(F.col("value"))).groupBy(*keys, "i", "j")
              .agg(F.sum("value").alias("_s"), F.count("*").alias("_n"), F.min_by("value", order).alias("_first")))
     twice = (F.col("_s") + F.col("_first")) / (F.col("_n") + 1)
     return cells.join(days, list(keys)).select(
@@ -51,7 +51,7 @@ def tile_mean(tiles: DataFrame, keys=("obs_date",), order: str = "granule_id", l
 
 def tile_overlay(tiles: DataFrame, keys=("obs_date",), order: str = "granule_id") -> DataFrame:
     """A later tile replaces an earlier one wherever it is valid."""
-    return (tiles.where(finite(F.col("value")).isNotNull()).groupBy(*keys, "i", "j")
+    return (tiles.where(is_finite(F.col("value"))).groupBy(*keys, "i", "j")
             .agg(F.max_by("value", order).alias("value")))
 
 

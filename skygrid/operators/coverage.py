@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skygrid.functions.geo import cell_weight, finite
+from skygrid.functions.geo import cell_weight, is_finite
 from skygrid.functions.time import bucket_label, in_date_range
 from skygrid.operators.region import box_of, region_cells, restrict_to_region
 from skygrid.plans.grid import GridSpec
@@ -80,7 +80,7 @@ def compute_coverage(cube: DataFrame, grid: GridSpec, *, region="taiwan", start=
     ratio = F.try_divide(F.col("valid"), F.col("total"))
     known = cube if slices is None else slices
     known = known.select(slice_key, "time").distinct()
-    valid = restrict_to_region(cube.where(finite(F.col("value")).isNotNull()), grid, region, vertices)
+    valid = restrict_to_region(cube.where(is_finite(F.col("value"))), grid, region, vertices)
     w = cell_weight(grid.lat_of(F.col("i")), weight)
 
     if granularity == "per_file":

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrid.functions.geo import finite, in_box
+from skygrid.functions.geo import in_box, is_finite
 
 # Fewest pixels worth gridding, and raw codes a reprojection ignores.
 MIN_POINTS = 10
@@ -26,7 +26,7 @@ def flag_filter(pixels: DataFrame, good: int = 0, flag: str = "flag") -> DataFra
 
 
 def cloud_filter(pixels: DataFrame, maximum: float, cloud: str = "cloud") -> DataFrame:
-    return pixels.where(finite(F.col(cloud)) <= maximum) if cloud in pixels.columns else pixels
+    return pixels.where((F.col(cloud) <= maximum) & is_finite(F.col(cloud))) if cloud in pixels.columns else pixels
 
 
 def positive_filter(pixels: DataFrame, value: str = "value") -> DataFrame:
@@ -41,7 +41,7 @@ def cap_filter(pixels: DataFrame, maximum: float | None, value: str = "value") -
 
 def finite_filter(pixels: DataFrame, columns=("value", "lat", "lon")) -> DataFrame:
     for name in columns:
-        pixels = pixels.where(finite(F.col(name)).isNotNull())
+        pixels = pixels.where(is_finite(F.col(name)))
     return pixels
 
 
@@ -62,7 +62,7 @@ def min_points(pixels: DataFrame, keys=("granule_id",), minimum: int = MIN_POINT
 
 def require_data_in_box(pixels: DataFrame, bounds, key: str = "granule_id") -> DataFrame:
     """Keep the granules that have at least one valid pixel inside ``bounds``."""
-    hit = pixels.where(in_box(F.col("lat"), F.col("lon"), bounds) & finite(F.col("value")).isNotNull())
+    hit = pixels.where(in_box(F.col("lat"), F.col("lon"), bounds) & is_finite(F.col("value")))
     return pixels.join(hit.select(key).distinct(), key, "left_semi")
 
 
@@ -79,7 +79,3 @@ def swath_qc(pixels: DataFrame, *, bounds=None, positive: bool = True, good_flag
     if bounds is not None:
         kept = bbox_filter(kept, bounds)
     return min_points(kept, minimum=minimum)
-
-
-def box_predicate(bounds) -> Column:
-    return in_box(F.col("lat"), F.col("lon"), bounds)

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skygrid.functions.geo import finite
+from skygrid.functions.geo import is_finite
 from skygrid.operators.qc import drop_zero_fill
 from skygrid.plans.grid import GridSpec
 from skygrid.plans.neighbours import by_block, candidate_cells, gather, nearest_per_cell, offsets_array, window_cells
@@ -20,8 +20,8 @@ CELL = ("granule_id", "i", "j")
 
 
 def valid_pixels(pixels: DataFrame) -> DataFrame:
-    return pixels.where(finite(F.col("value")).isNotNull() & finite(F.col("lat")).isNotNull()
-                        & finite(F.col("lon")).isNotNull())
+    return pixels.where(is_finite(F.col("value")) & is_finite(F.col("lat"))
+                        & is_finite(F.col("lon")))
 
 
 # -- footprints -------------------------------------------------------------------
@@ -43,6 +43,14 @@ PIXEL_WEIGHTS = {-2: (0.0, -0.5, 0.0, 0.0), -1: (0.0, 0.5, 0.5, 0.5), 0: (0.5, 1
                  1: (0.5, 0.5, 0.0, 0.5), 2: (0.0, 0.0, 0.0, -0.5)}
 
 
+def with_extent(pixels: DataFrame) -> DataFrame:
+    """Pixels with the shape of their granule. Readers that know the shape store
+    ``n_rows`` and ``n_cols``; only tables without them pay for a join."""
+    if {"n_rows", "n_cols"} <= set(pixels.columns):
+        return pixels
+    return pixels.join(swath_extent(pixels), "granule_id")
+
+
 def _weighted_offsets(weights: dict[int, tuple]) -> Column:
     """All pairs of a row and a column offset with their weights, as one literal array."""
     def entry(d: int, name: str) -> list[Column]:
@@ -56,7 +64,8 @@ def corners_from_centers(pixels: DataFrame) -> DataFrame:
     The rule is separable, so each pixel adds its weighted position to the corners
     it touches and one hash aggregation adds them up; needs 3 rows and 3 columns.
     """
-    places = by_block(pixels.select("granule_id", "row_idx", "col_idx", "lat", "lon"), ["granule_id"], "row_idx", "col_idx")
+    places = by_block(with_extent(pixels).select("granule_id", "row_idx", "col_idx", "n_rows", "n_cols", "lat", "lon"),
+                      ["granule_id"], "row_idx", "col_idx")
 
     def weight(k: str, n: str, name: str) -> Column:
         return (F.when(F.col(k) == 0, F.col(f"_o.{name}1")).when(F.col(k) == F.col(n), F.col(f"_o.{name}2"))
@@ -65,8 +74,7 @@ def corners_from_centers(pixels: DataFrame) -> DataFrame:
     def sources(k: str, n: str) -> Column:
         return F.when((F.col(k) == 0) | (F.col(k) == F.col(n)), 3).otherwise(2)
 
-    sent = (places.join(swath_extent(pixels), "granule_id")
-            .withColumn("_o", F.explode(_weighted_offsets(CORNER_WEIGHTS)))
+    sent = (places.withColumn("_o", F.explode(_weighted_offsets(CORNER_WEIGHTS)))
             .withColumns({"k": F.col("row_idx") + F.col("_o.dr"), "l": F.col("col_idx") + F.col("_o.dc")})
             .where(F.col("k").between(0, F.col("n_rows")) & F.col("l").between(0, F.col("n_cols")))
             .withColumn("w", weight("k", "n_rows", "r") * weight("l", "n_cols", "c")))
@@ -84,8 +92,9 @@ def pixel_footprints(pixels: DataFrame, carry=("value", "qa")) -> DataFrame:
     A pixel is sent to the nine neighbours whose corners use it.
     Pixels with an incomplete neighbourhood have no footprint and are left out.
     """
-    places = by_block(pixels.select("granule_id", "row_idx", "col_idx", "pixel_id", "lat", "lon", *carry),
-                      ["granule_id"], "row_idx", "col_idx")
+    places = by_block(
+        with_extent(pixels).select("granule_id", "row_idx", "col_idx", "n_rows", "n_cols", "pixel_id", "lat", "lon", *carry),
+        ["granule_id"], "row_idx", "col_idx")
     row, col, dr, dc = F.col("_r"), F.col("_c"), F.col("_o.dr"), F.col("_o.dc")
     last_row, last_col = F.col("n_rows") - 1, F.col("n_cols") - 1
 
@@ -93,8 +102,7 @@ def pixel_footprints(pixels: DataFrame, carry=("value", "qa")) -> DataFrame:
         """Direct neighbours, and two steps away from the first and the last place."""
         return place.between(0, last) & ((F.abs(d) <= 1) | (place == F.when(d < 0, 0).otherwise(last)))
 
-    sent = (places.join(swath_extent(pixels), "granule_id")
-            .withColumn("_o", F.explode(_weighted_offsets(PIXEL_WEIGHTS)))
+    sent = (places.withColumn("_o", F.explode(_weighted_offsets(PIXEL_WEIGHTS)))
             .withColumns({"_r": F.col("row_idx") + dr, "_c": F.col("col_idx") + dc})
             .where(used(row, dr, last_row) & used(col, dc, last_col))
             .withColumns({
@@ -120,7 +128,7 @@ def supersample_regrid(pixels: DataFrame, grid: GridSpec, k: int = 4, qa_thresho
     if "qa" not in pixels.columns:
         pixels = pixels.withColumn("qa", F.lit(1.0))
     feet = pixel_footprints(pixels).where(
-        (F.col("qa") >= qa_threshold) & finite(F.col("value")).isNotNull()
+        (F.col("qa") >= qa_threshold) & is_finite(F.col("value"))
         & grid.contains(F.col("lat"), F.col("lon")))
     # Bilinear blend of the corners as a polynomial in (s, t); its coefficients are per pixel.
     terms = {f"_{x}{n}": e for x in ("lat", "lon") for n, e in enumerate((
@@ -377,7 +385,7 @@ def smooth_box(cube: DataFrame, grid: GridSpec, keys, k: int = 3) -> DataFrame:
         raise ValueError("kernel size must be odd")
     half = k // 2
     around = [(a, b) for a in range(-half, half + 1) for b in range(-half, half + 1)]
-    sent = (cube.where(finite(F.col("value")).isNotNull()).select(*keys, "i", "j", "value")
+    sent = (cube.where(is_finite(F.col("value"))).select(*keys, "i", "j", "value")
             .withColumn("_o", F.explode(offsets_array(around)))
             .withColumns({"i": F.pmod(F.col("i") + F.col("_o.dr"), F.lit(grid.nlat)).cast("int"),
                           "j": F.pmod(F.col("j") + F.col("_o.dc"), F.lit(grid.nlon)).cast("int")}))

@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from skygrid.functions import lookup
-from skygrid.functions.geo import finite
+from skygrid.functions.geo import is_finite
 from skygrid.operators import coverage, region, stations
-from skygrid.plans.dimension import dimension
+from skygrid.plans.dimension import dimension, hint_if_bounded
 from skygrid.plans.grid import FIGURE_BOX, GridSpec
 from skygrid.workload.fixtures import BIN_GRID, CUBE_GRID
 from skygrid.workload.helpers import R6, cells_cte, edges_cte, grid_edges_ctes, in_bin, r6
@@ -150,7 +150,7 @@ def j3_plants(t):
     plants = dimension(t.spark, lookup.POWER_PLANTS, "name string, lat double, lon double, kind string")
     inside = plants.where(F.col("lon").between(120.0, 121.5) & F.col("lat").between(23.4, 25.0))
     cells = stations.nearest_cell(inside, CUBE_GRID).select("kind", "name", "i", "j")
-    seen = t.cube.where(finite(F.col("value")).isNotNull()).join(F.broadcast(cells), ["i", "j"]).groupBy("kind", "name").agg(F.count("*").alias("n"))
+    seen = t.cube.where(is_finite(F.col("value"))).join(hint_if_bounded(cells, len(lookup.POWER_PLANTS)), ["i", "j"]).groupBy("kind", "name").agg(F.count("*").alias("n"))
     return cells.join(seen, ["kind", "name"], "left").select("kind", "name", F.coalesce("n", F.lit(0)).alias("n_obs"))
 
 
