@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skygrid.functions.geo import cell_weight, is_finite
+from skygrid.functions.numbers import mean_of_rounded, round_even
 from skygrid.functions.time import bucket_label, in_date_range
 from skygrid.operators.region import box_of, region_cells, restrict_to_region
 from skygrid.plans.grid import GridSpec
@@ -58,8 +59,8 @@ def _tidy(df: DataFrame, hub: str, product: str, region, granularity: str, weigh
     return df.select(
         F.lit(hub).alias("hub"), F.lit(product).alias("product"), F.lit(name).alias("region"),
         bucket_label(F.col("_t"), granularity).alias("time"), F.lit(granularity).alias("granularity"),
-        F.lit(weight).alias("weight"), F.round("valid", 3).alias("valid"), F.round("total", 3).alias("total"),
-        F.round(coverage, 5).alias("coverage"), F.col("n_slices").cast("long").alias("n_slices"))
+        F.lit(weight).alias("weight"), round_even(F.col("valid"), 3).alias("valid"),
+        round_even(F.col("total"), 3).alias("total"), round_even(coverage, 5).alias("coverage"), F.col("n_slices").cast("long").alias("n_slices"))
 
 
 def compute_coverage(cube: DataFrame, grid: GridSpec, *, region="taiwan", start=None, end=None,
@@ -105,16 +106,16 @@ def compute_coverage(cube: DataFrame, grid: GridSpec, *, region="taiwan", start=
         raise ValueError("granularity must be per_file, daily, monthly or yearly")
     # Means are taken over the already rounded daily rows.
     rounded = daily.select(F.date_trunc(units[granularity], "_t").alias("_t"), "n_slices",
-                           F.round("valid", 3).alias("valid"), F.round("total", 3).alias("total"),
-                           F.round(ratio, 5).alias("coverage"))
-    rows = rounded.groupBy("_t").agg(F.avg("valid").alias("valid"), F.first("total").alias("total"),
-                                     F.avg("coverage").alias("_cov"), F.sum("n_slices").alias("n_slices"))
+                           round_even(F.col("valid"), 3).alias("valid"), "total", round_even(ratio, 5).alias("coverage"))
+    rows = rounded.groupBy("_t").agg(
+        mean_of_rounded(F.col("valid"), 3).alias("valid"), F.first("total").alias("total"),
+        mean_of_rounded(F.col("coverage"), 5).alias("_cov"), F.sum("n_slices").alias("n_slices"))
     return _tidy(rows, hub, product, region, granularity, weight, F.col("_cov"))
 
 
 def coverage_summary(coverage: DataFrame) -> DataFrame:
     """Mean coverage, number of buckets and number of slices."""
-    return coverage.agg(F.round(F.avg("coverage"), 5).alias("mean_coverage"), F.count("*").alias("buckets"),
+    return coverage.agg(mean_of_rounded(F.col("coverage"), 5).alias("mean_coverage"), F.count("*").alias("buckets"),
                         F.coalesce(F.sum("n_slices"), F.lit(0)).alias("slices"))
 
 

@@ -46,9 +46,12 @@ def scan_cube(spark: SparkSession, path: str, product: str, start=None, end=None
 
 def slices(cube: DataFrame, start, end, path: str | None = None, time: str = "time") -> DataFrame:
     """Rows whose time lies in [start, end]; a missing time is read from the file name."""
-    if path is not None:
-        cube = cube.withColumn(time, F.coalesce(F.col(time), granule_time(F.col(path))))
-    return cube.where(in_date_range(F.col(time), start, end))
+    if path is None:
+        return cube.where(in_date_range(F.col(time), start, end))
+    named = F.coalesce(F.col(time), granule_time(F.col(path)))
+    # The lambda lets both bounds see one parse of the name instead of one each.
+    inside = F.exists(F.array(named), lambda t: in_date_range(t, start, end))
+    return cube.where(inside).withColumn(time, named)
 
 
 def cube_layout(cube: DataFrame, *, hub: str, product: str, level: str = "L2", region: str = "taiwan",

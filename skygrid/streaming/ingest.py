@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skygrid.functions.geo import finite
+from skygrid.functions.numbers import round_even
 from skygrid.operators.accumulate import weighted_stats
 from skygrid.operators.regrid import supersample_regrid
 from skygrid.plans.grid import GridSpec
@@ -88,7 +89,7 @@ def write_closed_days(means: DataFrame, sink: str, checkpoint: str) -> Streaming
 def closed_day_coverage(closed: DataFrame, grid: GridSpec) -> DataFrame:
     """Share of the grid with a value, per closed day."""
     return (closed.groupBy("obs_date").agg(F.count(finite(F.col("value"))).alias("valid"))
-            .withColumn("coverage", F.round(F.col("valid") / F.lit(float(grid.size)), 5)))
+            .withColumn("coverage", round_even(F.col("valid") / F.lit(float(grid.size)), 5)))
 
 
 def reprocess_window(rebuilt: DataFrame, sink: str, day: str = "obs_date") -> None:

@@ -24,8 +24,8 @@ def daily_ctes(weight="count", reg=REG):
 days as (select obs_date, count(distinct slice_no) as n_slices from v_cube group by obs_date),
 seen as (select distinct obs_date, i, j from v_cube where value is not null),
 hit as (select s.obs_date, sum({_weight(weight, 'r.lat')}) as valid from seen s join reg r on s.i = r.i and s.j = r.j group by 1),
-daily as (select d.obs_date, round(coalesce(h.valid, 0e0), 3) as valid, round(t.total, 3) as total,
-  round(coalesce(h.valid, 0e0) / t.total, 5) as coverage, d.n_slices from days d cross join tot t left join hit h on d.obs_date = h.obs_date)"""
+daily as (select d.obs_date, round_even(coalesce(h.valid, 0e0), 3) as valid, round_even(t.total, 3) as total,
+  round_even(coalesce(h.valid, 0e0) / t.total, 5) as coverage, d.n_slices from days d cross join tot t left join hit h on d.obs_date = h.obs_date)"""
 
 
 def daily_sql(weight="count", reg=REG, region="box"):
@@ -35,9 +35,9 @@ def daily_sql(weight="count", reg=REG, region="box"):
 
 def bucket_sql(gran, unit):
     head = HEAD.format(region="box", label=LABELS[gran], gran=gran, weight="count")
-    return f"""with {daily_ctes()}, b as (select date_trunc('{unit}', obs_date) as m, avg(valid) as valid, min(total) as total,
-  avg(coverage) as coverage, cast(sum(n_slices) as bigint) as n_slices from daily group by 1)
-select {head}, round(valid, 3) as valid, total, round(coverage, 5) as coverage, n_slices from b"""
+    return f"""with {daily_ctes()}, b as (select date_trunc('{unit}', obs_date) as m, round_even(sum(round_even(valid * 1e3, 0)) / count(valid), 0) / 1e3 as valid, min(total) as total,
+  round_even(sum(round_even(coverage * 1e5, 0)) / count(coverage), 0) / 1e5 as coverage, cast(sum(n_slices) as bigint) as n_slices from daily group by 1)
+select {head}, valid, total, coverage, n_slices from b"""
 
 
 def _run(t, **kw):
@@ -49,7 +49,7 @@ def _run(t, **kw):
 with {REG}, tot as (select count(*) as total from reg), hit as (select obs_date, slice_no, count(*) as valid from v_cube c join reg r using (i, j)
   where value is not null group by 1, 2), slices as (select distinct obs_date, slice_no from v_cube)
 select {HEAD.format(region='box', label="strftime(obs_date + interval 1 hour * slice_no, '%Y-%m-%d %H:%M')", gran='per_file', weight='count')},
-  round(coalesce(valid, 0e0), 3) as valid, total * 1e0 as total, round(coalesce(valid, 0) / total, 5) as coverage, cast(1 as bigint) as n_slices
+  round_even(coalesce(valid, 0e0), 3) as valid, total * 1e0 as total, round_even(coalesce(valid, 0) / total, 5) as coverage, cast(1 as bigint) as n_slices
 from slices cross join tot left join hit using (obs_date, slice_no)""")
 def v1(t):
     return _run(t, granularity="per_file")
@@ -119,6 +119,6 @@ def v6(t):
 
 
 @query("V7_coverage_summary", ["v_cube"], f"""
-with {daily_ctes()} select round(avg(coverage), 5) as mean_coverage, count(*) as buckets, cast(sum(n_slices) as bigint) as slices from daily""")
+with {daily_ctes()} select round_even(sum(round_even(coverage * 1e5, 0)) / count(coverage), 0) / 1e5 as mean_coverage, count(*) as buckets, cast(sum(n_slices) as bigint) as slices from daily""")
 def v7(t):
     return coverage.coverage_summary(_run(t))

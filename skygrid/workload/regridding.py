@@ -179,23 +179,28 @@ def _thinned(t):
 EXTENT = f"({BIN_GRID.nlat - 1} * 0.25e0 * {BIN_GRID.nlon - 1} * 0.25e0)"
 METHOD = f"""stats as (select granule_id, count(*) as n, count(*) / {float(BIN_GRID.size)}e0 as density,
   (max(lat) - min(lat)) * (max(lon) - min(lon)) / {EXTENT} as ratio from thin group by 1),
-method as (select granule_id, case when density > 0.1 and ratio > 0.3 then 'linear' when density > 0.01 then 'idw' else 'nearest' end as method from stats)"""
+method as (select granule_id, case when density > 0.1 and ratio > 0.3 then 1 when density > 0.01 then 2 else 3 end as method from stats)"""
+
+
+METHOD_NO = {"linear": 1, "idw": 2, "nearest": 3}
 
 
 def part_cte(kind):
-    return f"thin_{kind} as (select t.* from thin t join method m on m.granule_id = t.granule_id and m.method = '{kind}')"
+    return f"thin_{kind} as (select t.* from thin t join method m on m.granule_id = t.granule_id and m.method = {METHOD_NO[kind]})"
 
 
 ADAPTIVE = f"""{THINNED}, {METHOD}, {CELLS}, {part_cte('linear')}, {part_cte('idw')}, {part_cte('nearest')},
 {linear_ctes('lin', 'thin_linear', 0.15)}, {pairs_cte('pi', 'thin_idw', 0.2)}, {pairs_cte('pn', 'thin_nearest', 0.25)},
-tiles as (select granule_id, i, j, value, 'linear' as method from lin
-  union all select granule_id, i, j, value, 'idw' from ({idw_sql('pi')})
-  union all select granule_id, i, j, value, 'nearest' from ({nearest_sql('pn')}))"""
+tiles as (select granule_id, i, j, value, 1 as method from lin
+  union all select granule_id, i, j, value, 2 from ({idw_sql('pi')})
+  union all select granule_id, i, j, value, 3 from ({nearest_sql('pn')}))"""
 
 
 @query("R8_adaptive_regrid", ["v_pixel"], f"with {ADAPTIVE} select granule_id, i, j, method, {R6('value')} as value from tiles")
 def r8(t):
-    return cells_out(regrid.adaptive_regrid(_thinned(t), BIN_GRID), "method")
+    numbers = F.create_map(*[F.lit(x) for pair in METHOD_NO.items() for x in pair])
+    cells = regrid.adaptive_regrid(_thinned(t), BIN_GRID)
+    return cells_out(cells, F.element_at(numbers, F.col("method")).alias("method"))
 
 
 STEP = """nb as (select *, lead(lat) over w as nlat, lead(lon) over w as nlon, lag(lat) over w as plat, lag(lon) over w as plon

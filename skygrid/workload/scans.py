@@ -207,7 +207,7 @@ hit as (select obs_date, count(distinct i * 1000 + j) as v from v_cube
         where value is not null and lon between 120 and 122 and lat between 22 and 25 group by 1),
 tot as (select count(*) as total from range(51) a(i), range(41) b(j)
         where 21e0 + 0.1e0 * i between 22 and 25 and 119e0 + 0.1e0 * j between 120 and 122)
-select round(avg(round(coalesce(v, 0) * 1e0 / total, 5)), 5) as mean_coverage, count(*) as buckets, cast(sum(n) as bigint) as slices
+select round_even(sum(round_even(coalesce(v, 0) * 1e5 / total, 0)) / count(*), 0) / 1e5 as mean_coverage, count(*) as buckets, cast(sum(n) as bigint) as slices
 from days cross join tot left join hit using (obs_date)""")
 def a17(t):
     path = shared_dir(t.spark, "coverage")

@@ -68,7 +68,7 @@ def x3(t):
 
 
 @query("X4_stream_daily_coverage", ["v_pixel"], f"""
-with {CELLS} select strftime(obs_date, '%Y-%m-%d') as obs_date, count(value) as valid, round(count(value) / 357e0, 5) as coverage from closed group by 1""")
+with {CELLS} select strftime(obs_date, '%Y-%m-%d') as obs_date, count(value) as valid, round_even(count(value) / 357e0, 5) as coverage from closed group by 1""")
 def x4(t):
     days = ingest.closed_day_coverage(_closed(t, "coverage")[1], BIN_GRID)
     return days.select(ds("obs_date").alias("obs_date"), "valid", "coverage")
