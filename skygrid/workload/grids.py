@@ -8,7 +8,7 @@ from skygrid.operators import coverage, region, stations
 from skygrid.plans.dimension import dimension, hint_if_bounded
 from skygrid.plans.grid import FIGURE_BOX, GridSpec
 from skygrid.workload.fixtures import BIN_GRID, CUBE_GRID
-from skygrid.workload.helpers import R6, cells_cte, edges_cte, grid_edges_ctes, in_bin, r6
+from skygrid.workload.helpers import CENTS, R6, cells_cte, cents, edges_cte, grid_edges_ctes, in_bin, r6
 from skygrid.workload.registry import query
 
 KM_GRID = GridSpec.from_km((55.0, 35.0))
@@ -120,14 +120,14 @@ ZONE_VALUES = ", ".join(f"({k}, '{z}')" for k, (z, c) in enumerate((z, c) for z,
 
 
 @query("J2_zone_membership", [], f"""
-select z.zone, count(*) as n, {R6('sum(c_acctbal)')} as total from customer
+select z.zone, count(*) as n, {CENTS('c_acctbal')} as total from customer
 join (values {ZONE_VALUES}) z(k, zone) on z.k = c_custkey % {len(COUNTIES)} group by z.zone""")
 def j2(t):
     """Customers of a county counted under the county's zone."""
     names = F.array(*[F.lit(c) for c in COUNTIES])
     placed = t.customer.withColumn("county", F.element_at(names, (F.col("c_custkey") % len(COUNTIES) + 1).cast("int")))
     return (placed.join(lookup.zone_counties(t.spark), "county").groupBy("zone")
-            .agg(F.count("*").alias("n"), r6(F.sum("c_acctbal")).alias("total")))
+            .agg(F.count("*").alias("n"), cents("c_acctbal").alias("total")))
 
 
 @query("J3_stations_in_box", ["v_place"], """

@@ -21,6 +21,15 @@ def R6(expr: str) -> str:
     return f"floor(({expr}) * 1e6 + 0.3137e0) / 1e6"
 
 
+def cents(x: str) -> Column:
+    """Total of two-decimal amounts as a whole number of hundredths: exact in any order."""
+    return F.sum(F.rint(F.col(x) * F.lit(100.0))).cast("long")
+
+
+def CENTS(expr: str) -> str:
+    return f"cast(sum(round_even({expr} * 100e0, 0)) as bigint)"
+
+
 def ts(x: Column | str) -> Column:
     return F.date_format(x, "yyyy-MM-dd HH:mm:ss")
 

@@ -18,7 +18,7 @@ def pairs_cte(name, src, radius, key="granule_id"):
 
 
 def nearest_sql(pairs, key="granule_id"):
-    return f"""select {key}, i, j, value from (select *, row_number() over (partition by {key}, i, j order by d, pixel_id) as rn from {pairs}) where rn = 1"""
+    return f"select {key}, i, j, arg_min(value, row(d, pixel_id)) as value from {pairs} group by {key}, i, j"
 
 
 def idw_sql(pairs):
@@ -186,7 +186,7 @@ METHOD_NO = {"linear": 1, "idw": 2, "nearest": 3}
 
 
 def part_cte(kind):
-    return f"thin_{kind} as (select t.* from thin t join method m on m.granule_id = t.granule_id and m.method = {METHOD_NO[kind]})"
+    return f"thin_{kind} as materialized (select t.* from thin t join method m on m.granule_id = t.granule_id and m.method = {METHOD_NO[kind]})"
 
 
 ADAPTIVE = f"""{THINNED}, {METHOD}, {CELLS}, {part_cte('linear')}, {part_cte('idw')}, {part_cte('nearest')},
@@ -223,10 +223,11 @@ def r9(t):
 @query("R10_footprint_nn_daily", ["v_pixel"], f"""
 with {RADIUS}, {CELLS}, ok as (select *, cast(obs_time as date) as obs_date from feet where value is not null),
 scale as (select obs_date, cos(radians(avg(lat))) as s from ok group by 1),
-pairs as (select o.obs_date, c.i, c.j, o.pixel_id, o.value, o.radius, sqrt(pow(o.lat - c.lat, 2) + pow((o.lon - c.lon) * s.s, 2)) as d
-  from ok o join scale s using (obs_date), cells c where abs(o.lat - c.lat) <= 0.36 and abs(o.lon - c.lon) <= 0.5),
-best as (select *, row_number() over (partition by obs_date, i, j order by d, pixel_id) as rn from pairs)
-select strftime(obs_date, '%Y-%m-%d') as obs_date, i, j, {R6('value')} as value from best where rn = 1 and d <= radius""")
+scaled as materialized (select o.*, s.s from ok o join scale s using (obs_date)),
+pairs as (select o.obs_date, c.i, c.j, o.pixel_id, o.value, o.radius, sqrt(pow(o.lat - c.lat, 2) + pow((o.lon - c.lon) * o.s, 2)) as d
+  from scaled o, cells c where abs(o.lat - c.lat) <= 0.36 and abs(o.lon - c.lon) <= 0.5),
+best as (select obs_date, i, j, min(d) as d, arg_min(value, row(d, pixel_id)) as value, arg_min(radius, row(d, pixel_id)) as radius from pairs group by 1, 2, 3)
+select strftime(obs_date, '%Y-%m-%d') as obs_date, i, j, {R6('value')} as value from best where d <= radius""")
 def r10(t):
     day = regrid.footprint_nn_daily(t.pixel, BIN_GRID)
     return day.select(ds("obs_date").alias("obs_date"), "i", "j", r6("value").alias("value"))
@@ -249,16 +250,17 @@ def r12(t):
 
 @query("R12_regrid_by_density", ["v_pixel"], f"""
 with {VALID}, {CELLS}, sized as (select granule_id, case when count(*) < 100 then 2 when count(*) < 500 then 3 else 4 end * 0.25e0 as r from ok group by 1),
-pairs as (select p.granule_id, c.i, c.j, p.pixel_id, p.value, sqrt((p.lat - c.lat) * (p.lat - c.lat) + (p.lon - c.lon) * (p.lon - c.lon)) as d, s.r
-  from ok p join sized s using (granule_id), cells c)
+placed as materialized (select p.*, s.r from ok p join sized s using (granule_id)),
+pairs as (select p.granule_id, c.i, c.j, p.pixel_id, p.value, sqrt((p.lat - c.lat) * (p.lat - c.lat) + (p.lon - c.lon) * (p.lon - c.lon)) as d, p.r
+  from placed p, cells c)
 select granule_id, i, j, {R6('value')} as value from ({nearest_sql('(select * from pairs where d <= r)')})""")
 def r12_regrid(t):
     return cells_out(regrid.regrid_by_density(t.pixel, BIN_GRID, "kdtree"))
 
 
 GRIDDATA = f"""{STRETCH}, {SPACING}, {CELLS},
-fine as (select s.* from stretched s join spacing g on g.granule_id = s.granule_id and not g.coarse),
-wide as (select s.* from stretched s join spacing g on g.granule_id = s.granule_id and g.coarse),
+fine as materialized (select s.* from stretched s join spacing g on g.granule_id = s.granule_id and not g.coarse),
+wide as materialized (select s.* from stretched s join spacing g on g.granule_id = s.granule_id and g.coarse),
 {linear_ctes('lin', 'fine', 0.2, False)}, {pairs_cte('over', 'wide', 0.25)}"""
 
 

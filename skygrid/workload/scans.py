@@ -11,17 +11,17 @@ from skygrid.functions.lookup import stations as default_stations
 from skygrid.session import shared_dir
 from skygrid.sources import swath, tables
 from skygrid.workload.fixtures import CUBE_GRID, FIELD_GRID
-from skygrid.workload.helpers import DS, R6, TS, ds, r6
+from skygrid.workload.helpers import CENTS, DS, R6, TS, cents, ds, r6
 from skygrid.workload.registry import query
 
 
 @query("A1_scan_cube", ["v_cube"], f"""
-select strftime(obs_date, '%Y') as yyyy, strftime(obs_date, '%m') as mm, count(*) as n_rows, {R6('sum(value)')} as total
+select strftime(obs_date, '%Y') as yyyy, strftime(obs_date, '%m') as mm, count(*) as n_rows, {CENTS('value')} as total
 from v_cube where strftime(obs_date, '%Y%m') between '199603' and '199902' group by 1, 2""")
 def a1(t):
     cube = tables.cube_layout(t.cube_slices(), hub="modis", product="MYD04_L2")
     return (cube.where(tables.month_filter("1996-03-15", "1999-02-10")).groupBy("yyyy", "mm")
-            .agg(F.count("*").alias("n_rows"), r6(F.sum("value")).alias("total")))
+            .agg(F.count("*").alias("n_rows"), cents("value").alias("total")))
 
 
 @query("A2_slices", ["v_cube"], f"""
@@ -62,12 +62,12 @@ def a3(t):
 
 
 @query("A4_resolve_variable", ["v_pixel"], f"""
-select granule_id, count(value) as n_valid, {R6('sum(value)')} as total, count(raw) as n_tile from v_pixel group by granule_id""")
+select granule_id, count(value) as n_valid, {CENTS('value')} as total, count(raw) as n_tile from v_pixel group by granule_id""")
 def a4(t):
     """The preferred optical-depth variable is absent in both sources, the next one is taken."""
     land = swath.resolve_variable(t.pixel.withColumnRenamed("value", SWATH_AOD_VARIABLES[1]), SWATH_AOD_VARIABLES)
     both = swath.resolve_variable(land.withColumnRenamed("raw", TILE_AOD_VARIABLES[1]), TILE_AOD_VARIABLES, "tile_value")
-    return both.groupBy("granule_id").agg(F.count("value").alias("n_valid"), r6(F.sum("value")).alias("total"),
+    return both.groupBy("granule_id").agg(F.count("value").alias("n_valid"), cents("value").alias("total"),
                                           F.count("tile_value").alias("n_tile"))
 
 
@@ -174,13 +174,13 @@ def a14(t):
 
 @query("A15_write_cube", ["v_cube"], f"""
 select 'modis' as hub, 'L2' as level, 'taiwan' as region, 'MYD04_L2' as product, cast(strftime(obs_date, '%Y') as int) as yyyy,
-       cast(strftime(obs_date, '%m') as int) as mm, count(*) as n_rows, {R6('sum(value)')} as total from v_cube group by 5, 6""")
+       cast(strftime(obs_date, '%m') as int) as mm, count(*) as n_rows, {CENTS('value')} as total from v_cube group by 5, 6""")
 def a15(t):
     """Written to partitioned Parquet and read back."""
     path = shared_dir(t.spark, "cube")
     tables.write_cube(tables.cube_layout(t.cube_slices(), hub="modis", product="MYD04_L2", method="supersample"), path)
     return (t.spark.read.parquet(path).groupBy("hub", "level", "region", "product", "yyyy", "mm")
-            .agg(F.count("*").alias("n_rows"), r6(F.sum("value")).alias("total")))
+            .agg(F.count("*").alias("n_rows"), cents("value").alias("total")))
 
 
 @query("A16_write_station_csv", ["v_field", "v_station"], f"""
@@ -189,7 +189,7 @@ stems as (select case when level is null then concat('era5_sfc_', variable)
                  else concat('era5_pl_', variable, '_', cast(level as varchar)) end as stem, time_utc, station, value
           from v_field f join cells c using (i, j)
           where time_utc + interval 8 hour >= timestamp '2024-01-01' and time_utc + interval 8 hour < timestamp '9999-01-01')
-select stem, station, count(*) as n_rows, count(value) as n_valid, {R6('sum(value)')} as total from stems group by 1, 2""")
+select stem, station, count(*) as n_rows, count(value) as n_valid, {CENTS('value')} as total from stems group by 1, 2""")
 def a16(t):
     path = shared_dir(t.spark, "stations")
     series = station_series(with_level_key(t.field), default_stations(t.spark), FIELD_GRID, "2024-01-01", "9998-12-31")
@@ -198,7 +198,7 @@ def a16(t):
         "time_utc timestamp, station string, value double, time_local timestamp, variable string, level_key string").csv(path)
     level = F.when(F.col("level_key") != "sfc", F.col("level_key").cast("int"))
     return (back.groupBy(tables.station_file_stem(F.col("variable"), level).alias("stem"), "station")
-            .agg(F.count("*").alias("n_rows"), F.count("value").alias("n_valid"), r6(F.sum("value")).alias("total")))
+            .agg(F.count("*").alias("n_rows"), F.count("value").alias("n_valid"), cents("value").alias("total")))
 
 
 @query("A17_write_coverage_csv", ["v_cube"], """
@@ -217,11 +217,11 @@ def a17(t):
 
 
 @query("A18_crop_l3", ["v_cube"], f"""
-select {DS('obs_date')} as obs_date, count(*) as n_rows, {R6('sum(value)')} as total from v_cube
+select {DS('obs_date')} as obs_date, count(*) as n_rows, {CENTS('value')} as total from v_cube
 where lon between 119.95 and 121.55 and lat between 22.05 and 24.45 group by 1""")
 def a18(t):
     return (tables.crop_l3(t.cube, (119.95, 121.55, 22.05, 24.45)).groupBy(ds("obs_date").alias("obs_date"))
-            .agg(F.count("*").alias("n_rows"), r6(F.sum("value")).alias("total")))
+            .agg(F.count("*").alias("n_rows"), cents("value").alias("total")))
 
 
 @query("A19_file_inventory")

@@ -6,7 +6,7 @@ from skygrid.operators.accumulate import accumulate
 from skygrid.session import shared_dir
 from skygrid.streaming import ingest
 from skygrid.workload.fixtures import BIN_GRID
-from skygrid.workload.helpers import R6, cells_out, ds, grid_edges_ctes, in_bin, r6
+from skygrid.workload.helpers import CENTS, R6, cells_out, cents, ds, grid_edges_ctes, in_bin, r6
 from skygrid.workload.registry import query
 from skygrid.workload.regridding import supersample_ctes
 from skygrid.workload.temporal import STATS
@@ -24,7 +24,7 @@ def _stream(t, base, files=None):
 
 
 @query("X1_ingest_granules", ["v_pixel"], f"""
-select granule_id, 'ok' as status, count(*) as n, {R6('sum(value)')} as total from v_pixel group by granule_id""")
+select granule_id, 'ok' as status, count(*) as n, {CENTS('value')} as total from v_pixel group by granule_id""")
 def x1(t):
     """All files arrive, then all of them again under new names; each granule is kept once."""
     base = _land(t, "ingest")
@@ -32,7 +32,7 @@ def x1(t):
         ingest.ingest_granules(_stream(t, base), f"{base}/out", f"{base}/ledger", f"{base}/cp").awaitTermination()
         t.pixel.repartition("granule_id").write.mode("append").parquet(f"{base}/in")
     ingest.ingest_granules(_stream(t, base), f"{base}/out", f"{base}/ledger", f"{base}/cp").awaitTermination()
-    kept = t.spark.read.parquet(f"{base}/out").groupBy("granule_id").agg(F.count("*").alias("n"), r6(F.sum("value")).alias("total"))
+    kept = t.spark.read.parquet(f"{base}/out").groupBy("granule_id").agg(F.count("*").alias("n"), cents("value").alias("total"))
     return kept.join(t.spark.read.parquet(f"{base}/ledger").select("granule_id", "status"), "granule_id")
 
 
