@@ -23,30 +23,38 @@ PRODUCT_GROUPS = {
     "cloud_aerosol": ("CLOUD_", "FRESCO", "AER_LH", "AER_AI"),
 }
 
-# Product, variable, display range and resolution (x km, y km).
+# Product, display name, variable, units, display range, resolution (x km, y km), title, colour map.
 PRODUCT_CONFIG = (
-    ("O3____", "O3", "ozone_total_vertical_column", "mol/m2", 0.1, 0.11, 5.5, 3.5),
-    ("O3_TCL", "O3_TCL", "ozone_tropospheric_column", "mol/m2", 0.1, 0.2, 5.5, 3.5),
-    ("O3__PR", "O3_PR", "ozone_tropospheric_column", "mol/m2", 0.01, 0.04, 30.0, 30.0),
-    ("CH4___", "CH4", "methane_mixing_ratio", "1", None, None, 5.5, 7.0),
-    ("CO____", "CO", "carbonmonoxide_total_column", "mol/m2", None, None, 5.5, 7.0),
-    ("NO2___", "NO2", "nitrogendioxide_tropospheric_column", "mol/m2", -2e-4, 2e-4, 5.5, 3.5),
-    ("HCHO__", "HCHO", "formaldehyde_tropospheric_vertical_column", "mol/m2", -4e-4, 4e-4, 5.5, 3.5),
-    ("SO2___", "SO2", "sulfurdioxide_total_vertical_column", "mol/m2", -4e-3, 4e-3, 5.5, 3.5),
-    ("AER_AI", "Aerosol Index", "aerosol_index_340_380", "1", None, None, 5.5, 3.5),
+    ("O3____", "O₃", "ozone_total_vertical_column", "O$_3$ Total Vertical Column (mol/m$^2$)", 0.1, 0.11, 5.5, 3.5,
+     "O$_3$ Total Vertical Column", "RdBu_r"),
+    ("O3_TCL", "O₃_TCL", "ozone_tropospheric_column", "O$_3$ Tropospheric Column (mol/m$^2$)", 0.1, 0.2, 5.5, 3.5,
+     "O$_3$ Tropospheric Column", "RdBu_r"),
+    ("O3__PR", "O₃_PR", "ozone_tropospheric_column", "O$_3$ Tropospheric Column (mol/m$^2$)", 0.01, 0.04, 30.0, 30.0,
+     "O$_3$ Tropospheric Column", "jet"),
+    ("CH4___", "CH₄", "methane_mixing_ratio", "CH$_4$ Methane Mixing Ratio", None, None, 5.5, 7.0,
+     "CH$_4$ Methane Mixing Ratio", "RdBu_r"),
+    ("CO____", "CO", "carbonmonoxide_total_column", "CO Total Column (mol/m$^2$)", None, None, 5.5, 7.0,
+     "CO Total Column (mol/m$^2$)", "RdBu_r"),
+    ("NO2___", "NO₂", "nitrogendioxide_tropospheric_column", "NO$_2$ Tropospheric Column (mol/m$^2$)", -2e-4, 2e-4, 5.5, 3.5,
+     "NO$_2$ Tropospheric Column", "RdBu_r"),
+    ("HCHO__", "HCHO", "formaldehyde_tropospheric_vertical_column", "HCHO Tropospheric Vertical Column (mol/m$^2$)",
+     -4e-4, 4e-4, 5.5, 3.5, "HCHO Tropospheric Vertical Column", "RdBu_r"),
+    ("SO2___", "SO₂", "sulfurdioxide_total_vertical_column", "SO$_2$ Total Vertical Column (mol/m$^2$)", -4e-3, 4e-3, 5.5, 3.5,
+     "SO$_2$ Total Vertical Column", "RdBu_r"),
+    ("AER_AI", "Aerosol Index", "aerosol_index_340_380", "Aerosol Index", None, None, 5.5, 3.5, "Aerosol Index", "viridis"),
 )
-PRODUCT_CONFIG_SCHEMA = ("product string, display_name string, dataset_name string, units string, "
-                         "vmin double, vmax double, res_x_km double, res_y_km double")
+PRODUCT_CONFIG_SCHEMA = ("product string, display_name string, dataset_name string, units string, vmin double, vmax double, "
+                         "res_x_km double, res_y_km double, title string, cmap string")
 
 # The geostationary mission's products, all on its own resolution.
 GEMS_RESOLUTION_KM = (8.0, 3.5)
 GEMS_PRODUCT_CONFIG = (
-    ("NO2", "NO2", "ColumnAmountNO2", "molecules cm-2", 0.0, 1.0e16, 8.0, 3.5),
-    ("O3T", "O3", "ColumnAmountO3", "DU", 200.0, 400.0, 8.0, 3.5),
-    ("HCHO", "HCHO", "ColumnAmountHCHO", "molecules cm-2", 0.0, 2.0e16, 8.0, 3.5),
-    ("SO2", "SO2", "ColumnAmountSO2", "molecules cm-2", 0.0, 1.0e16, 8.0, 3.5),
-    ("AERAOD", "AOD", "FinalAerosolOpticalDepth", "1", 0.0, 2.0, 8.0, 3.5),
-    ("UVI", "UVI", "UVIndex", "1", 0.0, 12.0, 8.0, 3.5),
+    ("NO2", "NO₂", "ColumnAmountNO2", "molecules cm-2", 0.0, 1.0e16, 8.0, 3.5, "GEMS NO₂ Total Column", "turbo"),
+    ("O3T", "O₃", "ColumnAmountO3", "DU", 200.0, 400.0, 8.0, 3.5, "GEMS O₃ Total Column", "viridis"),
+    ("HCHO", "HCHO", "ColumnAmountHCHO", "molecules cm-2", 0.0, 2.0e16, 8.0, 3.5, "GEMS HCHO Column", "turbo"),
+    ("SO2", "SO₂", "ColumnAmountSO2", "molecules cm-2", 0.0, 1.0e16, 8.0, 3.5, "GEMS SO₂ Column", "turbo"),
+    ("AERAOD", "AOD", "FinalAerosolOpticalDepth", "unitless", 0.0, 2.0, 8.0, 3.5, "GEMS Aerosol Optical Depth", "YlOrBr"),
+    ("UVI", "UVI", "UVIndex", "unitless", 0.0, 12.0, 8.0, 3.5, "GEMS UV Index", "magma"),
 )
 AEROSOL_WAVELENGTHS_NM = (354, 443, 550)
 

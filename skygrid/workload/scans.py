@@ -81,11 +81,11 @@ def a5(t):
 
 
 @query("A6_swath_s5p", ["v_pixel"], f"""
-select pixel_id, {R6('value')} as value, 1e0 as qa from v_pixel where granule_id % 2 = 0""")
+select pixel_id, {R6('value')} as value, 1e0 as qa from v_pixel where flag = 0""")
 def a6(t):
     """Two products share the table; one of them is read, without a qa column."""
     shared = t.pixel.drop("qa").withColumns({
-        "hub": F.lit("sentinel5p"), "product": F.when(F.col("granule_id") % 2 == 0, "NO2___").otherwise("O3____")})
+        "hub": F.lit("sentinel5p"), "product": F.when(F.col("flag") == 0, "NO2___").otherwise("O3____")})
     return swath.swath_s5p(shared, "sentinel5p", "NO2___").select("pixel_id", r6("value").alias("value"), "qa")
 
 

@@ -178,3 +178,9 @@ def test_lookups(spark):
     assert lookup.resolution_for("nothing") == (5.5, 3.5) and lookup.resolution_for("CO", (1, 2)) == (1, 2)
     with pytest.raises(ValueError):
         lookup.hub_key("mars")
+
+
+def test_product_tables(spark):
+    rows = {r.product: r for r in lookup.product_config(spark).union(lookup.gems_product_config(spark)).collect()}
+    assert rows["NO2___"].vmax == 2e-4 and rows["O3__PR"].res_x_km == 30.0 and rows["UVI"].cmap == "magma"
+    assert rows["CO____"].vmin is None and rows["SO2"].title == "GEMS SO₂ Column"
