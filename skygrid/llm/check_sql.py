@@ -29,3 +29,25 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(c.n_hit, 0)
   coalesce(c.n_hit, 0) > 0 as contaminated
 from d left join covered c using (doc_id) left join found f using (doc_id)
 """
+
+_BLANKS = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
+
+OP2 = f"""
+with l as (
+  select doc_id, unnest(range(len(x))) as i, unnest(x) as line
+  from (select doc_id, string_split(text, chr(10)) as x from documents where text is not null)),
+c as (select doc_id, i, trim(line, {_BLANKS}) as bare, row_number() over (partition by doc_id order by i) as k
+      from l where trim(line, {_BLANKS}) <> ''),
+w as (select doc_id, k, bare || chr(10) || lead(bare, 1) over d || chr(10) || lead(bare, 2) over d as win
+      from c window d as (partition by doc_id order by k)),
+later as (select doc_id, k from (select doc_id, k, row_number() over (partition by win order by doc_id, k) as nth
+                                 from w where win is not null) where nth > 1),
+gone as (select distinct c.doc_id, c.i from later join c on c.doc_id = later.doc_id and c.k between later.k and later.k + 2),
+kept as (select l.doc_id, string_agg(l.line, chr(10) order by l.i) as text from l left join gone g using (doc_id, i)
+         where g.i is null group by l.doc_id),
+n as (select doc_id, count(*) as n_lines from c group by doc_id),
+r as (select doc_id, count(*) as n_removed from gone group by doc_id)
+select d.doc_id, case when d.text is null then null else coalesce(kept.text, '') end as text,
+  cast(coalesce(n.n_lines, 0) as bigint) as n_lines, cast(coalesce(r.n_removed, 0) as bigint) as n_removed
+from documents d left join kept using (doc_id) left join n using (doc_id) left join r using (doc_id)
+"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from skygrid.llm import check_sql
 from skygrid.llm.common import table
 from skygrid.llm.decontamination import find_contamination
+from skygrid.llm.line_windows import remove_repeated_windows
 from skygrid.llm.registry import query
 
 
@@ -18,3 +19,10 @@ def op9(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op2_line_windows", check_sql.OP2)
+def op2(spark, sf_dir):
+    """Texts without the later occurrences of repeated three-line windows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeated_windows(docs).select("doc_id", "text", "n_lines", "n_removed")
