@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from skygrid.llm import check_sql
 from skygrid.llm.common import table
 from skygrid.llm.decontamination import find_contamination
+from skygrid.llm.divergence_rules import judge_by_distribution
 from skygrid.llm.line_windows import remove_repeated_windows
 from skygrid.llm.registry import query
 
@@ -26,3 +27,12 @@ def op2(spark, sf_dir):
     """Texts without the later occurrences of repeated three-line windows."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeated_windows(docs).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@query("op5_divergence_rules")
+def op5(spark, sf_dir):
+    """Plain counts and the verdict by distance from the language references, of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return judge_by_distribution(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "char_distance", "word_distance")
