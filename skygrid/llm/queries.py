@@ -9,6 +9,7 @@ from skygrid.llm.common import table
 from skygrid.llm.decontamination import find_contamination
 from skygrid.llm.divergence_rules import judge_by_distribution
 from skygrid.llm.line_windows import remove_repeated_windows
+from skygrid.llm.quality_crf import score_quality
 from skygrid.llm.registry import query
 
 
@@ -36,3 +37,10 @@ def op5(spark, sf_dir):
     return judge_by_distribution(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "char_distance", "word_distance")
+
+
+@query("op6_quality_crf")
+def op6(spark, sf_dir):
+    """Quality of every document from the marginals of its lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_quality(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
