@@ -11,6 +11,7 @@ from skygrid.llm.divergence_rules import judge_by_distribution
 from skygrid.llm.line_windows import remove_repeated_windows
 from skygrid.llm.quality_crf import score_quality
 from skygrid.llm.registry import query
+from skygrid.llm.source_mixing import mix_sources
 
 
 @query("op9_benchmark_decontamination", check_sql.OP9)
@@ -44,3 +45,10 @@ def op6(spark, sf_dir):
     """Quality of every document from the marginals of its lines."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return score_quality(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op7_source_mixing")
+def op7(spark, sf_dir):
+    """Words that the mixture takes of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix_sources(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
