@@ -103,7 +103,7 @@ def _count(text_col: str, lang_col: str, rules: Rules, limit: int = 400_000):
                     key.append(k if isinstance(k, bytes) else str(k).encode())
                     n.append(int(v))
             found.clear()
-            return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(kind), pa.array(key, pa.binary()),
+            return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(kind, pa.bool_()), pa.array(key, pa.binary()),
                                                pa.array(n, pa.int64())], ["lang", "is_word", "key", "n"])
 
         for batch in batches:
