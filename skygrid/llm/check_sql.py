@@ -51,3 +51,17 @@ select d.doc_id, case when d.text is null then null else coalesce(kept.text, '')
   cast(coalesce(n.n_lines, 0) as bigint) as n_lines, cast(coalesce(r.n_removed, 0) as bigint) as n_removed
 from documents d left join kept using (doc_id) left join n using (doc_id) left join r using (doc_id)
 """
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_LETTERS = " || ".join(
+    f"substr('{_BASE32}', cast(((('0x' || substr(h, {1 + 10 * run}, 10))::bigint >> {35 - 5 * k}) & 31) + 1 as int), 1)"
+    for run in range(4) for k in range(8))
+
+OP3 = f"""
+with p as (select page_id, coalesce(html, '') as body from pages),
+h as (select page_id, cast(strlen(body) as bigint) as payload_bytes, sha1(body) as h from p),
+d as (select page_id, payload_bytes, {_LETTERS} as payload_digest, min(page_id) over (partition by h) as first from h)
+select page_id, payload_bytes, payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id = first then null else first end as refers_to
+from d
+"""

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skygrid.llm import check_sql
-from skygrid.llm.common import table
+from skygrid.llm.common import table, written
 from skygrid.llm.decontamination import find_contamination
 from skygrid.llm.divergence_rules import judge_by_distribution
 from skygrid.llm.line_windows import remove_repeated_windows
 from skygrid.llm.quality_crf import score_quality
 from skygrid.llm.registry import query
 from skygrid.llm.source_mixing import mix_sources
+from skygrid.llm.warc import assemble_captures, read_archives, write_archives
+from skygrid.session import shared_dir
 
 
 @query("op9_benchmark_decontamination", check_sql.OP9)
@@ -52,3 +54,20 @@ def op7(spark, sf_dir):
     """Words that the mixture takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix_sources(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
+
+
+@query("op3_warc_transactions", check_sql.OP3)
+def op3(spark, sf_dir):
+    """Every page written to archives, read back and assembled from its request, response and metadata records."""
+    path = shared_dir(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    captures = assemble_captures(read_archives(spark, path))
+    first = F.col("response.record_type") == "response"
+    rows = written(captures.select(
+        "record_id", F.col("metadata.fields")["pageId"].cast("long").alias("page_id"),
+        F.when(first, F.col("response.sent_bytes")).otherwise(F.col("metadata.fields")["payloadBytes"].cast("long")).alias("payload_bytes"),
+        F.when(first, F.col("response.sent_digest")).otherwise(F.col("response.payload_digest")).alias("payload_digest"),
+        F.col("response.record_type").alias("record_type"), F.col("response.refers_to").alias("_to")), "captures")
+    # A revisit names the response's record; that record's page is looked up.
+    named = rows.where("record_type = 'response'").groupBy(F.col("record_id").alias("_to")).agg(F.min("page_id").alias("refers_to"))
+    return rows.join(named, "_to", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
