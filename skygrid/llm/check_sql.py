@@ -79,3 +79,19 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text |
   cast(sum(24 + length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')})) as bigint) as formatted_chars
 from a group by conv_id
 """
+
+OP10 = f"""
+with recursive d as (
+  select doc_id, regexp_extract_all({_fold('text')}, '[^\x20\x09-\x0D]+') as w from documents),
+s as (
+  select distinct doc_id, array_to_string(w[k + 1:k + 5], ' ') as shingle
+  from (select doc_id, w, unnest(range(greatest(1, len(w) - 4))) as k from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+shared as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+links as (select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)),
+edges as (select a, b from links union select b, a from links),
+reach as (select a as doc_id, b as other from edges union select r.doc_id, e.b from reach r join edges e on e.a = r.other),
+low as (select doc_id, min(other) as m from reach group by doc_id)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, least(d.doc_id, coalesce(low.m, d.doc_id)) as component_id
+from d left join n using (doc_id) left join low using (doc_id)
+"""
