@@ -10,6 +10,7 @@ from skygrid.llm.common import table, written
 from skygrid.llm.decontamination import find_contamination
 from skygrid.llm.divergence_rules import judge_by_distribution
 from skygrid.llm.line_windows import remove_repeated_windows
+from skygrid.llm.lm_difference import score_difference
 from skygrid.llm.quality_crf import score_quality
 from skygrid.llm.registry import query
 from skygrid.llm.set_join import similarity_components
@@ -88,3 +89,11 @@ def op8(spark, sf_dir):
 def op10(spark, sf_dir):
     """Component of every document under links of five-word shingle sets."""
     return similarity_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op4_lm_difference")
+def op4(spark, sf_dir):
+    """Loss of every document under a model of documents of good quality less that under a model of all."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return score_difference(docs, good).select("doc_id", "n_tokens", "target_loss", "background_loss", "loss_difference")
