@@ -68,13 +68,13 @@ class Mix:
         names["n_buckets"] = -(-n_rows // BUCKET_ROWS) or 1
         self.rows = written(sized(docs, **names), "mix-sizes")
         self.texts = lambda: sized(docs, **names, with_text=True)
-        buckets = (self.rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-                   .withColumn("n_blocks", F.ceil(F.col("words") / block_words)))
+        buckets = written(self.rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
+                          .withColumn("n_blocks", F.ceil(F.col("words") / block_words)), "mix-buckets")
         self.sources = written(source_targets(buckets, weights, max_repeats), "mix-sources")
         before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         buckets = buckets.withColumn("first_block", F.coalesce(F.sum("n_blocks").over(before), F.lit(0)))
-        self.buckets = (buckets.join(self.sources, _same_source(buckets, self.sources)).drop(self.sources["source"])
-                        .select("source", "bucket", "first_block", "source_no", "source_size", "target"))
+        self.buckets = written(buckets.join(self.sources, _same_source(buckets, self.sources)).drop(self.sources["source"])
+                               .select("source", "bucket", "first_block", "source_no", "source_size", "target"), "mix-placed")
         # A slot brings a source's mean block, so its share of slots follows from its target and that mean.
         self.expected = F.col("target") * F.col("source_blocks") / F.col("source_size")
         total = self.sources.where("source_size > 0").agg(F.sum(self.expected)).first()[0] or 0.0
@@ -149,7 +149,7 @@ def mix_sources(docs: DataFrame, **parameters) -> DataFrame:
     empty table gives no rows. Reruns agree: all randomness is hashing. Only id, text and source are read.
     """
     mix = Mix(docs, **parameters)
-    packed = mix.packed(mix.rows)
+    packed = written(mix.packed(mix.rows), "mix-packed")
     key = ["source_no", "bucket", "row"]
     taken = (mix.pieces(packed).select(*key, "block", F.col("piece.n").alias("n")).join(mix.slots(), ["source_no", "block"])
              .groupBy(*key).agg(F.sum("n").alias("taken")))
