@@ -11,6 +11,7 @@ from skygrid.llm.decontamination import find_contamination
 from skygrid.llm.divergence_rules import judge_by_distribution
 from skygrid.llm.line_windows import remove_repeated_windows
 from skygrid.llm.lm_difference import score_difference
+from skygrid.llm.pii_surrogates import replace_entities
 from skygrid.llm.quality_crf import score_quality
 from skygrid.llm.registry import query
 from skygrid.llm.set_join import similarity_components
@@ -65,12 +66,15 @@ def op3(spark, sf_dir):
     path = shared_dir(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
     captures = assemble_captures(read_archives(spark, path))
-    first = F.col("response.record_type") == "response"
-    rows = written(captures.select(
-        "record_id", F.col("metadata.fields")["pageId"].cast("long").alias("page_id"),
-        F.when(first, F.col("response.sent_bytes")).otherwise(F.col("metadata.fields")["payloadBytes"].cast("long")).alias("payload_bytes"),
-        F.when(first, F.col("response.sent_digest")).otherwise(F.col("response.payload_digest")).alias("payload_digest"),
-        F.col("response.record_type").alias("record_type"), F.col("response.refers_to").alias("_to")), "captures")
+    # Only these parts of a capture are wanted, so payloads stay behind where they are read.
+    parts = captures.select("record_id", "response.record_type", "response.refers_to", "response.sent_bytes", "response.sent_digest",
+                            "response.payload_digest", "metadata.fields")
+    first = F.col("record_type") == "response"
+    rows = written(parts.select(
+        "record_id", F.col("fields")["pageId"].cast("long").alias("page_id"),
+        F.when(first, F.col("sent_bytes")).otherwise(F.col("fields")["payloadBytes"].cast("long")).alias("payload_bytes"),
+        F.when(first, F.col("sent_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type", F.col("refers_to").alias("_to")), "captures")
     # A revisit names the response's record; that record's page is looked up.
     named = rows.where("record_type = 'response'").groupBy(F.col("record_id").alias("_to")).agg(F.min("page_id").alias("refers_to"))
     return rows.join(named, "_to", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -97,3 +101,14 @@ def op4(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").where("quality = 1")
     return score_difference(docs, good).select("doc_id", "n_tokens", "target_loss", "background_loss", "loss_difference")
+
+
+# A fixed key, so that runs agree; a real one is a secret of whoever runs the job.
+PII_KEY = b"surrogate key of the registered query"
+
+
+@query("op1_pii_surrogates")
+def op1(spark, sf_dir):
+    """Texts with keyed surrogates in place of personal data and secrets."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_entities(docs, key=PII_KEY).select("doc_id", "text", "n_replaced", "entities")
