@@ -35,7 +35,7 @@ def coverage_total(grid: GridSpec, region, weight: str = "count", spark=None,
 
 
 def grid_signature(cube: DataFrame, slice_keys=("slice_id",)) -> DataFrame:
-    """Shape and corner coordinates of every slice, one line per slice."""
+    """Extent of the observed cells of every slice, one line per slice: two slices of one grid may differ."""
     return cube.groupBy(*slice_keys).agg(
         (F.max("i") - F.min("i") + 1).alias("n_rows"), (F.max("j") - F.min("j") + 1).alias("n_cols"),
         *[f(c).alias(f"{c}_{n}") for c in ("lat", "lon") for n, f in (("min", F.min), ("max", F.max))])
@@ -48,6 +48,17 @@ def off_grid_cells(cube: DataFrame, grid: GridSpec, tolerance: float = 1e-6) ->
                       | ~F.col("i").between(0, grid.nlat - 1) | ~F.col("j").between(0, grid.nlon - 1))
 
 
+def _on_grid(cube: DataFrame, grid: GridSpec, tolerance: float = 1e-6) -> DataFrame:
+    """``cube``, raising at the first measured cell whose stored position is not the grid's: rows of another grid are
+    refused in the pass that counts them. A cube without stored positions cannot be told apart."""
+    if not {"lat", "lon"} <= set(cube.columns):
+        return cube
+    ok = ((F.abs(F.col("lat") - grid.lat_of(F.col("i"))) <= tolerance)
+          & (F.abs(F.col("lon") - grid.lon_of(F.col("j"))) <= tolerance))
+    stray = F.raise_error(F.lit("the product mixes grids; point it at one cube")).cast("int")
+    return cube.withColumn("i", F.when(F.coalesce(ok, F.lit(True)), F.col("i")).otherwise(stray))
+
+
 def assert_single_grid(cube: DataFrame, grid: GridSpec) -> None:
     """Raise when a product mixes grids; stops at the first stray cell."""
     if off_grid_cells(cube, grid).limit(1).count():
@@ -81,7 +92,7 @@ def compute_coverage(cube: DataFrame, grid: GridSpec, *, region="taiwan", start=
     ratio = F.try_divide(F.col("valid"), F.col("total"))
     known = cube if slices is None else slices
     known = known.select(slice_key, "time").distinct()
-    valid = restrict_to_region(cube.where(is_finite(F.col("value"))), grid, region, vertices)
+    valid = _on_grid(restrict_to_region(cube.where(is_finite(F.col("value"))), grid, region, vertices), grid)
     w = cell_weight(grid.lat_of(F.col("i")), weight)
 
     if granularity == "per_file":

@@ -72,9 +72,14 @@ def region_cells(grid: GridSpec, region, spark, vertices: DataFrame | None = Non
 
 
 def restrict_to_region(cube: DataFrame, grid: GridSpec, region, vertices: DataFrame | None = None) -> DataFrame:
-    """Cube rows inside a region: a pushed-down predicate for a box, a semi-join for a zone."""
+    """Cube rows inside a region: for a box a range of rows and columns, which reaches the scan; a semi-join for a zone."""
     bounds = box_of(region, vertices)
     if bounds is not None:
-        return cube.where(in_box(grid.lat_of(F.col("i")), grid.lon_of(F.col("j")), bounds))
+        lats, lons = grid.lats(), grid.lons()
+        spans = [(lats >= bounds[2]) & (lats <= bounds[3]), (lons >= bounds[0]) & (lons <= bounds[1])]
+        for name, inside in zip(("i", "j"), spans):
+            places = inside.nonzero()[0]
+            cube = cube.where(F.col(name).between(int(places[0]), int(places[-1])) if places.size else F.lit(False))
+        return cube
     mask = region_cells(grid, region, cube.sparkSession, vertices).select("i", "j")
     return cube.join(hint_if_bounded(mask, grid.size), ["i", "j"], "left_semi")

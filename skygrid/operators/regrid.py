@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from skygrid.functions.geo import is_finite
 from skygrid.operators.qc import drop_zero_fill
 from skygrid.plans.grid import GridSpec
-from skygrid.plans.neighbours import by_block, candidate_cells, gather, nearest_per_cell, offsets_array, window_cells
+from skygrid.plans.dimension import fact_table
+from skygrid.plans.neighbours import candidate_cells, gather, nearest_per_cell, offsets_array, one_per_place, window_cells
 
 CELL = ("granule_id", "i", "j")
 
@@ -48,7 +49,7 @@ def with_extent(pixels: DataFrame) -> DataFrame:
     ``n_rows`` and ``n_cols``; only tables without them pay for a join."""
     if {"n_rows", "n_cols"} <= set(pixels.columns):
         return pixels
-    return pixels.join(swath_extent(pixels), "granule_id")
+    return pixels.join(fact_table(swath_extent(pixels), "extents"), "granule_id")
 
 
 def _weighted_offsets(weights: dict[int, tuple]) -> Column:
@@ -64,8 +65,7 @@ def corners_from_centers(pixels: DataFrame) -> DataFrame:
     The rule is separable, so each pixel adds its weighted position to the corners
     it touches and one hash aggregation adds them up; needs 3 rows and 3 columns.
     """
-    places = by_block(with_extent(pixels).select("granule_id", "row_idx", "col_idx", "n_rows", "n_cols", "lat", "lon"),
-                      ["granule_id"], "row_idx", "col_idx")
+    places = one_per_place(with_extent(pixels), ["granule_id"], "row_idx", "col_idx", ["n_rows", "n_cols", "lat", "lon"])
 
     def weight(k: str, n: str, name: str) -> Column:
         return (F.when(F.col(k) == 0, F.col(f"_o.{name}1")).when(F.col(k) == F.col(n), F.col(f"_o.{name}2"))
@@ -89,12 +89,11 @@ def corners_from_centers(pixels: DataFrame) -> DataFrame:
 def pixel_footprints(pixels: DataFrame, carry=("value", "qa")) -> DataFrame:
     """Each pixel with its four corners ``a..d`` (a = upper row and left column, then around).
 
-    A pixel is sent to the nine neighbours whose corners use it.
+    A pixel is sent to the nine neighbours whose corners use it. Of rows that claim one
+    place the smallest pixel_id counts, so a repeated row changes nothing.
     Pixels with an incomplete neighbourhood have no footprint and are left out.
     """
-    places = by_block(
-        with_extent(pixels).select("granule_id", "row_idx", "col_idx", "n_rows", "n_cols", "pixel_id", "lat", "lon", *carry),
-        ["granule_id"], "row_idx", "col_idx")
+    places = one_per_place(with_extent(pixels), ["granule_id"], "row_idx", "col_idx", ["n_rows", "n_cols", "lat", "lon", *carry])
     row, col, dr, dc = F.col("_r"), F.col("_c"), F.col("_o.dr"), F.col("_o.dc")
     last_row, last_col = F.col("n_rows") - 1, F.col("n_cols") - 1
 
@@ -233,21 +232,20 @@ def overwrite_regrid(pixels: DataFrame, grid: GridSpec, max_distance: float = 0.
     return _one(pairs.groupBy(*CELL).agg(F.max_by("value", "pixel_id").alias("value")))
 
 
-def coarse_granules(pixels: DataFrame, grid: GridSpec, max_distance: float = 0.1) -> DataFrame:
-    """Granules whose median nearest-pixel spacing exceeds 1.5 grid steps: ``granule_id, coarse``.
+def _far_counts(ok: DataFrame, limit: Column) -> DataFrame:
+    """Per granule: pixels ``n``, how many have no other pixel within ``limit`` (``far``), and the smallest of those pixels' distances.
 
-    Only the comparison with the threshold T is needed, so no distance is sorted and
-    no percentile is kept. Pixels are put in buckets of diagonal T. Two pixels in one
-    bucket are both closer than T, and a counted aggregate settles them; only pixels
+    No distance is sorted. Pixels are put in buckets of diagonal ``limit``. Two pixels in one
+    bucket are both closer than that, and a counted aggregate settles them; only pixels
     alone in their bucket look for a neighbour, and a pixel can lie near a bounded
     number of lonely ones, so the pairs grow with the pixels, not with their square.
-    A granule with a single pixel takes ``max_distance`` as its spacing.
+    Distances are looked up to twice the limit; a pixel without a neighbour there has an infinite one.
     """
-    limit = 1.5 * min(grid.lat_step, grid.lon_step)
-    side, reach = limit / 2 ** 0.5, 2 * limit
-    ok = valid_pixels(pixels).select("granule_id", "pixel_id", "lat", "lon")
+    ok = ok.select("granule_id", "pixel_id", "lat", "lon", limit.alias("_limit"))
+    side, reach = F.col("_limit") / 2 ** 0.5, 2 * F.col("_limit")
     buckets = (ok.groupBy("granule_id", F.floor(F.col("lat") / side).alias("_y"), F.floor(F.col("lon") / side).alias("_x"))
-               .agg(F.count("*").alias("n"), *[F.min(c).alias(f"own_{c}") for c in ("pixel_id", "lat", "lon")]))
+               .agg(F.count("*").alias("n"), *[F.min(c).alias(f"own_{c}") for c in ("pixel_id", "lat", "lon")],
+                    F.min("_limit").alias("_limit")))
     lonely = buckets.where(F.col("n") == 1)
     # The search uses wider squares, so a lonely pixel looks into nine of them.
     square = [F.floor(F.col(c) / reach) for c in ("lat", "lon")]
@@ -258,28 +256,46 @@ def coarse_granules(pixels: DataFrame, grid: GridSpec, max_distance: float = 0.1
                       (F.floor(F.col("own_lon") / reach) + F.col("_o.dc")).alias("_x")))
     met = (ok.withColumns({"_y": square[0], "_x": square[1]}).join(probes, ["granule_id", "_y", "_x"])
            .where(F.col("pixel_id") != F.col("own_pixel_id")).groupBy("granule_id", "own_pixel_id")
-           .agg(F.min(F.hypot(F.col("lat") - F.col("own_lat"), F.col("lon") - F.col("own_lon"))).alias("d"))
-           .where(F.col("d") <= reach))
-    # A lonely pixel with nothing in reach is farther than 2T from its neighbour.
+           .agg(F.min(F.hypot(F.col("lat") - F.col("own_lat"), F.col("lon") - F.col("own_lon"))).alias("d"),
+                F.min("_limit").alias("_within"))
+           .where(F.col("d") <= 2 * F.col("_within")).drop("_within"))
+    # A lonely pixel with nothing in reach is farther than twice the limit from its neighbour.
     d = F.coalesce(F.col("d"), F.lit(float("inf")))
-    spaced = (lonely.select("granule_id", "own_pixel_id").join(met, ["granule_id", "own_pixel_id"], "left")
-              .groupBy("granule_id").agg(F.count_if(d > limit).alias("far"),
-                                         F.max(F.when(d <= limit, d)).alias("below"),
-                                         F.min(F.when(d > limit, d)).alias("above")))
+    spaced = (lonely.select("granule_id", "own_pixel_id", "_limit").join(met, ["granule_id", "own_pixel_id"], "left")
+              .groupBy("granule_id").agg(F.count_if(d > F.col("_limit")).alias("far"),
+                                         F.min(F.when(d > F.col("_limit"), d)).alias("above")))
     sized = buckets.groupBy("granule_id").agg(F.sum("n").alias("n"))
-    # An even split puts the median halfway between the two middle distances; the lower
-    # one is taken from the lonely pixels.
-    tie = (F.coalesce(F.col("below"), F.lit(0.0)) + F.col("above")) / 2 > limit
-    return sized.join(spaced, "granule_id", "left").select(
+    return sized.join(spaced, "granule_id", "left").withColumn("far", F.coalesce("far", F.lit(0)))
+
+
+def coarse_granules(pixels: DataFrame, grid: GridSpec, max_distance: float = 0.1) -> DataFrame:
+    """Granules whose median nearest-pixel spacing exceeds 1.5 grid steps: ``granule_id, coarse``.
+
+    Only the comparison with the threshold T is needed, so pixels farther than T from all others
+    are counted. Where they are exactly half, the median lies halfway between the smallest distance above T
+    and the largest one not above; it exceeds T if that lower one exceeds 2T less the upper one, that is, if a
+    count at this second threshold finds more pixels. Only such granules are counted twice.
+    A granule with a single pixel takes ``max_distance`` as its spacing.
+    """
+    limit = 1.5 * min(grid.lat_step, grid.lon_step)
+    ok = valid_pixels(pixels)
+    counts = fact_table(_far_counts(ok, F.lit(limit)), "spacing")
+    second = 2 * F.lit(limit) - F.col("above")
+    half = (F.col("n") > 1) & (2 * F.col("far") == F.col("n"))
+    ties = fact_table(counts.where(half & (second > 0)).select("granule_id", F.col("far").alias("far_at_limit"), second.alias("_second")), "ties")
+    again = (_far_counts(ok.join(ties, "granule_id"), F.col("_second")).select("granule_id", F.col("far").alias("_far"))
+             .join(ties, "granule_id").select("granule_id", (F.col("_far") > F.col("far_at_limit")).alias("tie")))
+    # At or below a second threshold of 0 any distance between different places is larger.
+    return counts.join(again, "granule_id", "left").select(
         "granule_id",
-        F.coalesce(F.when(F.col("n") == 1, F.lit(max_distance > limit))
-                   .when(2 * F.col("far") == F.col("n"), tie)
-                   .otherwise(2 * F.col("far") > F.col("n")), F.lit(False)).alias("coarse"))
+        F.when(F.col("n") == 1, F.lit(max_distance > limit))
+        .when(half, F.coalesce(F.col("tie"), F.lit(True))).otherwise(2 * F.col("far") > F.col("n")).alias("coarse"))
 
 
 def griddata_regrid(pixels: DataFrame, grid: GridSpec, max_distance: float = 0.1) -> DataFrame:
-    """Linear on the mesh, or pixel overwrite for granules coarser than the grid."""
-    tagged = pixels.join(coarse_granules(pixels, grid, max_distance), "granule_id")
+    """Linear on the mesh, or pixel overwrite for granules coarser than the grid. The choice is
+    made once, one row a granule, and meets the pixels in each branch."""
+    tagged = pixels.join(fact_table(coarse_granules(pixels, grid, max_distance), "coarse"), "granule_id")
     return (overwrite_regrid(tagged.where("coarse"), grid, max_distance)
             .unionByName(linear_regrid(tagged.where("not coarse"), grid, max_distance, drop_negative=False)))
 
@@ -287,7 +303,11 @@ def griddata_regrid(pixels: DataFrame, grid: GridSpec, max_distance: float = 0.1
 METHODS = {"griddata": griddata_regrid, "kdtree": nearest_regrid, "rbf": smooth_regrid}
 
 
-def interpolate(pixels: DataFrame, grid: GridSpec, method: str = "griddata", max_distance: float = 0.1) -> DataFrame:
+def interpolate(pixels: DataFrame, grid: GridSpec, method: str = "griddata", max_distance: float = 0.1,
+                qa_threshold: float | None = None) -> DataFrame:
+    """One of the point methods by name. With ``qa_threshold``, values of lower quality are emptied before any method."""
+    if qa_threshold is not None:
+        pixels = pixels.withColumn("value", F.when(F.col("qa") >= qa_threshold, F.col("value")))
     if method not in METHODS:
         raise ValueError(f"unknown interpolation method {method!r}; known: {sorted(METHODS)}")
     return METHODS[method](pixels, grid, max_distance)
@@ -304,7 +324,7 @@ def regrid_by_density(pixels: DataFrame, grid: GridSpec, method: str = "rbf") ->
     """Nearest or smooth gridding with each granule's own search radius."""
     if method not in ("kdtree", "rbf"):
         raise ValueError("method must be 'kdtree' or 'rbf'")
-    sized = pixels.join(search_radius(pixels, grid).select("granule_id", "radius"), "granule_id")
+    sized = pixels.join(fact_table(search_radius(pixels, grid).select("granule_id", "radius"), "radius"), "granule_id")
     return METHODS[method](sized, grid, F.col("radius"))
 
 
@@ -331,7 +351,7 @@ def adaptive_regrid(pixels: DataFrame, grid: GridSpec) -> DataFrame:
     ok = drop_zero_fill(valid_pixels(pixels))
     chosen = granule_stats(ok, grid).select("granule_id", choose_method(F.col("density"), F.col("extent_ratio"))
                                             .alias("method"))
-    tagged = ok.join(chosen, "granule_id")
+    tagged = ok.join(fact_table(chosen, "methods"), "granule_id")
     branches = {"linear": linear_regrid, "idw": idw_regrid, "nearest": nearest_limited}
     parts = [op(tagged.where(F.col("method") == name), grid).withColumn("method", F.lit(name))
              for name, op in branches.items()]
@@ -371,7 +391,7 @@ def footprint_nn_daily(pixels: DataFrame, grid: GridSpec, cap: float = FOOTPRINT
     Only pixels within ``cap`` can be accepted, so the search stops there.
     """
     ok = valid_pixels(footprint_radius(pixels, grid.lat_step, cap)).withColumn("obs_date", F.to_date("obs_time"))
-    scale = ok.groupBy("obs_date").agg(F.cos(F.radians(F.avg("lat"))).alias("lon_scale"))
+    scale = fact_table(ok.groupBy("obs_date").agg(F.cos(F.radians(F.avg("lat"))).alias("lon_scale")), "day-scale")
     pairs = candidate_cells(ok.join(scale, "obs_date"), grid, cap, F.col("lon_scale"))
     best = nearest_per_cell(pairs, ("obs_date", "i", "j"), "pixel_id", ["value", "radius"])
     return best.where(F.col("d") <= F.col("radius")).select("obs_date", "i", "j", "value")

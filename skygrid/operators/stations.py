@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skygrid.functions.geo import deg_distance, finite, in_box
 from skygrid.functions.time import local_day_window, to_local
+from skygrid.plans.dimension import BROADCAST_ROWS
 from skygrid.plans.grid import GridSpec
 from skygrid.plans.neighbours import offsets_array
 
@@ -31,9 +32,15 @@ def nearest_cell(stations: DataFrame, grid: GridSpec) -> DataFrame:
 
 def _frame(cube: DataFrame, cells: DataFrame, time_keys: Sequence[str]) -> DataFrame:
     """Every time of the cube for every station; the stations ride along as one array."""
-    times = cube.select(*time_keys).distinct()
-    names = cells.select("station").distinct().agg(F.collect_list("station")).scalar()
-    return times.withColumn("station", F.explode(names))
+    return _for_every_station(cube.select(*time_keys).distinct(), cells)
+
+
+def _for_every_station(times: DataFrame, stations: DataFrame) -> DataFrame:
+    """Each row of ``times`` once for each station. The names travel as one literal array, so their number is checked."""
+    names = stations.select("station").distinct()
+    if (n := names.count()) > BROADCAST_ROWS:
+        raise ValueError(f"{n} stations; at most {BROADCAST_ROWS} may be framed at once")
+    return times.withColumn("station", F.explode(names.agg(F.collect_list("station")).scalar()))
 
 
 def extract_point(cube: DataFrame, stations: DataFrame, grid: GridSpec, time_keys=("time",)) -> DataFrame:
@@ -62,8 +69,7 @@ def fill_missing_dates(series: DataFrame, stations: DataFrame, start: str, end:
     spark = series.sparkSession
     days = spark.sql("select explode(sequence(to_date(:s), to_date(:e))) as _d", args={"s": start, "e": end})
     gone = days.join(series.select(F.to_date("time").alias("_d")).distinct(), "_d", "left_anti")
-    names = stations.select("station").distinct().agg(F.collect_list("station")).scalar()
-    filler = gone.select(F.col("_d").cast("timestamp").alias("time")).withColumn("station", F.explode(names))
+    filler = _for_every_station(gone.select(F.col("_d").cast("timestamp").alias("time")), stations)
     return series.unionByName(filler, allowMissingColumns=True)
 
 

@@ -75,16 +75,27 @@ def nearest_per_cell(pairs: DataFrame, keys: Sequence[str], order: str, values:
 
 
 def by_block(df: DataFrame, group: Sequence[str], row: str, col: str, side: int = 32) -> DataFrame:
-    """Rows spread by blocks of ``side`` x ``side`` positions.
+    """Rows spread by blocks of ``side`` x ``side`` positions, named by ``_br`` and ``_bc``.
 
     Neighbours then mostly meet in one task, whose partial aggregate merges what they
     send each other: the next exchange carries little more than one row per position
     instead of one per neighbour. A block is small whatever the size of its granule.
-    The partition count is the session's own, given explicitly: rows multiply right
-    after this exchange, so its small size must not make Spark merge its tasks.
+    No number of partitions is given, so adaptive execution sizes the tasks.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(tasks, *group, F.expr(f"{row} div {side}"), F.expr(f"{col} div {side}"))
+    placed = df.withColumns({"_br": F.expr(f"{row} div {side}"), "_bc": F.expr(f"{col} div {side}")})
+    return placed.repartition(*group, "_br", "_bc")
+
+
+def one_per_place(df: DataFrame, group: Sequence[str], row: str, col: str, values: Sequence[str], order: str = "pixel_id") -> DataFrame:
+    """``by_block`` with a single row for each position: of several, the one of smallest ``order``.
+
+    The block is part of the grouping key, so the exchange by block serves this aggregate too.
+    """
+    fields = [order, *values]
+    key = [*group, "_br", "_bc", row, col]
+    kept = (by_block(df.select(*group, row, col, *fields), group, row, col)
+            .groupBy(*key).agg(F.min_by(F.struct(*fields), order).alias("_v")))
+    return kept.select(*group, row, col, *[F.col(f"_v.{c}").alias(c) for c in fields])
 
 
 def gather(df: DataFrame, group: Sequence[str], row: str, col: str,

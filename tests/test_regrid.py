@@ -135,8 +135,6 @@ def test_coarse_granules_against_medians(spark, scale):
         p = np.array([(r[2], r[3]) for r in rows if r[0] == g])
         d = np.hypot(p[:, None, 0] - p[None, :, 0], p[:, None, 1] - p[None, :, 1]) + np.eye(len(p)) * 1e9
         dist = np.sort(d.min(axis=1))
-        if len(dist) % 2 == 0 and dist[len(dist) // 2 - 1] <= 0.375 < dist[len(dist) // 2]:
-            continue  # an even split: the lower middle distance is a bound only
         assert got[g] == (np.median(dist) > 0.375), (g, np.median(dist))
 
 
