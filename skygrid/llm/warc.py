@@ -161,7 +161,8 @@ def assemble_captures(records: DataFrame) -> DataFrame:
     return (main.select("record_id", "record_type", "refers_to", "target_uri", "date", "http_head", "payload", "payload_digest",
                         F.octet_length("payload").cast("long").alias("sent_bytes"), base32_sha1(F.col("payload")).alias("sent_digest"))
             .join(partner("request"), "record_id", "left").join(partner("metadata"), "record_id", "left")
+            .withColumn("metadata", F.when(F.col("metadata").isNotNull(), F.struct(F.col("metadata.id").alias("id"), fields.alias("fields"))))
             .select("record_id", "target_uri", "date",
                     F.struct("record_type", "refers_to", "http_head", "payload", "payload_digest", "sent_bytes", "sent_digest").alias("response"),
-                    "request", F.when(F.col("metadata").isNotNull(), F.struct(F.col("metadata.id").alias("id"), fields.alias("fields"))).alias("metadata"),
+                    "request", "metadata",
                     F.coalesce("n_request", F.lit(0)).alias("n_requests"), F.coalesce("n_metadata", F.lit(0)).alias("n_metadata")))
