@@ -30,44 +30,71 @@ def month_filter(start, end) -> Column:
                        F.date_format(F.lit(end).cast("timestamp"), "yyyyMM"))
 
 
-def scan_cube(spark: SparkSession, path: str, product: str, start=None, end=None,
-              layout: str = "year_month") -> DataFrame:
-    """Cube rows of a product; month partitions outside the range are pruned.
+# Columns of a stored cube besides its partition columns.
+CUBE_SCHEMA = ("time timestamp, slice_id string, i int, j int, lat double, lon double, value double, count double, std double, "
+               "units string, processing_method string, description string, source string, resolution string, "
+               "hub string, level string, region string, product string, yyyy string, mm string")
 
-    A ``flat`` layout has no month partitions. Unreadable files are skipped.
+
+def _cube_files(spark: SparkSession, path: str, schema: str, skip_damaged: bool) -> DataFrame:
+    return (spark.read.schema(schema).option("ignoreCorruptFiles", str(skip_damaged).lower())
+            .option("pathGlobFilter", "[!.]*.parquet").parquet(path))
+
+
+def scan_cube(spark: SparkSession, path: str, product: str, start=None, end=None, layout: str = "year_month", *,
+              hub: str | None = None, level: str | None = None, region: str | None = None,
+              schema: str = CUBE_SCHEMA, skip_damaged: bool = False) -> DataFrame:
+    """Cube rows of one product, and of one hub, level and region where given; other partitions are pruned.
+
+    A ``flat`` layout has no month partitions. The schema is fixed, so no file is opened to find it. A damaged file
+    stops the scan unless ``skip_damaged`` is set; ``unread_files`` names those that were left out.
     """
-    cube = (spark.read.option("ignoreCorruptFiles", "true").option("pathGlobFilter", "[!.]*.parquet")
-            .parquet(path).where(F.col("product") == product))
+    cube = _cube_files(spark, path, schema, skip_damaged).where(F.col("product") == product)
+    for name, wanted in (("hub", hub), ("level", level), ("region", region)):
+        if wanted is not None:
+            cube = cube.where(F.col(name) == wanted)
     if layout == "year_month" and start is not None and end is not None:
-        cube = cube.withColumns({"yyyy": F.col("yyyy").cast("string"), "mm": F.lpad(F.col("mm").cast("string"), 2, "0")})
-        cube = cube.where(month_filter(start, end))
+        cube = cube.withColumn("mm", F.lpad("mm", 2, "0")).where(month_filter(start, end))
     return cube
 
 
+def unread_files(spark: SparkSession, path: str, schema: str = CUBE_SCHEMA) -> DataFrame:
+    """Files below ``path`` that a scan which skips damage takes no row from: path and length."""
+    named = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    seen = _cube_files(spark, path, schema, True).select(named(F.col("_metadata.file_path")).alias("path")).distinct()
+    files = file_inventory(spark, path, "[!.]*.parquet").select(named(F.col("path")).alias("path"), "length")
+    return files.join(seen, "path", "left_anti")
+
+
 def slices(cube: DataFrame, start, end, path: str | None = None, time: str = "time") -> DataFrame:
     """Rows whose time lies in [start, end]; a missing time is read from the file name."""
     if path is None:
         return cube.where(in_date_range(F.col(time), start, end))
-    named = F.coalesce(F.col(time), granule_time(F.col(path)))
-    # The lambda lets both bounds see one parse of the name instead of one each.
-    inside = F.exists(F.array(named), lambda t: in_date_range(t, start, end))
-    return cube.where(inside).withColumn(time, named)
+    # Rows that have a time are left to the scan's own filters; only the others have their name parsed.
+    timed = cube.where(F.col(time).isNotNull() & in_date_range(F.col(time), start, end))
+    named = cube.where(F.col(time).isNull()).withColumn(time, granule_time(F.col(path)))
+    return timed.unionByName(named.where(in_date_range(F.col(time), start, end)))
 
 
 def cube_layout(cube: DataFrame, *, hub: str, product: str, level: str = "L2", region: str = "taiwan",
-                units: str = "", method: str = "") -> DataFrame:
+                units: str = "", method: str = "", description: str = "", source: str = "", resolution: str = "") -> DataFrame:
     """Cube rows with their partition columns and the attributes of the field."""
     return cube.withColumns({
         "hub": F.lit(hub), "product": F.lit(product), "level": F.lit(level), "region": F.lit(region),
         "units": F.lit(units), "processing_method": F.lit(method),
+        "description": F.lit(description), "source": F.lit(source), "resolution": F.lit(resolution),
         "yyyy": F.date_format("time", "yyyy"), "mm": F.date_format("time", "MM")})
 
 
-def write_cube(cube: DataFrame, path: str, mode: str = "append") -> None:
+def write_cube(cube: DataFrame, path: str, mode: str = "replace") -> None:
     """Partitioned Parquet. Rows are rebalanced by output partition: small months share a
-    task and make one file each, a large month is split over several tasks."""
-    (cube.hint("rebalance", *[F.col(c) for c in CUBE_PARTITIONS])
-     .write.mode(mode).partitionBy(*CUBE_PARTITIONS).parquet(path))
+    task and make one file each, a large month is split over several tasks. Months present in ``cube`` are replaced,
+    so writing one twice leaves it once; ``append`` adds to them."""
+    if mode == "replace":
+        rebuild_partitions(cube, path)
+    else:
+        (cube.hint("rebalance", *[F.col(c) for c in CUBE_PARTITIONS])
+         .write.mode(mode).partitionBy(*CUBE_PARTITIONS).parquet(path))
 
 
 def rebuild_partitions(cube: DataFrame, path: str, partitions: Sequence[str] = CUBE_PARTITIONS) -> None:

@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
-from skygrid.functions.geo import finite
+from skygrid.functions.geo import cell_weight, finite
 from skygrid.functions.numbers import round_even
 from skygrid.operators.accumulate import weighted_stats
+from skygrid.operators.coverage import coverage_total
+from skygrid.operators.region import restrict_to_region
 from skygrid.operators.regrid import supersample_regrid
 from skygrid.plans.grid import GridSpec
 from skygrid.sources.tables import rebuild_partitions
@@ -23,7 +26,7 @@ def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int |
     return reader.parquet(path)
 
 
-def _read_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _read_or_none(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """A table that may not exist before the first batch."""
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(path)
@@ -33,36 +36,72 @@ def _read_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-LEDGER = "granule_id long, status string, processed_at timestamp, batch_id long"
+LEDGER = "granule_id long, status string, n_pixels long, processed_at timestamp, batch_id long"
+
+
+def _stored(spark: SparkSession, path: str, schema: StructType, batches: list[int]) -> DataFrame:
+    """Rows that the named batches have written; other batch partitions are not read."""
+    fields = StructType([*schema.fields, StructField("batch_id", LongType())])
+    return _read_or_none(spark, path, fields).where(F.col("batch_id").isin(batches)).drop("batch_id")
 
 
 def ingest_granules(stream: DataFrame, sink: str, ledger: str, checkpoint: str,
-                    transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
-    """Write each granule once, recording it in the ledger.
+                    transform: Callable[[DataFrame], DataFrame] | None = None, expected: str | None = None) -> StreamingQuery:
+    """Keep each pixel of each granule once, recording granules in the ledger.
 
-    A batch is an anti-join with the granules of earlier batches. It writes its own
-    ``batch_id`` partition and replaces it when repeated, so a batch that is re-run
-    after a lost executor or driver leaves the same rows.
+    A granule may arrive over several batches and files may come twice: a batch keeps the pixels that no earlier batch
+    of the same granules has. It writes its own ``batch_id`` partition once, everything else is read from there, and a
+    batch that is re-run after a lost executor or driver replaces it with the same rows.
+
+    With ``transform`` the pixels go to ``<sink>-pixels``, and the granules a batch has added to are transformed whole into
+    ``sink``; ``latest`` picks the newest result of each. ``expected`` names a column with the number of pixels of the
+    granule: until they are all there the granule is recorded as ``partial`` and not transformed.
     """
+    pixels_at = f"{sink}-pixels" if transform else sink
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        seen = (_read_or_none(spark, ledger, LEDGER).where(F.col("batch_id") < batch_id)
-                .select("granule_id").distinct())
-        fresh = batch.dropDuplicates(["granule_id", "pixel_id"]).join(seen, "granule_id", "left_anti")
-        out = transform(fresh) if transform else fresh
-        out.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
-        status = fresh.groupBy("granule_id").agg(
-            F.when(F.count(finite(F.col("value"))) > 0, "ok").otherwise("empty").alias("status"),
-            F.current_timestamp().alias("processed_at"))
+        touched = batch.select("granule_id").distinct()
+        before = (_read_or_none(spark, ledger, LEDGER).where(F.col("batch_id") < batch_id)
+                  .join(touched, "granule_id", "left_semi").select("batch_id").distinct())
+        # A batch number each, of the batches that hold parts of the same granules.
+        batches = [r[0] for r in before.collect()]
+        seen = _stored(spark, pixels_at, batch.schema, batches).select("granule_id", "pixel_id")
+        fresh = batch.dropDuplicates(["granule_id", "pixel_id"]).join(seen, ["granule_id", "pixel_id"], "left_anti").select(batch.columns)
+        fresh.write.mode("overwrite").parquet(f"{pixels_at}/batch_id={batch_id}")
+        new = spark.read.schema(batch.schema).parquet(f"{pixels_at}/batch_id={batch_id}")
+        grown = new.select("granule_id").distinct()
+        whole = new.unionByName(_stored(spark, pixels_at, batch.schema, batches).join(grown, "granule_id", "left_semi"))
+        n, valid = F.count("*"), F.count(finite(F.col("value")))
+        short = n < F.max(expected) if expected else F.lit(False)
+        status = whole.groupBy("granule_id").agg(
+            F.when(short, "partial").when(valid > 0, "ok").otherwise("empty").alias("status"),
+            n.alias("n_pixels"), F.current_timestamp().alias("processed_at"))
+        if transform:
+            ready = whole.join(status.where("status <> 'partial'").select("granule_id"), "granule_id", "left_semi") if expected else whole
+            transform(ready).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
         status.write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")
 
     return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-def stream_grid(stream: DataFrame, grid: GridSpec, sink: str, ledger: str, checkpoint: str, k: int = 4) -> StreamingQuery:
-    """Grid every arriving granule by supersampling; a granule arrives whole in one batch."""
-    return ingest_granules(stream, sink, ledger, checkpoint, lambda pixels: supersample_regrid(pixels, grid, k))
+def current_status(spark: SparkSession, ledger: str) -> DataFrame:
+    """The newest ledger line of each granule."""
+    lines = spark.read.schema(LEDGER).option("basePath", ledger).parquet(ledger)
+    return lines.groupBy("granule_id").agg(F.max_by("status", "batch_id").alias("status"), F.max_by("n_pixels", "batch_id").alias("n_pixels"),
+                                           F.max("batch_id").alias("batch_id"))
+
+
+def latest(spark: SparkSession, sink: str, ledger: str) -> DataFrame:
+    """Transformed rows of each granule's newest batch; results of a granule's earlier parts are left out."""
+    return spark.read.parquet(sink).join(current_status(spark, ledger).select("granule_id", "batch_id"), ["granule_id", "batch_id"], "left_semi")
+
+
+def stream_grid(stream: DataFrame, grid: GridSpec, sink: str, ledger: str, checkpoint: str, k: int = 4,
+                expected: str | None = None) -> StreamingQuery:
+    """Grid every arriving granule by supersampling, again when more of it arrives; read the result with ``latest``."""
+    return ingest_granules(stream, sink, ledger, checkpoint, lambda pixels: supersample_regrid(pixels, grid, k), expected)
 
 
 def daily_mean(stream: DataFrame, grid: GridSpec, delay: str = "2 days") -> DataFrame:
@@ -86,10 +125,18 @@ def write_closed_days(means: DataFrame, sink: str, checkpoint: str) -> Streaming
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def closed_day_coverage(closed: DataFrame, grid: GridSpec) -> DataFrame:
-    """Share of the grid with a value, per closed day."""
-    return (closed.groupBy("obs_date").agg(F.count(finite(F.col("value"))).alias("valid"))
-            .withColumn("coverage", round_even(F.col("valid") / F.lit(float(grid.size)), 5)))
+def closed_day_coverage(closed: DataFrame, grid: GridSpec, region=None, weight: str = "count",
+                        vertices: DataFrame | None = None) -> DataFrame:
+    """Share of the grid, or of a region, with a value, per closed day; cells by number or by area."""
+    if region is None:
+        region = (float("-inf"), float("inf"), float("-inf"), float("inf"))
+    total = coverage_total(grid, region, weight, closed.sparkSession, vertices)
+    inside = restrict_to_region(closed.where(finite(F.col("value")).isNotNull()), grid, region, vertices)
+    w = cell_weight(grid.lat_of(F.col("i")), weight)
+    seen = inside.groupBy("obs_date").agg(F.sum(w).alias("valid"))
+    return (closed.select("obs_date").distinct().join(seen, "obs_date", "left")
+            .select("obs_date", F.coalesce("valid", F.lit(0.0)).alias("valid"))
+            .withColumn("coverage", round_even(F.try_divide(F.col("valid"), total), 5)))
 
 
 def reprocess_window(rebuilt: DataFrame, sink: str, day: str = "obs_date") -> None:

@@ -107,14 +107,14 @@ def c6(t):
 
 
 @query("V6_temporal_availability", ["v_field"], f"""
-with {SLOTS}, seen as (select distinct variable, time_utc from v_field where value > 60)
+with {SLOTS}, seen as (select distinct variable, time_utc from v_field)
 select variable, count(o.time_utc) as present, count(*) as expected, {R6('count(o.time_utc) / count(*)')} as availability
 from slots s left join seen o using (variable, time_utc) group by 1""")
 def v6(t):
     span = t.field.agg(F.min("time_utc").alias("a"), (F.max("time_utc") + F.expr("interval 9 hours")).alias("b"))
     keys = t.field.select("variable").distinct()
     slots = expected_slots(keys, span.select("a").scalar(), span.select("b").scalar(), 60)
-    out = coverage.temporal_availability(t.field.where("value > 60"), slots)
+    out = coverage.temporal_availability(t.field, slots)
     return out.withColumn("availability", r6("availability"))
 
 

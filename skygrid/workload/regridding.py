@@ -75,17 +75,30 @@ def r1(t):
     return c.select("granule_id", "k", "l", r6("lat").alias("lat"), r6("lon").alias("lon"))
 
 
-@query("W2_pixel_footprints", ["v_pixel"], f"""
+FOOTPRINTS = f"""
 with {CORNERS} select p.pixel_id, {', '.join(f"{R6(f'{n}.{x}')} as {n}_{x}" for n in 'abcd' for x in ('lat', 'lon'))}
 from v_pixel p join corners a on a.granule_id = p.granule_id and a.k = p.row_idx and a.l = p.col_idx
 join corners b on b.granule_id = p.granule_id and b.k = p.row_idx + 1 and b.l = p.col_idx
 join corners c on c.granule_id = p.granule_id and c.k = p.row_idx + 1 and c.l = p.col_idx + 1
-join corners d on d.granule_id = p.granule_id and d.k = p.row_idx and d.l = p.col_idx + 1""")
-def w2(t):
-    feet = regrid.pixel_footprints(t.pixel)
+join corners d on d.granule_id = p.granule_id and d.k = p.row_idx and d.l = p.col_idx + 1"""
+
+
+def _footprints(pixels):
+    feet = regrid.pixel_footprints(pixels)
     return feet.select("pixel_id", *[r6(f"{n}_{x}").alias(f"{n}_{x}") for n in "abcd" for x in ("lat", "lon")])
 
 
+@query("W2_pixel_footprints", ["v_pixel"], FOOTPRINTS)
+def w2(t):
+    return _footprints(t.pixel)
+
+
+@query("W2_repeated_rows", ["v_pixel"], FOOTPRINTS)
+def w2_repeated(t):
+    """Every seventh pixel comes twice; no footprint is lost or moved."""
+    return _footprints(t.pixel.union(t.pixel.where(F.col("pixel_id") % 7 == 0)))
+
+
 def supersample_ctes(name="gridded", k=4, threshold=0.5):
     blend = lambda x: f"(1 - s) * (1 - t) * a.{x} + s * (1 - t) * b.{x} + s * t * c.{x} + (1 - s) * t * d.{x}"
     g = BIN_GRID

@@ -19,8 +19,12 @@ from skygrid.workload.registry import query
 select strftime(obs_date, '%Y') as yyyy, strftime(obs_date, '%m') as mm, count(*) as n_rows, {CENTS('value')} as total
 from v_cube where strftime(obs_date, '%Y%m') between '199603' and '199902' group by 1, 2""")
 def a1(t):
-    cube = tables.cube_layout(t.cube_slices(), hub="modis", product="MYD04_L2")
-    return (cube.where(tables.month_filter("1996-03-15", "1999-02-10")).groupBy("yyyy", "mm")
+    """A cube of two regions on disk; one region and a range of months are scanned."""
+    path = shared_dir(t.spark, "scan")
+    for region in ("taiwan", "east_asia"):
+        tables.write_cube(tables.cube_layout(t.cube_slices(), hub="modis", product="MYD04_L2", region=region), path)
+    cube = tables.scan_cube(t.spark, path, "MYD04_L2", "1996-03-15", "1999-02-10", hub="modis", level="L2", region="taiwan")
+    return (cube.groupBy("yyyy", "mm")
             .agg(F.count("*").alias("n_rows"), cents("value").alias("total")))
 
 
@@ -172,6 +176,22 @@ def a14(t):
     return t.filename.where(tables.is_real_file(F.concat(F.lit("/data/"), "name")))
 
 
+@query("A14_damaged_files", ["v_cube"], f"""
+select count(*) as n_rows, {CENTS('value')} as total, 1 as n_unread from v_cube""")
+def a14_damaged(t):
+    """A cube beside a file that is no Parquet: the scan leaves that file out on request and tells its name."""
+    path = shared_dir(t.spark, "damaged")
+    tables.write_cube(tables.cube_layout(t.cube_slices(), hub="modis", product="MYD04_L2"), path)
+    broken = f"{path}/hub=modis/level=L2/region=taiwan/product=MYD04_L2/yyyy=1992/mm=01/broken.parquet"
+    fs_path = t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(broken)
+    out = fs_path.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration()).create(fs_path)
+    out.writeBytes("not a table")
+    out.close()
+    unread = tables.unread_files(t.spark, path).agg(F.count("*").cast("int")).scalar()
+    return (tables.scan_cube(t.spark, path, "MYD04_L2", skip_damaged=True)
+            .agg(F.count("*").alias("n_rows"), cents("value").alias("total")).withColumn("n_unread", unread))
+
+
 @query("A15_write_cube", ["v_cube"], f"""
 select 'modis' as hub, 'L2' as level, 'taiwan' as region, 'MYD04_L2' as product, cast(strftime(obs_date, '%Y') as int) as yyyy,
        cast(strftime(obs_date, '%m') as int) as mm, count(*) as n_rows, {CENTS('value')} as total from v_cube group by 5, 6""")
@@ -224,13 +244,6 @@ def a18(t):
             .agg(F.count("*").alias("n_rows"), cents("value").alias("total")))
 
 
-@query("A19_file_inventory")
-def a19(t):
-    """The data folder's own files; sizes and times come from the file system."""
-    files = tables.file_inventory(t.spark, t.sf_dir, "*.parquet")
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", (F.col("length") > 0).alias("filled"))
-
-
 @query("A2_undated_files", ["v_filename"], "select file_id from v_filename where name like '.\\_%' escape '\\'")
 def a2_undated(t):
     """Names no pattern can date."""

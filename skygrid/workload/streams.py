@@ -33,14 +33,28 @@ def x1(t):
         t.pixel.repartition("granule_id").write.mode("append").parquet(f"{base}/in")
     ingest.ingest_granules(_stream(t, base), f"{base}/out", f"{base}/ledger", f"{base}/cp").awaitTermination()
     kept = t.spark.read.parquet(f"{base}/out").groupBy("granule_id").agg(F.count("*").alias("n"), cents("value").alias("total"))
-    return kept.join(t.spark.read.parquet(f"{base}/ledger").select("granule_id", "status"), "granule_id")
+    return kept.join(ingest.current_status(t.spark, f"{base}/ledger").select("granule_id", "status"), "granule_id")
+
+
+@query("X1_split_granule", ["v_pixel"], f"""
+select granule_id, 'ok' as status, count(*) as n_pixels, {CENTS('value')} as total from v_pixel group by granule_id""")
+def x1_split(t):
+    """Every granule in three files that arrive in batches of their own; all its pixels are kept and counted."""
+    base = shared_dir(t.spark, "split")
+    whole = t.pixel.join(t.pixel.groupBy("granule_id").agg(F.count("*").alias("n_expected")), "granule_id")
+    for part in range(3):
+        whole.where(F.col("pixel_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = ingest.read_stream(t.spark, f"{base}/in", whole.schema, 1)
+    ingest.ingest_granules(stream, f"{base}/out", f"{base}/ledger", f"{base}/cp", expected="n_expected").awaitTermination()
+    kept = t.spark.read.parquet(f"{base}/out").groupBy("granule_id").agg(cents("value").alias("total"))
+    return kept.join(ingest.current_status(t.spark, f"{base}/ledger").select("granule_id", "status", "n_pixels"), "granule_id")
 
 
 @query("X2_stream_grid", ["v_pixel"], f"with {supersample_ctes()} select granule_id, i, j, {R6('value')} as value, count from gridded")
 def x2(t):
     base = _land(t, "grid")
     ingest.stream_grid(_stream(t, base, 4), BIN_GRID, f"{base}/out", f"{base}/ledger", f"{base}/cp").awaitTermination()
-    return cells_out(t.spark.read.parquet(f"{base}/out"), "count")
+    return cells_out(ingest.latest(t.spark, f"{base}/out", f"{base}/ledger"), "count")
 
 
 CELLS = f"""{grid_edges_ctes(BIN_GRID)},
@@ -68,7 +82,7 @@ def x3(t):
 
 
 @query("X4_stream_daily_coverage", ["v_pixel"], f"""
-with {CELLS} select strftime(obs_date, '%Y-%m-%d') as obs_date, count(value) as valid, round_even(count(value) / 357e0, 5) as coverage from closed group by 1""")
+with {CELLS} select strftime(obs_date, '%Y-%m-%d') as obs_date, cast(count(value) as double) as valid, round_even(count(value) / 357e0, 5) as coverage from closed group by 1""")
 def x4(t):
     days = ingest.closed_day_coverage(_closed(t, "coverage")[1], BIN_GRID)
     return days.select(ds("obs_date").alias("obs_date"), "valid", "coverage")

@@ -32,4 +32,4 @@ def test_entry(spark):
 def test_contract():
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
     assert set(QUERIES) <= set(entry_module.queries())
-    assert set(QUERIES) - set(ORACLE) == {"A19_file_inventory"}
+    assert set(QUERIES) == set(ORACLE)

@@ -25,7 +25,11 @@ def test_scan_prunes_months_and_survives_bad_files(spark, tmp_path):
     month = tmp_path / "cube/hub=gems/level=L2/region=taiwan/product=NO2/yyyy=2024/mm=02"
     (month / "broken.parquet").write_bytes(b"not a parquet file at all")
     (month / "._sidecar.parquet").write_bytes(b"x")
-    got = tables.scan_cube(spark, path, "NO2", "2024-02-10", "2024-03-31")
+    with pytest.raises(Exception):
+        tables.scan_cube(spark, path, "NO2", "2024-02-10", "2024-03-31").count()
+    got = tables.scan_cube(spark, path, "NO2", "2024-02-10", "2024-03-31", skip_damaged=True)
+    assert [r.path.split("/")[-1] for r in tables.unread_files(spark, path).collect()] == ["broken.parquet"]
+    assert tables.scan_cube(spark, path, "NO2", region="east_asia", skip_damaged=True).count() == 0
     assert {(r.yyyy, r.mm) for r in got.select("yyyy", "mm").distinct().collect()} == {("2024", "02"), ("2024", "03")}
     assert got.count() == 12
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
@@ -36,6 +40,13 @@ def test_scan_prunes_months_and_survives_bad_files(spark, tmp_path):
     assert got.first().units == "u"
 
 
+def test_writing_a_month_twice_leaves_it_once(spark, tmp_path):
+    path = str(tmp_path / "cube")
+    for _ in range(2):
+        tables.write_cube(layout(spark), path)
+    assert tables.scan_cube(spark, path, "NO2").count() == 18
+
+
 def test_small_months_make_one_file(spark, tmp_path):
     path = tmp_path / "cube"
     tables.write_cube(layout(spark), str(path))
@@ -128,5 +139,28 @@ def test_streamed_grid_equals_batch(spark, tmp_path):
     ingest.stream_grid(ingest.read_stream(spark, src, px.schema, 1), GRID, str(tmp_path / "out"), str(tmp_path / "led"),
                        str(tmp_path / "cp")).awaitTermination()
     pick = ["granule_id", "i", "j", F.round("value", 9).alias("value"), "count"]
-    got, want = spark.read.parquet(str(tmp_path / "out")).select(*pick), regrid.supersample_regrid(px, GRID).select(*pick)
+    done = ingest.latest(spark, str(tmp_path / "out"), str(tmp_path / "led"))
+    got, want = done.select(*pick), regrid.supersample_regrid(px, GRID).select(*pick)
     assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+
+
+def test_split_granule_is_kept_whole(spark, tmp_path):
+    """Halves of a granule in two batches: both are kept, and the grid is made of both."""
+    src, out, led, cp = (str(tmp_path / n) for n in ("in", "out", "led", "cp"))
+    px = swath(spark, granule=1, value=lambda la, lo: la).withColumn("n", F.lit(56))
+    for half in (0, 1):
+        px.where(F.col("col_idx") % 2 == half).coalesce(1).write.mode("append").parquet(src)
+    ingest.stream_grid(ingest.read_stream(spark, src, px.schema, 1), GRID, out, led, cp, expected="n").awaitTermination()
+    pick = ["granule_id", "i", "j", F.round("value", 9).alias("value"), "count"]
+    got, want = ingest.latest(spark, out, led).select(*pick), regrid.supersample_regrid(px, GRID).select(*pick)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+    lines = spark.read.parquet(led).orderBy("batch_id").select("status", "n_pixels").collect()
+    assert [tuple(r) for r in lines] == [("partial", 32), ("ok", 56)]
+
+
+def test_repeated_pixel_changes_no_footprint(spark):
+    px = swath(spark, granule=1, value=lambda la, lo: la)
+    twice = px.union(px.where("row_idx = 3 and col_idx = 3"))
+    assert regrid.pixel_footprints(twice).count() == regrid.pixel_footprints(px).count() > 0
+    got = regrid.corners_from_centers(twice)
+    assert got.where("lat is null").count() == 0 and got.exceptAll(regrid.corners_from_centers(px)).count() == 0
