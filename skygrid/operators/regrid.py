@@ -86,6 +86,23 @@ def corners_from_centers(pixels: DataFrame) -> DataFrame:
                          F.when(complete, F.col("lon")).alias("lon"))
 
 
+CORNER_COLUMNS = tuple(f"{n}_{x}" for n in "abcd" for x in ("lat", "lon"))
+
+
+def near_wanted(pixels: DataFrame, wanted: Column, side: int = 32) -> DataFrame:
+    """Pixels in the blocks of ``side`` x ``side`` positions that hold a wanted pixel, and in the blocks around those.
+
+    The probe reads narrow columns under pushed-down filters; its blocks, one row each, are counted before they
+    meet the pixels. Neighbours within a block's width are all there, so corners of wanted pixels do not change.
+    """
+    block = {"_br": F.expr(f"row_idx div {side}"), "_bc": F.expr(f"col_idx div {side}")}
+    around = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
+    blocks = (pixels.where(wanted).withColumns(block).select("granule_id", "_br", "_bc").distinct()
+              .withColumn("_o", F.explode(offsets_array(around)))
+              .select("granule_id", (F.col("_br") + F.col("_o.dr")).alias("_br"), (F.col("_bc") + F.col("_o.dc")).alias("_bc")).distinct())
+    return pixels.withColumns(block).join(fact_table(blocks, "blocks"), ["granule_id", "_br", "_bc"], "left_semi").drop("_br", "_bc")
+
+
 def pixel_footprints(pixels: DataFrame, carry=("value", "qa")) -> DataFrame:
     """Each pixel with its four corners ``a..d`` (a = upper row and left column, then around).
 
@@ -122,13 +139,18 @@ def pixel_footprints(pixels: DataFrame, carry=("value", "qa")) -> DataFrame:
 def supersample_regrid(pixels: DataFrame, grid: GridSpec, k: int = 4, qa_threshold: float = 0.5) -> DataFrame:
     """Area-weighted gridding: k x k points spread over each footprint, weight qa / k^2 each.
 
-    ``value`` is the weighted mean of the points in a cell, ``count`` their number.
+    ``value`` is the weighted mean of the points in a cell, ``count`` their number. Footprints are derived from
+    neighbouring centres, or taken from columns ``a_lat`` .. ``d_lon`` where the granule has them.
     """
     if "qa" not in pixels.columns:
         pixels = pixels.withColumn("qa", F.lit(1.0))
-    feet = pixel_footprints(pixels).where(
-        (F.col("qa") >= qa_threshold) & is_finite(F.col("value"))
-        & grid.contains(F.col("lat"), F.col("lon")))
+    wanted = ((F.col("qa") >= qa_threshold) & is_finite(F.col("value"))
+              & grid.contains(F.col("lat"), F.col("lon")))
+    # Corners that come with the pixels need no neighbours; else only blocks near the grid are exchanged.
+    if set(CORNER_COLUMNS) <= set(pixels.columns):
+        feet = pixels.where(wanted)
+    else:
+        feet = pixel_footprints(near_wanted(with_extent(pixels), wanted)).where(wanted)
     # Bilinear blend of the corners as a polynomial in (s, t); its coefficients are per pixel.
     terms = {f"_{x}{n}": e for x in ("lat", "lon") for n, e in enumerate((
         F.col(f"a_{x}"), F.col(f"b_{x}") - F.col(f"a_{x}"), F.col(f"d_{x}") - F.col(f"a_{x}"),

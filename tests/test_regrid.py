@@ -215,3 +215,20 @@ def test_one_granule_may_hold_most_rows(spark):
     alone = regrid.supersample_regrid(big, GRID)
     assert both.select("i", "j", F.round("value", 6), "count").exceptAll(alone.select("i", "j", F.round("value", 6), "count")).count() == 0
     assert both.agg(F.sum("count")).first()[0] > 1_000_000
+
+
+def test_stored_corners_give_the_same_grid(spark):
+    px = swath(spark, 9, 9, value=lambda la, lo: la + lo)
+    feet = regrid.pixel_footprints(px.withColumn("qa", F.lit(1.0)))
+    pick = ["i", "j", F.round("value", 9).alias("value"), "count"]
+    got, want = regrid.supersample_regrid(feet, GRID).select(*pick), regrid.supersample_regrid(px, GRID).select(*pick)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+
+
+def test_swath_mostly_outside_the_grid(spark):
+    """Only the blocks near the grid are exchanged; the cells are those of the whole swath."""
+    px = swath(spark, 120, 100, value=lambda la, lo: la + lo, dlon=0.3)
+    inside = (F.col("row_idx") < 8) & (F.col("col_idx") < 8)
+    near = regrid.near_wanted(px, inside)
+    assert near.count() == 64 * 64 and near.where(inside).count() == 64
+    assert regrid.supersample_regrid(px, GRID).count() > 0
