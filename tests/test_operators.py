@@ -166,6 +166,23 @@ def test_box_and_columns_reach_the_scan(spark, tmp_path, sf_dir):
     assert "cloud" not in schema and "flag" not in schema
 
 
+def test_coverage_box_is_an_index_range_in_the_scan(spark, tmp_path):
+    path = str(tmp_path / "cube")
+    cube(spark, SLICES).write.parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    p = plan(coverage.compute_coverage(spark.read.parquet(path), GRID, region=BOX))
+    assert "LessThanOrEqual(i,2)" in p and "GreaterThanOrEqual(j,0)" in p
+
+
+def test_rows_of_another_grid_are_refused(spark):
+    own = cube(spark, SLICES).withColumns({"lat": GRID.lat_of(F.col("i")), "lon": GRID.lon_of(F.col("j"))})
+    assert coverage.compute_coverage(own, GRID, region=BOX).count() == 3
+    stray = own.withColumn("lat", F.when(F.col("slice_id") == "d", 30.0).otherwise(F.col("lat")))
+    for granularity in ("daily", "per_file"):
+        with pytest.raises(Exception, match="mixes grids"):
+            coverage.compute_coverage(stray, GRID, region=BOX, granularity=granularity).collect()
+
+
 def test_no_query_pairs_everything_or_leaves_the_jvm(spark, sf_dir):
     from skygrid.workload import QUERIES
 
