@@ -55,8 +55,9 @@ def _on_grid(cube: DataFrame, grid: GridSpec, tolerance: float = 1e-6) -> DataFr
         return cube
     ok = ((F.abs(F.col("lat") - grid.lat_of(F.col("i"))) <= tolerance)
           & (F.abs(F.col("lon") - grid.lon_of(F.col("j"))) <= tolerance))
-    stray = F.raise_error(F.lit("the product mixes grids; point it at one cube")).cast("int")
-    return cube.withColumn("i", F.when(F.coalesce(ok, F.lit(True)), F.col("i")).otherwise(stray))
+    stray = F.raise_error(F.lit("the product mixes grids; point it at one cube")).cast("boolean")
+    # A filter, since a column could be pruned away with its check.
+    return cube.where(F.when(F.coalesce(ok, F.lit(True)), F.lit(True)).otherwise(stray))
 
 
 def assert_single_grid(cube: DataFrame, grid: GridSpec) -> None:
