@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,3 +55,29 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 
 def appended(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(batch.columns + list(columns.values()), names=batch.schema.names + list(columns))
+
+
+# A filter of ids has a fixed size, whatever it holds; it lets every id pass that is in it, and a few others.
+SPOT_BITS = 26
+
+
+def spot(column: Column) -> Column:
+    """The place of a value in a filter."""
+    return F.pmod(F.xxhash64(column), F.lit(1 << SPOT_BITS))
+
+
+def spot_filter(ids: DataFrame, column: str) -> np.ndarray:
+    """Bits of all values of a column, gathered as bitmaps of a bounded total size."""
+    at = spot(F.col(column)) + 1
+    found = ids.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    bits = np.zeros(1 << (SPOT_BITS - 3), np.uint8)
+    for r in found.toLocalIterator():
+        part = np.frombuffer(r["bits"], np.uint8)
+        bits[(r["bucket"] - 1) * len(part):r["bucket"] * len(part)] = part
+    return bits
+
+
+def passing(batch: pa.RecordBatch, name: str, bits: np.ndarray) -> pa.RecordBatch:
+    """Rows whose spot, column ``name``, is in the filter."""
+    at = batch.column(batch.schema.names.index(name)).to_numpy(zero_copy_only=False)
+    return batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))

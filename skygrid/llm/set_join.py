@@ -10,14 +10,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skygrid.llm.common import raw, written
+from skygrid.llm.common import passing, raw, spot, spot_filter, written
 from skygrid.llm.components import components
 
 U = np.uint64
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ODD = np.random.default_rng(20240607).integers(1, 2**63, 64, dtype=np.int64).astype(U) * U(2) + U(1)
-KEYS, ROWS_PER_KEY = 8, 2
-LOW = 0.35  # share of the hash space whose shingles are counted: what a prefix can reach
+KEYS, ROWS_PER_KEY = 6, 2
 KEY_BITS, FILTER_SHIFT = 32, 5
 MAX_HEAVY = 1_000_000  # bound of the collected list of frequent shingles
 LONGEST_RUN = 64
@@ -63,23 +62,24 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(U).view(np.int64), pa.int64())
 
 
-def _describe(text_col: str, width: int):
+def _describe(text_col: str, width: int, shared):
+    """Class, size, minhash keys, and how many shingles are not frequent: few in the most typical set of a group."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
+        words, freq = _Words(), shared.value
         for batch in batches:
             rows = []
             for text in raw(batch, text_col):
                 s = shingle_set(text, words, width)
                 if not s.size:
-                    rows.append((None, 0, None))
+                    rows.append((None, 0, None, None))
                     continue
                 low = np.array([(s * odd).min() for odd in _ODD[:KEYS * ROWS_PER_KEY]], U).reshape(KEYS, ROWS_PER_KEY)
                 keys = mixed(low[:, 0] * _ODD[40] + low[:, 1] + np.arange(KEYS, dtype=U))
-                rows.append((int(class_of(s).view(np.int64)), len(s), keys.view(np.int64).tolist()))
-            cols = list(zip(*rows)) if rows else [()] * 3
+                rows.append((int(class_of(s).view(np.int64)), len(s), keys.view(np.int64).tolist(), int((freq.levels(s) == 0).sum())))
+            cols = list(zip(*rows)) if rows else [()] * 4
             doc = batch.column(0)
             yield pa.RecordBatch.from_arrays([doc] + [pa.array(list(c), t) for c, t in zip(
-                cols, (pa.int64(), pa.int64(), pa.list_(pa.int64())))], ["doc_id", "g", "n", "keys"])
+                cols, (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64()))], ["doc_id", "g", "n", "keys", "own"])
 
     return run
 
@@ -106,11 +106,11 @@ def _slices(batches: Iterator[pa.RecordBatch], text_col: str, width: int, ids: b
             yield sets
 
 
-def _low_keys(text_col: str, width: int, parts: int):
-    """Keys of the low shingles, sorted and cut by range: one row for each range and slice of texts."""
+def _shingle_keys(text_col: str, width: int, parts: int):
+    """Leading bits of all shingles, sorted and cut by range: one row for each range and slice of texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sets in _slices(batches, text_col, width):
-            keys = np.concatenate([s[:np.searchsorted(s, U(int(LOW * 2**64)))] for _, s in sets]) >> U(64 - KEY_BITS)
+            keys = np.concatenate([s for _, s in sets]) >> U(64 - KEY_BITS)
             keys.sort()
             part = (keys * U(parts)) >> U(KEY_BITS)
             edge = np.searchsorted(part, np.arange(parts + 1).astype(U))
@@ -121,21 +121,22 @@ def _low_keys(text_col: str, width: int, parts: int):
     return run
 
 
-def _count_keys(least: int):
-    """Of each range: keys of at least ``least`` sets, and a filter of keys that more than one set has."""
+def _count_keys(least: int, parts: int):
+    """Of each range: keys of at least ``least`` sets, and one row (n = 0) with the bits of keys that more than one set has."""
+    spots = (1 << (KEY_BITS - FILTER_SHIFT)) // parts
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             for p, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held.setdefault(p, []).append(np.frombuffer(k, np.uint32))
-        for parts in held.values():
-            key, n = np.unique(np.concatenate(parts), return_counts=True)
-            spot, heavy = np.unique(key[n > 1] >> FILTER_SHIFT), n >= least
-            word, first = np.unique(spot >> 6, return_index=True)
-            bits = np.bitwise_or.reduceat(U(1) << (spot & 63).astype(U), first) if spot.size else np.zeros(0, U)
-            yield pa.RecordBatch.from_arrays([pa.array(np.r_[np.zeros(word.size, np.int64), n[heavy]], pa.int64()),
-                                              pa.array(np.r_[word.astype(np.int64), key[heavy].astype(np.int64)], pa.int64()),
-                                              _long(np.r_[bits, np.zeros(int(heavy.sum()), U)])], ["n", "key", "bits"])
+        for p, own in held.items():
+            key, n = np.unique(np.concatenate(own), return_counts=True)
+            heavy, bits = n >= least, np.zeros(spots, bool)
+            bits[(key[n > 1] >> FILTER_SHIFT).astype(np.int64) - p * spots] = True
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[0, n[heavy]], pa.int64()), pa.array(np.r_[p, key[heavy].astype(np.int64)], pa.int64()),
+                                              pa.array([np.packbits(bits, bitorder="little").tobytes()] + [None] * int(heavy.sum()), pa.binary())],
+                                             ["n", "key", "bits"])
 
     return run
 
@@ -143,40 +144,44 @@ def _count_keys(least: int):
 class Frequencies:
     """What ordering and pruning need of the counts; bounded by ``MAX_HEAVY`` and by the filter's 2**27 bits."""
 
-    def __init__(self, heavy: np.ndarray, counts: np.ndarray, words: np.ndarray, bits: np.ndarray):
-        order = np.argsort(heavy)
-        self.heavy, self.level = heavy[order].astype(U), np.log2(counts[order]).astype(U)
-        self.filter = np.zeros(1 << (KEY_BITS - FILTER_SHIFT - 6), U)
-        self.filter[words] = bits
+    def __init__(self, heavy: list[tuple[int, int]], bits: list[tuple[int, bytes]]):
+        heavy.sort()
+        self.heavy = np.array([k for k, _ in heavy], U)
+        self.level = np.log2(np.array([n for _, n in heavy], np.float64)).astype(U)
+        self.filter = np.zeros(1 << (KEY_BITS - FILTER_SHIFT - 3), np.uint8)
+        for part, data in bits:
+            self.filter[part * len(data):(part + 1) * len(data)] = np.frombuffer(data, np.uint8)
+
+    def levels(self, s: np.ndarray) -> np.ndarray:
+        """Logarithm of each shingle's count where it is frequent, else 0."""
+        if not self.heavy.size:
+            return np.zeros(len(s), U)
+        key = s >> U(64 - KEY_BITS)
+        at = np.minimum(np.searchsorted(self.heavy, key), self.heavy.size - 1)
+        return np.where(self.heavy[at] == key, self.level[at], U(0))
 
     def prefix(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shingles of the probing prefix, rare first, that another set may have; and their places in that order."""
-        key = s >> U(64 - KEY_BITS)
-        level = np.zeros(len(s), U)
-        if self.heavy.size:
-            at = np.minimum(np.searchsorted(self.heavy, key), self.heavy.size - 1)
-            level = np.where(self.heavy[at] == key, self.level[at], U(0))
-        n = len(s)
+        key, level, n = s >> U(64 - KEY_BITS), self.levels(s), len(s)
         chosen = np.lexsort((s, level))[:n - -(-4 * n // 5) + 1] if level.any() else np.arange(n - -(-4 * n // 5) + 1)
         token, key = s[chosen], key[chosen]
         spot = key >> U(FILTER_SHIFT)
-        shared = (self.filter[(spot >> U(6)).astype(np.int64)] >> (spot & U(63))) & U(1) == 1
-        shared |= token >= U(int(LOW * 2**64))
+        shared = (self.filter[(spot >> U(3)).astype(np.int64)] >> (spot & U(7)).astype(np.uint8)) & 1 == 1
         return token[shared], np.flatnonzero(shared)
 
 
 def _frequencies(docs: DataFrame, text_col: str, width: int, n_shingles: int) -> Frequencies:
+    """Counts of all shingles by their leading bits, each text of a task once."""
     parts = 64
-    while parts * 4_000_000 < LOW * n_shingles and parts < 1 << 20:
+    while parts * 4_000_000 < n_shingles and parts < 1 << 20:
         parts *= 2
-    counted = written(docs.select(text_col).mapInArrow(_low_keys(text_col, width, parts), "part long, keys binary").repartition(parts, "part")
-                      .mapInArrow(_count_keys(16), "n long, key long, bits long"), "shingle-counts")
+    counted = written(docs.select(text_col).mapInArrow(_shingle_keys(text_col, width, parts), "part long, keys binary").repartition(parts, "part")
+                      .mapInArrow(_count_keys(16, parts), "n long, key long, bits binary"), "shingle-counts")
     level = F.floor(F.log2("n")).cast("int")
     by_level = {r[0]: r[1] for r in counted.where("n > 0").groupBy(level.alias("level")).count().collect()}
     least = next(k for k in range(4, 99) if sum(v for x, v in by_level.items() if x >= k) <= MAX_HEAVY)
-    top = counted.where((F.col("n") >= 2**least)).select("key", "n").toPandas()
-    bits = counted.where("n = 0").groupBy("key").agg(F.bit_or("bits").alias("bits")).toPandas()
-    return Frequencies(top["key"].to_numpy(np.int64), top["n"].to_numpy(np.int64), bits["key"].to_numpy(np.int64), bits["bits"].to_numpy(np.int64).view(U))
+    top = [(r[0], r[1]) for r in counted.where(F.col("n") >= 2**least).select("key", "n").toLocalIterator()]
+    return Frequencies(top, [(r[0], bytes(r[1])) for r in counted.where("n = 0").select("key", "bits").toLocalIterator()])
 
 
 def _tokens(text_col: str, width: int, shared):
@@ -279,21 +284,14 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(text_col: str, width: int, shared):
     """Sets of the documents whose id may be wanted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-
-        def wanted(batch):
-            spot = batch.column(1).to_numpy(zero_copy_only=False)
-            hit = (bits[spot >> 6] >> (spot & 63).astype(U)) & U(1) == 1
-            return batch.filter(pa.array(hit))
-
-        for sets in _slices(map(wanted, batches), text_col, width):
+        wanted = (passing(batch, "spot", shared.value) for batch in batches)
+        for sets in _slices(wanted, text_col, width):
             g = np.array([class_of(s) for _, s in sets], U)
             yield pa.RecordBatch.from_arrays([_long(g), pa.array([s.view(np.int64) for _, s in sets], pa.list_(pa.int64()))], ["g", "shingles"])
 
     return run
 
 
-WANTED_BITS = 26
 _NO_ID = 2**63 - 1
 
 
@@ -301,21 +299,13 @@ def _id_of(column: str):
     return F.coalesce(F.col(column).cast("long"), F.lit(_NO_ID))
 
 
-def _spot(column):
-    return F.pmod(F.xxhash64(column), F.lit(1 << WANTED_BITS))
-
-
 def _fetch_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """g, shingles of the representatives named by ``wanted`` (column first_id), and of a few others.
 
     The names meet in a filter of fixed size, which the texts pass on their way; no text is shuffled.
     """
-    words = (wanted.select(_spot(F.col("first_id")).alias("spot")).groupBy(F.floor(F.col("spot") / 64).alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(spot % 64 as int))")).alias("bits")).toPandas())
-    bits = np.zeros(1 << (WANTED_BITS - 6), U)
-    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(U)
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-    return written(docs.select(text_col, _spot(_id_of(id_col)).alias("spot"))
+    shared = docs.sparkSession.sparkContext.broadcast(spot_filter(wanted, "first_id"))
+    return written(docs.select(text_col, spot(_id_of(id_col)).alias("spot"))
                    .mapInArrow(_sets(text_col, width, shared), "g long, shingles array<long>"), "shingle-sets")
 
 
@@ -332,10 +322,10 @@ LINK = "100 * both >= 80 * (na + nb - both)"
 def similarity_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
     """id, n_shingles and component_id of every row (smallest id reached by links of Jaccard 0.8 or more, itself included).
 
-    1. Equal sets are one class, known by a 64-bit sum over its shingles. 2. Classes that share one of a few minhash
-    keys are compared with the key's leader, and the links found are joined into first groups. 3. A count of low shingles gives the
-    frequent ones, which come last in the prefix order, and a filter of those that occur twice. 4. Prefix shingles that may be
-    shared meet by shingle; lists skip blocks by position and size, and pairs already connected (a set's answers follow from
+    1. A count of all shingles gives the frequent ones, which come last in the prefix order, and a filter of those that occur
+    twice. 2. Equal sets are one class, known by a 64-bit sum over its shingles. 3. Classes that share one of a few minhash keys
+    are compared with the key's leader, its most typical class, and the links found are joined into first groups. 4. Prefix
+    shingles that may be shared meet by shingle; lists skip blocks by position and size, and pairs already connected (a set's answers follow from
     those of its group). 5. What is left goes first through the leaders: the overlap of two leaders bounds that of their
     members, and only pairs the bounds leave open are compared in full. All links between different groups are found.
 
@@ -343,13 +333,17 @@ def similarity_components(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     null ids only has a null id. Rows that share an id are rows of their own. Only id and text are read.
     """
     base = docs.select(id_col, text_col)
+    total = (base.agg(F.sum(F.length(text_col))).first()[0] or 0) // 4  # no fewer than there are shingles in most languages
+    freq = base.sparkSession.sparkContext.broadcast(_frequencies(base, text_col, width, total))
     facts = written(base.select(_id_of(id_col).alias("doc_id"), text_col).mapInArrow(
-        _describe(text_col, width), "doc_id long, g long, n long, keys array<long>"), "shingle-facts")
-    classes = written(facts.where("n > 0").groupBy("g").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "classes")
-
-    # Leaders: of each key the smallest class; each class is compared with its leaders.
-    keyed = classes.select("g", F.explode("keys").alias("key"))
-    leads = keyed.groupBy("key").agg(F.min("g").alias("b"), F.count(F.lit(1)).alias("many")).where("many > 1").select("key", "b")
+        _describe(text_col, width, freq), "doc_id long, g long, n long, keys array<long>, own long"), "shingle-facts")
+    classes = written(facts.where("n > 0").groupBy("g").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("keys").alias("keys"),
+                                                            F.first("own").alias("own")), "classes")
+
+    # Leaders: of each key the class with the fewest shingles of its own; each class is compared with its leaders.
+    keyed = classes.select("g", "own", F.explode("keys").alias("key"))
+    leads = (keyed.groupBy("key").agg(F.min(F.struct("own", "g")).alias("lead"), F.count(F.lit(1)).alias("many"))
+             .where("many > 1").select("key", F.col("lead.g").alias("b")))
     stars = written(keyed.join(leads, "key").where("g <> b").select(F.col("g").alias("a"), "b").distinct(), "stars")
     named = lambda pairs: pairs.select(F.col("a").alias("g")).union(pairs.select("b")).distinct().join(classes.select("g", "first_id"), "g")
     star_sets = _fetch_sets(base, named(stars), id_col, text_col, width)
@@ -357,8 +351,6 @@ def similarity_components(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     groups = written(components(star_links.select("a", "b"), "first-groups"), "first-groups")
 
     # Prefix index over all classes.
-    total = facts.agg(F.sum("n")).first()[0] or 0
-    freq = base.sparkSession.sparkContext.broadcast(_frequencies(base, text_col, width, total))
     n_parts = max(int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total * 0.2 / 2_000_000) + 1)
     lists = written(base.select(text_col).mapInArrow(_tokens(text_col, width, freq), "token long, g long, at long")
                     .repartition(n_parts, "token").mapInArrow(_shared_lists, "token long, g long, at long"), "shared-lists")
