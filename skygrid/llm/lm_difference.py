@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrid.llm.common import appended, map_rows, raw, without
+from skygrid.llm.common import appended, map_rows, passing, raw, spot, spot_filter
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 UNKNOWN, START, END = 0, 1, 2
@@ -64,41 +64,53 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _model_counts(shared, size: ModelSize):
-    """Pair and word counts of all texts and of target texts, summed inside the task; words follow the pair cells."""
+    """Pair and word counts of texts, summed inside the task; words follow the pair cells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         width = size.cells + len(vocabulary) + 3
-        total = np.zeros((2, width), np.int64)
+        total = np.zeros(width, np.int64)
         for batch in batches:
-            target = batch.column(batch.schema.names.index("_target")).to_pylist()
-            for wanted, text in zip(target, raw(batch, batch.schema.names[0])):
+            for text in raw(batch, batch.schema.names[0]):
                 ids = _numbers(text, vocabulary)
                 if len(ids) == 2:
                     continue
                 at = np.r_[cell(ids[:-1], ids[1:], size.cells), size.cells + ids]
                 place, n = np.unique(at, return_counts=True)
-                total[0, place] += n
-                if wanted:
-                    total[1, place] += n
-        some = np.flatnonzero(total[0])
+                total[place] += n
+        some = np.flatnonzero(total)
         for part in np.array_split(some, max(1, some.size // 100_000)):
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[0, part], pa.int64()), pa.array(total[1, part], pa.int64())],
-                                             ["place", "background", "target"])
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[part], pa.int64())], ["place", "n"])
 
     return run
 
 
+CHUNK = 1 << 16
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of each run of ``CHUNK`` places as two dense arrays."""
+    held: dict[int, np.ndarray] = {}
+    for batch in batches:
+        place, *counts = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        for chunk in np.unique(place // CHUNK):
+            here = place // CHUNK == chunk
+            dense = held.setdefault(int(chunk), np.zeros((2, CHUNK)))
+            for k in (0, 1):
+                dense[k, place[here] % CHUNK] = counts[k][here]
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), *(pa.array([d[k].tobytes() for d in held.values()], pa.binary()) for k in (0, 1))],
+                                         ["chunk", "background", "target"])
+
+
 class Models:
     """Both models as logarithm-ready arrays. The background's counts are scaled to the target's tokens, so both are smoothed alike."""
 
-    def __init__(self, vocabulary: dict[bytes, int], place: np.ndarray, background: np.ndarray, target: np.ndarray, size: ModelSize):
+    def __init__(self, vocabulary: dict[bytes, int], background: np.ndarray, target: np.ndarray, size: ModelSize):
         self.vocabulary, self.size = vocabulary, size
-        self.counts = np.zeros((2, size.cells + len(vocabulary) + 3), np.float32)
-        word = place >= size.cells
-        self.tokens = float(target[word].sum())
-        scale = self.tokens / background[word].sum() if background[word].sum() else 0.0
-        self.counts[0, place] = target
-        self.counts[1, place] = background * (scale or 1.0)
+        words = background[size.cells:].sum()
+        scale = target[size.cells:].sum() / words if words else 0.0
+        self.counts = np.stack([target, background * (scale or 1.0)]).astype(np.float32)
+        self.total = self.counts[:, size.cells:].sum(1, dtype=np.float64)
 
     def loss(self, ids: np.ndarray, model: int) -> float:
         """Mean negative logarithm of the probability of each token and of the end, in nats."""
@@ -111,25 +123,35 @@ class Models:
         weight = np.where(seen > 0, size.pair_weight, 0.0)
         return float(-np.log(weight * pair + (1 - weight) * single).mean())
 
-    @property
-    def total(self) -> np.ndarray:
-        if not hasattr(self, "_total"):
-            self._total = self.counts[:, self.size.cells:].sum(1, dtype=np.float64)
-        return self._total
-
 
 def fit_models(docs: DataFrame, target_ids: DataFrame, *, id_col: str, text_col: str, size: ModelSize) -> Models:
     """Counts over every document for the background, over those in ``target_ids`` for the target. What reaches the driver
-    is the vocabulary and one row a cell, bounded by ``size``."""
+    is the vocabulary and a number for each cell and word, bounded by ``size``."""
     top = (docs.select(text_col).mapInArrow(_word_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
            .where("n > 1").orderBy(F.desc("n"), "word").limit(size.words).collect())
     vocabulary = {w: k + 3 for k, w in enumerate(sorted(bytes(r[0]) for r in top))}
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    marked = (docs.select(text_col, id_col).join(target_ids.select(id_col).distinct().withColumn("_target", F.lit(True)), id_col, "left")
-              .select(text_col, F.coalesce("_target", F.lit(False)).alias("_target")))
-    counts = (marked.mapInArrow(_model_counts(shared, size), "place long, background long, target long")
-              .groupBy("place").agg(F.sum("background").alias("background"), F.sum("target").alias("target")).toPandas())
-    return Models(vocabulary, counts["place"].to_numpy(np.int64), counts["background"].to_numpy(np.float64), counts["target"].to_numpy(np.float64), size)
+    # Most documents outside the target are told by a filter of ids where they are read; only the others' texts go to the join.
+    bits = docs.sparkSession.sparkContext.broadcast(spot_filter(target_ids.where(F.col(id_col).isNotNull()), id_col))
+
+    def probable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield passing(batch, "_spot", bits.value).select([text_col, id_col])
+
+    near = docs.select(text_col, id_col, spot(F.col(id_col)).alias("_spot"))
+    target = (near.mapInArrow(probable, near.drop("_spot").schema).join(target_ids.select(id_col).distinct(), id_col, "left_semi").select(text_col))
+    none = F.lit(0).cast("long")
+    counted = lambda texts: texts.mapInArrow(_model_counts(shared, size), "place long, n long")
+    counts = (counted(docs.select(text_col)).select("place", F.col("n").alias("background"), none.alias("target"))
+              .union(counted(target).select("place", none.alias("background"), F.col("n").alias("target")))
+              .groupBy("place").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+              .repartition(F.floor(F.col("place") / CHUNK)).mapInArrow(_packed, "chunk long, background binary, target binary"))
+    width = size.cells + len(vocabulary) + 3
+    dense = np.zeros((2, -(-width // CHUNK) * CHUNK))
+    for r in counts.toLocalIterator():
+        for k in (0, 1):
+            dense[k, r[0] * CHUNK:(r[0] + 1) * CHUNK] = np.frombuffer(r[1 + k])
+    return Models(vocabulary, dense[0, :width], dense[1, :width], size)
 
 
 def score_difference(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -145,7 +167,7 @@ def score_difference(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "d
     Input columns of the added names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(
-        fit_models(without(docs, "_target"), target_ids, id_col=id_col, text_col=text_col, size=size))
+        fit_models(docs, target_ids, id_col=id_col, text_col=text_col, size=size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = shared.value
