@@ -2,135 +2,288 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from skygrid.llm.common import appended, map_rows, passing, raw, spot, spot_filter
+from skygrid.llm.common import passing, raw, spot, spot_filter, without, written
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 UNKNOWN, START, END = 0, 1, 2
 FIELDS = "n_tokens long, target_loss double, background_loss double, loss_difference double"
+BACKGROUND, TARGET = 0, 1
 
 
 @dataclass(frozen=True)
 class ModelSize:
-    """Size of both models, whatever the corpus: words of the vocabulary, cells of pair counts, smoothing."""
+    """Smoothing of both models and what they hold. All counts are exact and grow with the corpus; ``words`` is a limit of the
+    vocabulary that a caller may set. ``cells`` belonged to hashed pair counts and has no effect."""
 
-    words: int = 50_000
-    cells: int = 1 << 21
+    words: int | None = None
+    cells: int | None = None
     pair_weight: float = 0.7
     add: float = 0.5
+    min_count: int = 2
+    # Shares of the work, whatever the corpus: bytes of text in a block, tokens whose words or pairs (each once a block) are in a bucket.
+    block_bytes: int = 8 << 20
+    bucket_tokens: int = 1_500_000
 
 
 def tokens(text: bytes) -> list[bytes]:
     return text.translate(_LOWER).split()
 
 
-def _numbers(text: bytes, vocabulary: dict[bytes, int]) -> np.ndarray:
-    ws = tokens(text)
-    out = np.empty(len(ws) + 2, np.int64)
-    out[0], out[-1] = START, END
-    get = vocabulary.get
-    out[1:-1] = np.fromiter((get(w, UNKNOWN) for w in ws), np.int64, len(ws))
-    return out
+def _pack(a: np.ndarray, kind: str = "<i8") -> bytes:
+    """Numbers by byte, all lowest bytes first: the high ones are mostly zero."""
+    return zlib.compress(np.ascontiguousarray(a, kind).view(np.uint8).reshape(-1, int(kind[-1])).T.tobytes(), 1)
+
+
+def _unpack(data: bytes, kind: str = "<i8") -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(int(kind[-1]), -1).T).view(kind).ravel()
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted pair numbers: first words as differences, then second words."""
+    return _pack(np.r_[np.diff(keys >> np.uint64(32), prepend=np.uint64(0)), keys & np.uint64(0xFFFFFFFF)], "<u4")
+
+
+def _unpack_keys(data: bytes) -> np.ndarray:
+    first, second = _unpack(data, "<u4").astype(np.uint64).reshape(2, -1)
+    return (np.cumsum(first, dtype=np.uint64) << np.uint64(32)) | second
+
+
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    x = (keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ (x >> np.uint64(32))) % np.uint64(buckets)).astype(np.int64)
+
+
+def _split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket that occurs with the places of its members, in order."""
+    order = np.argsort(bucket, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+        if part.size:
+            yield int(bucket[part[0]]), part
+
+
+def _word_bucket(words: list[bytes], buckets: int) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+
 
+class Block:
+    """The words of some texts in order of first sight, and their pairs of neighbours by place in that list (0 start, 1 end)."""
 
-def cell(first: np.ndarray, second: np.ndarray, cells: int) -> np.ndarray:
-    x = (first.astype(np.uint64) << np.uint64(32)) | second.astype(np.uint64)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((x ^ (x >> np.uint64(32))) % np.uint64(cells)).astype(np.int64)
+    def __init__(self, texts: list[bytes]):
+        lists = [tokens(t) for t in texts]
+        self.length = np.array([len(x) for x in lists], np.int64)
+        seen: dict[bytes, int] = {}
+        word = np.fromiter((seen.setdefault(w, len(seen)) for w in chain.from_iterable(lists)), np.int64, int(self.length.sum()))
+        self.words = list(seen)
+        self.word_counts = np.bincount(word, minlength=len(seen))
+        self.doc = np.flatnonzero(self.length)
+        n = self.length[self.doc] + 2
+        after = np.cumsum(n)
+        line = np.full(int(n.sum()), -1, np.int64)
+        line[after - n], line[after - 1] = 0, 1
+        line[line < 0] = word + 2
+        pair = (line[:-1] * (len(seen) + 2) + line[1:])[line[1:] != 0]
+        self.pairs, self.at, self.pair_counts = np.unique(pair, return_inverse=True, return_counts=True)
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bag: Counter = Counter()
+def _texts(packed: bytes, text_col: str) -> list[bytes]:
+    return [t for x in pa.ipc.open_stream(packed) for t in raw(x, text_col)]
 
-    def rows():
-        out = pa.RecordBatch.from_arrays([pa.array(list(bag), pa.binary()), pa.array(list(bag.values()), pa.int64())], ["word", "n"])
-        bag.clear()
-        return out
 
-    for batch in batches:
-        for text in raw(batch, batch.schema.names[0]):
-            bag.update(tokens(text))
-        if len(bag) > 1_000_000:
-            yield rows()
-    yield rows()
+def _global_keys(pairs: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Pairs of a block's places as pairs of vocabulary numbers, 32 bits each."""
+    ids = np.r_[START, END, ids].astype(np.uint64)
+    return (ids[pairs // len(ids)] << np.uint64(32)) | ids[pairs % len(ids)]
 
 
-def _model_counts(shared, size: ModelSize):
-    """Pair and word counts of texts, summed inside the task; words follow the pair cells."""
+STORED = "block long, rows binary, n_docs long, n_tokens long"
+
+
+def _blocks(text_col: str, model: int, size: ModelSize):
+    """Rows packed in blocks, with their texts that have tokens. The last bit of a block's number tells its model."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
-        width = size.cells + len(vocabulary) + 3
-        total = np.zeros(width, np.int64)
+        held: list[pa.RecordBatch] = []
+        number, full = TaskContext.get().partitionId() << 32, 0
+
+        def block() -> pa.RecordBatch:
+            sink, n = pa.BufferOutputStream(), [len(tokens(t)) for x in held for t in raw(x, text_col)]
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as out:
+                out.write_table(pa.Table.from_batches(held).combine_chunks())
+            held.clear()
+            return _table([(2 * number + model, sink.getvalue().to_pybytes(), sum(map(bool, n)), sum(n))], STORED).to_batches()[0]
+
         for batch in batches:
-            for text in raw(batch, batch.schema.names[0]):
-                ids = _numbers(text, vocabulary)
-                if len(ids) == 2:
-                    continue
-                at = np.r_[cell(ids[:-1], ids[1:], size.cells), size.cells + ids]
-                place, n = np.unique(at, return_counts=True)
-                total[place] += n
-        some = np.flatnonzero(total)
-        for part in np.array_split(some, max(1, some.size // 100_000)):
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[part], pa.int64())], ["place", "n"])
+            start = 0
+            for k, text in enumerate(raw(batch, text_col)):
+                full += len(text) + 64
+                if full >= size.block_bytes:
+                    held.append(batch.slice(start, k + 1 - start))
+                    yield block()
+                    start, full, number = k + 1, 0, number + 1
+            if start < batch.num_rows:
+                held.append(batch.slice(start))
+        if held:
+            yield block()
 
     return run
 
 
-CHUNK = 1 << 16
-
-
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of each run of ``CHUNK`` places as two dense arrays."""
-    held: dict[int, np.ndarray] = {}
-    for batch in batches:
-        place, *counts = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        for chunk in np.unique(place // CHUNK):
-            here = place // CHUNK == chunk
-            dense = held.setdefault(int(chunk), np.zeros((2, CHUNK)))
-            for k in (0, 1):
-                dense[k, place[here] % CHUNK] = counts[k][here]
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), *(pa.array([d[k].tobytes() for d in held.values()], pa.binary()) for k in (0, 1))],
-                                         ["chunk", "background", "target"])
-
-
-class Models:
-    """Both models as logarithm-ready arrays. The background's counts are scaled to the target's tokens, so both are smoothed alike."""
-
-    def __init__(self, vocabulary: dict[bytes, int], background: np.ndarray, target: np.ndarray, size: ModelSize):
-        self.vocabulary, self.size = vocabulary, size
-        words = background[size.cells:].sum()
-        scale = target[size.cells:].sum() / words if words else 0.0
-        self.counts = np.stack([target, background * (scale or 1.0)]).astype(np.float32)
-        self.total = self.counts[:, size.cells:].sum(1, dtype=np.float64)
-
-    def loss(self, ids: np.ndarray, model: int) -> float:
-        """Mean negative logarithm of the probability of each token and of the end, in nats."""
-        c, k, size = self.counts[model], self.size.cells, self.size
-        first, second = ids[:-1], ids[1:]
-        seen = c[k + first].astype(np.float64)
-        total = float(self.total[model])
-        single = (c[k + second] + size.add) / (total + size.add * (len(self.vocabulary) + 3))
-        pair = np.minimum(c[cell(first, second, k)] / np.maximum(seen, 1e-9), 1.0)
-        weight = np.where(seen > 0, size.pair_weight, 0.0)
-        return float(-np.log(weight * pair + (1 - weight) * single).mean())
-
-
-def fit_models(docs: DataFrame, target_ids: DataFrame, *, id_col: str, text_col: str, size: ModelSize) -> Models:
-    """Counts over every document for the background, over those in ``target_ids`` for the target. What reaches the driver
-    is the vocabulary and a number for each cell and word, bounded by ``size``."""
-    top = (docs.select(text_col).mapInArrow(_word_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-           .where("n > 1").orderBy(F.desc("n"), "word").limit(size.words).collect())
-    vocabulary = {w: k + 3 for k, w in enumerate(sorted(bytes(r[0]) for r in top))}
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+def _table(rows: list[tuple], fields: str) -> pa.Table:
+    parts = [f.split() for f in fields.split(", ")]
+    cols = list(zip(*rows)) if rows else [()] * len(parts)
+    return pa.table({name: pa.array(list(c), pa.binary() if kind == "binary" else pa.int64()) for c, (name, kind) in zip(cols, parts)})
+
+
+MESSAGE = "bucket long, block long, keys binary, n binary"
+
+
+def _word_messages(text_col: str, buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                bag = Counter(chain.from_iterable(map(tokens, _texts(r["rows"], text_col))))
+                words, n = list(bag), np.array(list(bag.values()), np.int64)
+                yield from _table([(k, r["block"], zlib.compress(b"\n".join([words[x] for x in part]), 1), _pack(n[part]))
+                                   for k, part in _split(_word_bucket(words, buckets))], MESSAGE).to_batches()
+
+    return run
+
+
+REPLY = "block long, bucket long, ids binary, background binary, target binary"
+NUMBERED = REPLY + ", vocabulary long, unknown_background long, unknown_target long"
+
+
+def _number_words(buckets: int, size: ModelSize, allowed):
+    """A bucket's words: numbers of the vocabulary's and counts of all, told to each block that has them."""
+    def run(messages: pa.Table) -> pa.Table:
+        rows, seen = messages.to_pylist(), {}
+        at = [np.array([seen.setdefault(w, len(seen)) for w in zlib.decompress(r["keys"]).split()], np.int64) for r in rows]
+        counts = np.zeros((2, len(seen)), np.int64)
+        for r, x in zip(rows, at):
+            counts[r["block"] & 1, x] += _unpack(r["n"])
+        known = counts[BACKGROUND] >= size.min_count
+        if allowed is not None:
+            known &= np.array([w in allowed.value for w in seen], bool)
+        ids, bucket = np.zeros(len(seen), np.int64), rows[0]["bucket"]
+        ids[known] = END + 1 + np.arange(known.sum()) * buckets + bucket
+        if ids.max(initial=0) >= 1 << 32:
+            raise ValueError("more words than 32 bits can number")
+        out = [(r["block"], bucket, _pack(ids[x], "<u4"), _pack(counts[0, x]), _pack(counts[1, x]), None, None, None) for r, x in zip(rows, at)]
+        out.append((-1, bucket, None, None, None, int(known.sum()), *(int(c[~known].sum()) for c in counts)))
+        return _table(out, NUMBERED)
+
+    return run
+
+
+def _told(bucket: np.ndarray, replies: list[dict], column: str, kind: str = "<i8") -> np.ndarray:
+    """What the buckets tell a block of its words or pairs, in the block's order. Counters and blocks see words in the same order."""
+    out, told = np.zeros(bucket.size, np.int64), {r["bucket"]: r[column] for r in replies}
+    for k, part in _split(bucket):
+        out[part] = _unpack(told[k], kind)
+    return out
+
+
+def _pair_messages(text_col: str, buckets: int):
+    def run(blocks: pa.Table, replies: pa.Table) -> pa.Table:
+        out, told = [], replies.to_pylist()
+        for r in blocks.to_pylist():
+            b = Block(_texts(r["rows"], text_col))
+            keys, at = np.unique(_global_keys(b.pairs, _told(_word_bucket(b.words, buckets), told, "ids", "<u4")), return_inverse=True)
+            n = np.bincount(at, b.pair_counts, keys.size).astype(np.int64)
+            out += [(k, r["block"], _pack_keys(keys[part]), _pack(n[part])) for k, part in _split(_bucket(keys, buckets))]
+        return _table(out, MESSAGE)
+
+    return run
+
+
+def _sum_pairs(messages: pa.Table) -> pa.Table:
+    """Counts of a bucket's pairs over all blocks, told to each block of texts to score in the order it sent them."""
+    rows = messages.to_pylist()
+    sent = [_unpack_keys(r["keys"]) for r in rows]
+    keys, at = np.unique(np.concatenate(sent), return_inverse=True)
+    n, model = np.concatenate([_unpack(r["n"]) for r in rows]), np.repeat([r["block"] & 1 for r in rows], [x.size for x in sent])
+    counts = [np.bincount(at, np.where(model == m, n, 0), keys.size).astype(np.int64) for m in (BACKGROUND, TARGET)]
+    places = np.split(at, np.cumsum([x.size for x in sent])[:-1])
+    return _table([(r["block"], rows[0]["bucket"], None, _pack(counts[0][x]), _pack(counts[1][x]))
+                   for r, x in zip(rows, places) if r["block"] & 1 == BACKGROUND], REPLY)
+
+
+@dataclass(frozen=True)
+class Totals:
+    """What one number tells of each model: words in the vocabulary, texts, tokens, tokens outside the vocabulary."""
+
+    vocabulary: int
+    docs: tuple[int, int]
+    tokens: tuple[int, int]
+    unknown: tuple[int, int]
+
+
+def _score(text_col: str, totals: Totals, buckets: int, size: ModelSize, schema: pa.Schema):
+    whole = [t + 2 * d for t, d in zip(totals.tokens, totals.docs)]
+    # The background's counts are scaled to the target's tokens, so both are smoothed alike.
+    scale = ((whole[TARGET] / whole[BACKGROUND] if whole[BACKGROUND] else 0.0) or 1.0, 1.0)
+
+    def run(blocks: pa.Table, replies: pa.Table) -> pa.Table:
+        told = replies.to_pylist()
+        done = [schema.empty_table()]
+        for block, packed in zip(blocks.column("block").to_pylist(), blocks.column("rows").to_pylist()):
+            if block & 1 != BACKGROUND:
+                continue
+            rows = pa.ipc.open_stream(packed).read_all().combine_chunks()
+            b = Block([t for x in rows.to_batches() for t in raw(x, text_col)])
+            of_words, of_pairs = [r for r in told if r["ids"] is not None], [r for r in told if r["ids"] is None]
+            bucket = _word_bucket(b.words, buckets)
+            ids, *words = _told(bucket, of_words, "ids", "<u4"), _told(bucket, of_words, "background"), _told(bucket, of_words, "target")
+            keys, at = np.unique(_global_keys(b.pairs, ids), return_inverse=True)
+            bucket = _bucket(keys, buckets)
+            pairs = _told(bucket, of_pairs, "background"), _told(bucket, of_pairs, "target")
+            doc, losses = np.repeat(b.doc, b.length[b.doc] + 1), {}
+            for m in (BACKGROUND, TARGET):
+                known = np.where(ids == UNKNOWN, totals.unknown[m], words[m])
+                single = np.r_[totals.docs[m], totals.docs[m], known] * scale[m]
+                first, second = single[b.pairs // single.size], single[b.pairs % single.size]
+                total = whole[m] * scale[m]
+                alone = (second + size.add) / (total + size.add * (totals.vocabulary + 3))
+                weight = np.where(first > 0, size.pair_weight, 0.0)
+                loss = -np.log(weight * pairs[m][at] * scale[m] / np.maximum(first, 1e-9) + (1 - weight) * alone)
+                losses[m] = np.bincount(doc, loss[b.at], b.length.size) / (b.length + 1)
+            none = b.length == 0
+            for name, v in (("n_tokens", pa.array(b.length)), ("target_loss", pa.array(losses[TARGET], mask=none)),
+                            ("background_loss", pa.array(losses[BACKGROUND], mask=none)),
+                            ("loss_difference", pa.array(losses[TARGET] - losses[BACKGROUND], mask=none))):
+                rows = rows.append_column(name, v)
+            done.append(rows.cast(schema))
+        return pa.concat_tables(done)
+
+    return run
+
+
+def _most_frequent(docs: DataFrame, text_col: str, size: ModelSize):
+    """The limited vocabulary of a caller who set a limit, as a set on all executors."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bag = Counter(chain.from_iterable(map(tokens, raw(batch, text_col))))
+            yield pa.RecordBatch.from_arrays([pa.array(list(bag), pa.binary()), pa.array(list(bag.values()), pa.int64())], ["word", "n"])
+
+    top = (docs.select(text_col).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+           .where(F.col("n") >= size.min_count).orderBy(F.desc("n"), "word").limit(size.words).collect())
+    return docs.sparkSession.sparkContext.broadcast({bytes(r[0]) for r in top})
+
+
+def _target_texts(docs: DataFrame, target_ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
     # Most documents outside the target are told by a filter of ids where they are read; only the others' texts go to the join.
     bits = docs.sparkSession.sparkContext.broadcast(spot_filter(target_ids.where(F.col(id_col).isNotNull()), id_col))
 
@@ -139,46 +292,44 @@ def fit_models(docs: DataFrame, target_ids: DataFrame, *, id_col: str, text_col:
             yield passing(batch, "_spot", bits.value).select([text_col, id_col])
 
     near = docs.select(text_col, id_col, spot(F.col(id_col)).alias("_spot"))
-    target = (near.mapInArrow(probable, near.drop("_spot").schema).join(target_ids.select(id_col).distinct(), id_col, "left_semi").select(text_col))
-    none = F.lit(0).cast("long")
-    counted = lambda texts: texts.mapInArrow(_model_counts(shared, size), "place long, n long")
-    counts = (counted(docs.select(text_col)).select("place", F.col("n").alias("background"), none.alias("target"))
-              .union(counted(target).select("place", none.alias("background"), F.col("n").alias("target")))
-              .groupBy("place").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-              .repartition(F.floor(F.col("place") / CHUNK)).mapInArrow(_packed, "chunk long, background binary, target binary"))
-    width = size.cells + len(vocabulary) + 3
-    dense = np.zeros((2, -(-width // CHUNK) * CHUNK))
-    for r in counts.toLocalIterator():
-        for k in (0, 1):
-            dense[k, r[0] * CHUNK:(r[0] + 1) * CHUNK] = np.frombuffer(r[1 + k])
-    return Models(vocabulary, dense[0, :width], dense[1, :width], size)
+    return near.mapInArrow(probable, near.drop("_spot").schema).join(target_ids.select(id_col).distinct(), id_col, "left_semi").select(text_col)
 
 
 def score_difference(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                      size: ModelSize = ModelSize()) -> DataFrame:
     """``docs`` with n_tokens, target_loss, background_loss (nats a token) and their difference; lower is closer to the target.
 
-    Interpolated two-word models over one vocabulary, the most frequent words of all documents found at least twice; other
-    words are one unknown. Pair counts are kept in a fixed number of hashed cells, so a model has the same
-    size for any corpus while every occurrence is counted; tasks sum their cells before anything is shuffled.
+    Interpolated two-word models over one vocabulary, all words found at least ``size.min_count`` times in the documents; other
+    words are one unknown. Counts of words and of pairs are exact and stay in tables. Documents are packed in blocks of a bounded size. A block
+    sends each of its words, then each of its pairs, once to the bucket that sums it, and is told the sums in the order sent: so neither a
+    frequent word nor a frequent pair makes more than a number for each block, and nothing but totals reaches the driver.
 
     A null or empty text has no tokens and null losses. Null ids are in no target. Without a target text all
     differences come from smoothing alone. Repeated target ids count once, repeated documents as often as they occur.
     Input columns of the added names are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(
-        fit_models(docs, target_ids, id_col=id_col, text_col=text_col, size=size))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
-        for batch in batches:
-            out = []
-            for text in raw(batch, text_col):
-                ids = _numbers(text, models.vocabulary)
-                a, b = (models.loss(ids, 0), models.loss(ids, 1)) if len(ids) > 2 else (None, None)
-                out.append((len(ids) - 2, a, b, None if a is None else a - b))
-            cols = list(zip(*out)) if out else [()] * 4
-            names = [f.split()[0] for f in FIELDS.split(", ")]
-            yield appended(batch, {c: pa.array(list(v), k) for c, v, k in zip(names, cols, [pa.int64()] + [pa.float64()] * 3)})
-
-    return map_rows(docs, run, FIELDS)
+    extra = T.StructType.fromDDL(FIELDS)
+    base = without(docs, *extra.fieldNames())
+    target = _target_texts(base, target_ids, id_col, text_col)
+    stored = written(base.mapInArrow(_blocks(text_col, BACKGROUND, size), STORED)
+                     .union(target.mapInArrow(_blocks(text_col, TARGET, size), STORED)), "blocks")
+    sums = {r["model"]: r for r in stored.groupBy(F.col("block").bitwiseAND(1).alias("model"))
+            .agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).collect()}
+    every = lambda c: tuple(sums[m][c] if m in sums else 0 for m in (BACKGROUND, TARGET))
+    buckets = 1 + sum(every("n_tokens")) // size.bucket_tokens
+
+    allowed = None if size.words is None else _most_frequent(base, text_col, size)
+    texts = stored.select("block", "rows")
+    numbered = written(texts.mapInArrow(_word_messages(text_col, buckets), MESSAGE)
+                       .groupBy("bucket").applyInArrow(_number_words(buckets, size, allowed), NUMBERED), "words")
+    t = numbered.where("block = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("vocabulary", "unknown_background", "unknown_target")]).first()
+    totals = Totals(t[0], every("n_docs"), every("n_tokens"), (t[1], t[2]))
+    words = numbered.where("block >= 0").select("block", "bucket", "ids", "background", "target")
+
+    # The blocks are dealt out once: both steps name the same exchange of ``texts``, and Spark makes it a single one.
+    pairs = (texts.groupBy("block").cogroup(words.select("block", "bucket", "ids").groupBy("block"))
+             .applyInArrow(_pair_messages(text_col, buckets), MESSAGE).groupBy("bucket").applyInArrow(_sum_pairs, REPLY))
+    told = words.where(F.col("block").bitwiseAND(1) == BACKGROUND).union(pairs)
+    schema = T.StructType(base.schema.fields + extra.fields)
+    return (texts.groupBy("block").cogroup(told.groupBy("block"))
+            .applyInArrow(_score(text_col, totals, buckets, size, to_arrow_schema(schema)), schema))

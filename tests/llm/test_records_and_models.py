@@ -122,6 +122,33 @@ def test_losses_against_plain_models(spark, docs_of):
     assert score_difference(docs_of([]), docs_of([])).count() == 0
 
 
+def test_counts_are_whole_and_exact(spark, docs_of):
+    """More repeated words than 50,000, in many blocks and buckets: none is unknown, and no pair shares a count."""
+    random.seed(5)
+    words = [f"w{k}" for k in range(60_000)] * 2
+    random.shuffle(words)
+    texts = [" ".join(words[k:k + 1000]) for k in range(0, len(words), 1000)] + ["once here", "w1 w2 " * 300]
+    size = ModelSize(block_bytes=100_000, bucket_tokens=20_000)
+    got = {r.doc_id: r for r in score_difference(docs_of(list(enumerate(texts))), docs_of([(0, ""), (1, "")]), size=size).collect()}
+    count = Counter(w for t in texts for w in t.split())
+    ids = [["<s>", *[w if count[w] > 1 else "<unk>" for w in t.split()], "</s>"] for t in texts]
+    v = len([w for w in count if count[w] > 1]) + 3
+    assert v == 60_003
+    use = {0: ids[:2], 1: ids}
+    scale = {0: 1.0, 1: sum(map(len, ids[:2])) / sum(map(len, ids))}
+    single = {m: Counter(w for t in use[m] for w in t) for m in use}
+    pair = {m: Counter(p for t in use[m] for p in itertools.pairwise(t)) for m in use}
+
+    def loss(x, m):
+        s, total = scale[m], scale[m] * sum(single[m].values())
+        one = [(s * single[m][b] + 0.5) / (total + 0.5 * v) for b in x[1:]]
+        return -sum(math.log(0.7 * pair[m][a, b] / single[m][a] + 0.3 * p if single[m][a] else p) for a, b, p in zip(x, x[1:], one)) / (len(x) - 1)
+
+    assert len(got) == len(texts)
+    for k, x in enumerate(ids):
+        assert got[k].target_loss == pytest.approx(loss(x, 0), rel=1e-9) and got[k].background_loss == pytest.approx(loss(x, 1), rel=1e-9)
+
+
 # -- quality rules
 
 def test_plain_counts():
