@@ -25,7 +25,8 @@ SYLLABLES = {"latin": "ba be bo da de do fa fe ka ke ko la le lo ma me mo na ne
 TITLES = {"f": "Mrs Ms Miss Frau Señora Madame Mme".split(), "m": "Mr Herr Señor Monsieur".split()}
 # Kinds in order of precedence where matches overlap.
 PATTERNS = {
-    "email": r"[\w.+%-]+@[\w-]+(?:\.[\w-]+)+",
+    # With a letter or digit in the local part or the host: nothing else can be replaced.
+    "email": r"(?:(?=[_.+%-]*[^\W_])[\w.+%-]+@|[_.+%-]+@(?=[_.-]*[^\W_][\w-]*\.[\w-]))[\w-]+(?:\.[\w-]+)+",
     "secret": r"(?<![0-9A-Za-z])(?=[A-Fa-f]*\d)(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
@@ -95,13 +96,21 @@ def _letters(plain: str, stream: Stream) -> str:
             out.append(chr(97 + stream.below(26)))
         elif "а" <= ch <= "я":
             out.append(chr(ord("а") + stream.below(32)))
-        elif ch.isalpha():
+        elif ch.isalnum():
             out.append("áéíóúüöäñç"[stream.below(10)])
         else:
             out.append(ch)
     return "".join(out)
 
 
+def _host(host: str, domain: str, key: bytes, attempt: int) -> str:
+    """A host's replacement, never the host itself if it has a letter or digit."""
+    stream = Stream(key, "domain", domain, *([attempt] if attempt else []))
+    while (out := _letters(host, stream)) == host and any(map(str.isalnum, host)):
+        pass
+    return out
+
+
 def _luhn(digits: str) -> int:
     return sum(sum(divmod(2 * int(d), 10)) if k % 2 else int(d) for k, d in enumerate(reversed(digits))) % 10
 
@@ -121,8 +130,10 @@ def surrogate(kind: str, plain: str, key: bytes, attempt: int = 0) -> str:
         elif kind == "email":
             local, _, domain = plain.partition("@")
             host, dot, top = domain.rpartition(".")
-            # A domain is an entity inside an entity: it has one replacement in all addresses.
-            out = _letters(local, stream) + "@" + _letters(host, Stream(key, "domain", domain)) + dot + top
+            # A domain is an entity inside an entity: it has one replacement in all addresses. Only where the local part leaves nothing
+            # to draw again, a further attempt draws another host.
+            again = 0 if any(map(str.isalnum, local)) else attempt
+            out = _letters(local, stream) + "@" + _host(host, domain, key, again) + dot + top
         elif kind == "iban":
             out = plain[:2] + _letters(plain[2:], stream)
         elif kind == "name":

@@ -116,6 +116,17 @@ def test_same_entity_same_surrogate_in_any_dress(docs_of, texts_by_id):
     assert pii.replace_entities(docs, key=b"other").where("doc_id = 1").first().text != t[1]
 
 
+def test_addresses_with_little_to_change(docs_of, texts_by_id):
+    """Dividers are no addresses; addresses with a host alone that collide are drawn again until they differ."""
+    assert not pii.find_entities("x _@_._ y -@-.- z")
+    assert all(pii.surrogate("email", f"_@{c}.com", b"k", n) != f"_@{c}.com" for c in "abcdefgh" for n in range(20))
+    docs = docs_of([(k, f"{chr(97 + k)} _@{chr(97 + k)}.com") for k in range(9)] + [(20, "_@_._"), (21, "-@-.-")])
+    got = texts_by_id(pii.replace_entities(docs, key=b"k"))
+    new = {got[k].split()[1] for k in range(9)}
+    assert len(new) == 9 and not new & {f"_@{chr(97 + k)}.com" for k in range(9)}
+    assert got[20] == "_@_._" and got[21] == "-@-.-"
+
+
 def test_collisions_are_settled(docs_of, monkeypatch):
     """With one-digit freedom first surrogates collide; after the rounds all differ, and none is an original."""
     docs = docs_of([(k, f"ip 1.2.3.{k}") for k in range(40)])
