@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skygrid.llm.common import appended, map_rows, raw, written
@@ -42,7 +42,6 @@ class Rules:
     max_char_distance: float = 0.2
     max_word_distance: float = 0.36
     common_share: float = 0.002  # a word is common from this share of its language's words: at most 500 a language
-    language_share: float = 0.001  # a language is a reference from this share of all words: at most 1000 languages
 
 
 def base_counts(text: bytes) -> tuple[np.ndarray, int, int, int, int, int]:
@@ -143,35 +142,29 @@ class References:
             self.words[lang] = np.array([*counts, total[lang] - sum(counts)], float)
 
     def distances(self, lang: str | None, hist: np.ndarray, text: bytes, rules: Rules) -> tuple[float | None, float | None]:
-        """Distances from the language's own reference, or from the nearest where it has none; None where too short."""
-        langs = [lang] if lang in self.words else list(self.words)
+        """Distances from the language's own references; None where it has none or the text is too short."""
         chars = char_histogram(hist)
         by_char = by_word = None
-        if langs and chars.sum() >= rules.min_chars:
-            by_char = min(distance(chars, self.chars[x]) for x in langs)
+        if lang in self.chars and chars.sum() >= rules.min_chars:
+            by_char = distance(chars, self.chars[lang])
         bag = Counter(folded_words(text))
-        if langs and (n := sum(bag.values())) >= rules.min_folded_words:
-            own = []
-            for x in langs:
-                at = [(k, bag[w]) for w, k in self.place[x].items() if w in bag]
-                h = np.zeros(len(self.words[x]))
-                for k, v in at:
-                    h[k] = v
-                h[-1] = n - h.sum()
-                own.append(distance(h, self.words[x]))
-            by_word = min(own)
+        if lang in self.words and (n := sum(bag.values())) >= rules.min_folded_words:
+            h = np.zeros(len(self.words[lang]))
+            for w, k in self.place[lang].items():
+                h[k] = bag[w]
+            h[-1] = n - h.sum()
+            by_word = distance(h, self.words[lang])
         return by_char, by_word
 
 
 def language_references(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", rules: Rules = Rules()) -> References:
-    """Histograms over all documents that pass the plain rules. What is collected is bounded by the two shares in ``rules``."""
+    """Histograms over all documents that pass the plain rules. What is collected is a few classes
+    and at most 1 / ``common_share`` words for each language."""
     counts = written(docs.select(text_col, lang_col)
                      .mapInArrow(_count(text_col, lang_col, rules), "lang string, is_word boolean, key binary, n long")
                      .groupBy("lang", "is_word", "key").agg(F.sum("n").alias("n")), "language-counts")
     total = counts.where("is_word").groupBy(F.col("lang").alias("of_lang")).agg(F.sum("n").alias("of"))
-    total = (total.withColumn("all", F.sum("of").over(Window.partitionBy()))
-             .where(F.col("of") >= F.col("all") * rules.language_share).drop("all"))
-    rows = (counts.join(total, F.col("lang").eqNullSafe(F.col("of_lang")))
+    rows = (counts.join(total, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
             .where(~F.col("is_word") | (F.col("n") >= F.col("of") * rules.common_share))
             .select("lang", "is_word", "key", "n", "of"))
     return References([tuple(r) for r in rows.collect()])
@@ -184,8 +177,8 @@ def judge_by_distribution(docs: DataFrame, *, text_col: str = "text", lang_col:
     shuffled. A text that fails the plain rules is not kept. Any other is kept while its distances stay within ``rules``; a text
     too short for one of the comparisons (null distance) is not judged by it.
 
-    Null and empty texts have no words and fail. A null or rare language is compared with the nearest reference;
-    without any reference (an empty table) nothing is compared. Repeated rows each get the same result. Input columns
+    Null and empty texts have no words and fail. Every language, however rare, is compared
+    with its own references, and texts of null language with those of all such texts; where no word is common there is no word distance. Repeated rows each get the same result. Input columns
     that carry an added name are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(language_references(docs, text_col=text_col, lang_col=lang_col, rules=rules))

@@ -186,6 +186,17 @@ def test_rules_edge_cases(docs_of):
     assert divergence_rules.judge_by_distribution(docs_of([])).count() == 0
 
 
+def test_rare_languages_have_their_own_references(spark):
+    """A language far below 0.1 % of all words is judged by itself, one without common words by characters only."""
+    big = [(k, " ".join(f"e{(7 * k + 3 * j) % 100}" for j in range(400)), "en") for k in range(400)]
+    random.seed(3)
+    rare = [(1000, " ".join(random.choices([f"zz{j}" for j in range(60)], k=120)), "xx"), (1001, " ".join(f"字{j}" for j in range(600)), "yy")]
+    docs = spark.createDataFrame(big + rare, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in divergence_rules.judge_by_distribution(docs).where("doc_id >= 1000").collect()}
+    assert got[1000].kept and got[1000].word_distance == 0 and got[1000].char_distance == 0
+    assert got[1001].kept and got[1001].word_distance is None and got[1001].char_distance == 0
+
+
 # -- chain classifier
 
 def test_marginals_against_enumeration():
