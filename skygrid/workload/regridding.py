@@ -184,9 +184,12 @@ thin as (select * from kept where value is not null and value <> 0)"""
 
 
 def _thinned(t):
+    """All pixels; those that fail their granule's filter have no value, so the operator itself has to refuse them. Nor have
+    they a time: a granule's day is that of its first pixel which passes."""
     g = F.col("granule_id") % 3
-    return t.pixel.where((F.col("qa") >= F.when(g == 0, 0.0).when(g == 1, 0.85).otherwise(0.95))
-                         & (F.col("cloud") <= F.when(g == 2, 0.4).otherwise(1.0)))
+    passes = ((F.col("qa") >= F.when(g == 0, 0.0).when(g == 1, 0.85).otherwise(0.95))
+              & (F.col("cloud") <= F.when(g == 2, 0.4).otherwise(1.0)))
+    return t.pixel.withColumns({c: F.when(passes, F.col(c)) for c in ("value", "obs_time")})
 
 
 EXTENT = f"({BIN_GRID.nlat - 1} * 0.25e0 * {BIN_GRID.nlon - 1} * 0.25e0)"

@@ -33,3 +33,14 @@ def test_contract():
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
     assert set(QUERIES) <= set(entry_module.queries())
     assert set(QUERIES) == set(ORACLE)
+
+
+def test_adaptive_queries_hand_over_all_pixels(spark, sf_dir):
+    """Pixels refused by their granule's filter reach the operator, without a value."""
+    from skygrid.workload.fixtures import Tables
+    from skygrid.workload.regridding import _thinned
+
+    t = Tables(spark, sf_dir)
+    given, all_pixels = _thinned(t), t.pixel
+    assert given.count() == all_pixels.count()
+    assert given.where("value is not null").count() < all_pixels.where("value is not null").count()
