@@ -11,6 +11,7 @@ from skygrid.llm.decontamination import find_contamination
 from skygrid.llm.divergence_rules import judge_by_distribution
 from skygrid.llm.line_windows import remove_repeated_windows
 from skygrid.llm.lm_difference import score_difference
+from skygrid.llm.merkle_manifest import digest, encoded, folded, hex_text, merkle_manifest, proof_digest
 from skygrid.llm.pii_surrogates import replace_entities
 from skygrid.llm.quality_crf import score_quality
 from skygrid.llm.registry import query
@@ -112,3 +113,18 @@ def op1(spark, sf_dir):
     """Texts with keyed surrogates in place of personal data and secrets."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return replace_entities(docs, key=PII_KEY).select("doc_id", "text", "n_replaced", "entities")
+
+
+@query("op11_merkle_manifest", check_sql.OP11)
+def op11(spark, sf_dir):
+    """Leaf, roots and proof of every document, and whether its (for some ids altered) row still gives the root."""
+    docs = table(spark, sf_dir, "documents")
+    altered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    row = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    more = [*row[:3], F.col("n_chars").cast("decimal(20,0)") + 1, row[4]]
+    leaves = docs.select("doc_id", "lang", digest(encoded(*row)).alias("leaf"), F.when(altered, digest(encoded(*more))).alias("altered"))
+    proofs = merkle_manifest(leaves, group_col="lang", order_cols=["doc_id"])
+    again = proofs.withColumn("folded_root", folded(F.coalesce("altered", "leaf"), F.col("siblings"), F.col("path")))
+    return again.select("doc_id", hex_text(F.col("leaf")).alias("leaf"), hex_text(F.col("subroot")).alias("subroot"), hex_text(F.col("root")).alias("root"),
+                        proof_digest(F.col("siblings")).alias("proof_sha256"), "folded_root",
+                        (F.col("folded_root") == hex_text(F.col("root"))).alias("verified"))
