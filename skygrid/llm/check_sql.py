@@ -145,3 +145,24 @@ select n.doc_id, n.leaf, s.subroot, r.root, sha256(coalesce(array_to_string(p.si
 from numbered n join subroots s on n.lang is not distinct from s.lang join folded f on n.pos = f.pos and n.lang is not distinct from f.lang
 left join proofs p on n.pos = p.pos and n.lang is not distinct from p.lang, root r
 """
+
+OP12 = f"""
+with t as materialized (select {_CRC_TABLE} as crc_table),
+d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w, {_crc32('doc_id::varchar', 't.crc_table')} as h from documents, t),
+a as (select doc_id, w, len(w) as n, h % 10 = 0 as again, (h // 10) % len(w) as a, (h // 10) % 8 as e from d),
+p as (select *, 1 + (n - a) // (3 + e) as p from a),
+x as (select doc_id, n, i, w[1 + case when again and i >= a then a + (i - a) % p else i end] as word
+      from (select *, unnest(range(n)) as i from p)),
+same as (select a.doc_id, b.i - a.i as q, a.i from x a join x b on a.doc_id = b.doc_id and a.word = b.word and b.i > a.i and b.i - a.i <= a.n // 2),
+stretches as (select doc_id, q, min(i) as start, count(*) + q as length
+  from (select *, i - row_number() over (partition by doc_id, q order by i) as island from same) group by doc_id, q, island),
+runs as (select doc_id, start, length, min(q) as period from stretches where length >= greatest(12, 2 * q) group by all),
+lists as (select doc_id, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines from runs group by doc_id),
+best as (select doc_id, start, length, period from runs qualify row_number() over (partition by doc_id order by length desc, start, period) = 1),
+gone as (select distinct doc_id, unnest(range(start + period, start + length)) as i from runs),
+kept as (select doc_id, string_agg(word, ' ' order by i) as text from x anti join gone using (doc_id, i) group by doc_id)
+select d.doc_id, cast(coalesce(l.n_runs, 0) as bigint) as n_runs, cast(b.start as bigint) as start, cast(b.length as bigint) as length,
+  cast(b.period as bigint) as period, cast(1000 * b.length // b.period as bigint) as exponent_milli,
+  sha256(coalesce(l.lines, '')) as runs_sha256, sha256(coalesce(k.text, '')) as collapsed_sha256
+from d left join lists l using (doc_id) left join best b using (doc_id) left join kept k using (doc_id)
+"""

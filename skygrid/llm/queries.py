@@ -12,6 +12,7 @@ from skygrid.llm.divergence_rules import judge_by_distribution
 from skygrid.llm.line_windows import remove_repeated_windows
 from skygrid.llm.lm_difference import score_difference
 from skygrid.llm.merkle_manifest import digest, encoded, folded, hex_text, merkle_manifest, proof_digest
+from skygrid.llm.periodic_runs import collapse_runs
 from skygrid.llm.pii_surrogates import replace_entities
 from skygrid.llm.quality_crf import score_quality
 from skygrid.llm.registry import query
@@ -128,3 +129,30 @@ def op11(spark, sf_dir):
     return again.select("doc_id", hex_text(F.col("leaf")).alias("leaf"), hex_text(F.col("subroot")).alias("subroot"), hex_text(F.col("root")).alias("root"),
                         proof_digest(F.col("siblings")).alias("proof_sha256"), "folded_root",
                         (F.col("folded_root") == hex_text(F.col("root"))).alias("verified"))
+
+
+def _repeating(docs):
+    """``docs``, where every tenth text (by CRC-32 of its id) repeats a stretch of its words to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    d = docs.withColumn("g", F.floor(h / 10)).withColumn(
+        "w", F.when(h % 10 == 0, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[^ \\t-\\r]+"), F.lit(0))))
+    d = d.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    d = d.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    again = F.expr("array_join(transform(w, (x, i) -> w[int(if(i < a, i, a + (i - a) % p))]), ' ')")
+    return d.select("doc_id", F.when(F.col("n") > 0, again).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs", check_sql.OP12)
+def op12(spark, sf_dir):
+    """Runs of every document (some made to repeat), the longest one, and the text without repetitions."""
+    docs = _repeating(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = collapse_runs(docs, least=12)
+    best = F.get(F.array_sort("runs", lambda x, y: F.when(x["length"] != y["length"], F.signum(y["length"] - x["length"]))
+                              .when(x["start"] != y["start"], F.signum(x["start"] - y["start"]))
+                              .otherwise(F.signum(x["period"] - y["period"])).cast("int")), 0)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")),
+                                                   F.lit("\n")))
+    return (found.withColumn("best", best).withColumn("lines", F.array_join(lines, ""))
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                    F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                    F.sha2("lines", 256).alias("runs_sha256"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("collapsed_sha256")))
