@@ -17,6 +17,7 @@ from skygrid.llm.pii_surrogates import replace_entities
 from skygrid.llm.quality_crf import score_quality
 from skygrid.llm.registry import query
 from skygrid.llm.set_join import similarity_components
+from skygrid.llm.simhash_ball import simhash_components
 from skygrid.llm.source_mixing import mix_sources
 from skygrid.llm.warc import assemble_captures, read_archives, write_archives
 from skygrid.session import shared_dir
@@ -156,3 +157,9 @@ def op12(spark, sf_dir):
             .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
                     F.expr("1000 * best.length div best.period").alias("exponent_milli"),
                     F.sha2("lines", 256).alias("runs_sha256"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("collapsed_sha256")))
+
+
+@query("op13_simhash_ball")
+def op13(spark, sf_dir):
+    """Fingerprint of every document and its component under links of at most four differing bits."""
+    return simhash_components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")

@@ -25,4 +25,4 @@ def test_query(spark, sf_dir, name):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
-    assert {f"op{n}" for n in range(1, 13)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
