@@ -67,11 +67,19 @@ def candidate_cells(pixels: DataFrame, grid: GridSpec, radius, lon_scale=1.0) ->
     return pairs.withColumn("d", F.sqrt(dy * dy + dx * dx)).where(F.col("d") <= r)
 
 
+# Distances are told apart down to this part of a degree; closer ones are ties.
+_DISTANCE_UNIT = 1e-12
+
+
 def nearest_per_cell(pairs: DataFrame, keys: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:
-    """The closest pixel of each cell; equal distances go to the smaller ``order``."""
-    picked = pairs.groupBy(*keys).agg(
-        F.min_by(F.struct("d", *values), F.struct("d", order)).alias("_p"))
-    return picked.select(*keys, *[F.col(f"_p.{v}").alias(v) for v in values], F.col("_p.d").alias("d"))
+    """The closest pixel of each cell; equal distances go to the smaller ``order`` (a whole number).
+
+    Distance and order are one decimal, which a hash aggregate can hold; a struct would make Spark sort all pairs.
+    """
+    step = F.lit("20000000000000000000").cast("decimal(20,0)")
+    rank = F.floor(F.col("d") / F.lit(_DISTANCE_UNIT)).cast("decimal(17,0)") * step + F.col(order).cast("decimal(19,0)")
+    picked = pairs.select(*keys, *values, "d", rank.cast("decimal(38,0)").alias("_rank"))
+    return picked.groupBy(*keys).agg(*[F.min_by(v, "_rank").alias(v) for v in values], F.min_by("d", "_rank").alias("d"))
 
 
 def by_block(df: DataFrame, group: Sequence[str], row: str, col: str, side: int = 32) -> DataFrame:
@@ -89,13 +97,13 @@ def by_block(df: DataFrame, group: Sequence[str], row: str, col: str, side: int
 def one_per_place(df: DataFrame, group: Sequence[str], row: str, col: str, values: Sequence[str], order: str = "pixel_id") -> DataFrame:
     """``by_block`` with a single row for each position: of several, the one of smallest ``order``.
 
-    The block is part of the grouping key, so the exchange by block serves this aggregate too.
+    The block is part of the grouping key, so the exchange by block serves this aggregate too. Each value is picked on
+    its own, which a hash aggregate can do in place.
     """
-    fields = [order, *values]
     key = [*group, "_br", "_bc", row, col]
-    kept = (by_block(df.select(*group, row, col, *fields), group, row, col)
-            .groupBy(*key).agg(F.min_by(F.struct(*fields), order).alias("_v")))
-    return kept.select(*group, row, col, *[F.col(f"_v.{c}").alias(c) for c in fields])
+    kept = (by_block(df.select(*group, row, col, order, *values), group, row, col)
+            .groupBy(*key).agg(F.min(order).alias(order), *[F.min_by(v, order).alias(v) for v in values]))
+    return kept.select(*group, row, col, order, *values)
 
 
 def gather(df: DataFrame, group: Sequence[str], row: str, col: str,
