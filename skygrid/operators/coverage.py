@@ -10,7 +10,9 @@ from skygrid.functions.geo import cell_weight, is_finite
 from skygrid.functions.numbers import mean_of_rounded, round_even
 from skygrid.functions.time import bucket_label, in_date_range
 from skygrid.operators.region import box_of, region_cells, restrict_to_region
+from skygrid.plans.cellmaps import cell_words, covered_weight, region_words, union_words
 from skygrid.plans.grid import GridSpec
+from skygrid.sources.tables import rebuild_partitions
 
 COLUMNS = ("hub", "product", "region", "time", "granularity", "weight", "valid", "total", "coverage", "n_slices")
 
@@ -90,25 +92,29 @@ def compute_coverage(cube: DataFrame, grid: GridSpec, *, region="taiwan", start=
         cube = cube.where(span)
         slices = slices.where(span) if slices is not None else None
     total = coverage_total(grid, region, weight, cube.sparkSession, vertices)
-    ratio = F.try_divide(F.col("valid"), F.col("total"))
     known = cube if slices is None else slices
     known = known.select(slice_key, "time").distinct()
     valid = _on_grid(restrict_to_region(cube.where(is_finite(F.col("value"))), grid, region, vertices), grid)
-    w = cell_weight(grid.lat_of(F.col("i")), weight)
 
     if granularity == "per_file":
-        seen = valid.groupBy(slice_key, "time").agg(F.sum(w).alias("valid"))
+        seen = covered_weight(cell_words(valid, [slice_key, "time"]), grid, [slice_key, "time"], weight)
         rows = known.join(seen, [slice_key, "time"], "left").select(
             slice_key, F.col("time").alias("_t"), F.coalesce("valid", F.lit(0.0)).alias("valid"),
             total.alias("total"), F.lit(1).alias("n_slices"))
-        return _tidy(rows, hub, product, region, granularity, weight, ratio)
+        return _tidy(rows, hub, product, region, granularity, weight, F.try_divide(F.col("valid"), F.col("total")))
 
+    # The union over a day is combined map-side; a task sends one word for 64 neighbouring cells.
     day = F.to_date("time").alias("_t")
-    # The union over a day is a distinct on the cell; it is combined map-side, and only
-    # one row per (day, cell) is shuffled by each task.
-    seen = valid.select(day, "i", "j").distinct().groupBy("_t").agg(F.sum(w).alias("valid"))
     days = known.groupBy(day).agg(F.count("*").alias("n_slices"))
-    daily = days.join(seen, "_t", "left").select(
+    words = cell_words(valid, [day])
+    return _by_day(words, days, total, grid, region, granularity, weight, hub, product)
+
+
+def _by_day(words: DataFrame, days: DataFrame, total: Column, grid: GridSpec, region, granularity: str, weight: str,
+            hub: str, product: str) -> DataFrame:
+    """Daily to yearly rows from words (_t, i, w, bits) inside the region and the days (_t, n_slices)."""
+    ratio = F.try_divide(F.col("valid"), F.col("total"))
+    daily = days.join(covered_weight(words, grid, ["_t"], weight), "_t", "left").select(
         "_t", "n_slices", F.coalesce("valid", F.lit(0.0)).alias("valid"), total.alias("total"))
     if granularity == "daily":
         return _tidy(daily, hub, product, region, granularity, weight, ratio)
@@ -125,6 +131,57 @@ def compute_coverage(cube: DataFrame, grid: GridSpec, *, region="taiwan", start=
     return _tidy(rows, hub, product, region, granularity, weight, F.col("_cov"))
 
 
+# -- coverage kept as a table ------------------------------------------------------
+
+MAP_PARTITIONS = ("yyyy", "batch")
+
+
+def _dated(df: DataFrame, batch: str) -> DataFrame:
+    return df.withColumns({"yyyy": F.date_format("obs_date", "yyyy"), "batch": F.lit(batch)})
+
+
+def add_to_map(cube: DataFrame, grid: GridSpec, path: str, batch: str, slice_key: str = "slice_id") -> None:
+    """Adds slices to the coverage map below ``path``: the cells of each day as words, and the slices of each day.
+
+    The map holds the whole grid, so any region and weight can be asked for later. A batch writes its own partitions and
+    replaces them when repeated; slices that come again, in any batch, change nothing.
+    """
+    valid = _on_grid(cube.where(is_finite(F.col("value")) & F.col("i").between(0, grid.nlat - 1) & F.col("j").between(0, grid.nlon - 1)), grid)
+    day = F.to_date("time").alias("obs_date")
+    slices = cube.select(day, F.col(slice_key).cast("string").alias("slice")).distinct()
+    rebuild_partitions(_dated(cell_words(valid, [day]), batch), f"{path}/words", MAP_PARTITIONS)
+    rebuild_partitions(_dated(slices, batch), f"{path}/slices", MAP_PARTITIONS)
+
+
+MAP_TABLES = {"words": "i int, w int, bits long", "slices": "slice string"}
+
+
+def _stored(spark, path: str, table: str, start=None, end=None) -> DataFrame:
+    stored = spark.read.schema(f"obs_date date, {MAP_TABLES[table]}, yyyy string, batch string").parquet(f"{path}/{table}")
+    if start is not None or end is not None:
+        start, end = start or "0001-01-01", end or "9999-12-31"
+        years = [F.date_format(F.lit(x).cast("timestamp"), "yyyy") for x in (start, end)]
+        stored = stored.where(F.col("yyyy").between(*years) & in_date_range(F.col("obs_date").cast("timestamp"), start, end))
+    return stored.drop("yyyy", "batch")
+
+
+def coverage_from_map(spark, path: str, grid: GridSpec, *, region="taiwan", start=None, end=None, granularity: str = "daily",
+                      weight: str = "count", hub: str = "", product: str = "", vertices: DataFrame | None = None) -> DataFrame:
+    """``compute_coverage`` by day, month or year from a coverage map, without reading the cube again."""
+    words = _stored(spark, path, "words", start, end)
+    words = union_words(region_words(words, grid, region, vertices), ["obs_date"]).withColumnRenamed("obs_date", "_t")
+    days = (_stored(spark, path, "slices", start, end).distinct()
+            .groupBy(F.col("obs_date").alias("_t")).agg(F.count("*").alias("n_slices")))
+    total = coverage_total(grid, region, weight, spark, vertices)
+    return _by_day(words, days, total, grid, region, granularity, weight, hub, product)
+
+
+def compact_map(spark, path: str, to: str, batch: str = "base") -> None:
+    """The map below ``path`` written below ``to`` as one batch, one row for each day and word; later batches go there."""
+    rebuild_partitions(_dated(union_words(_stored(spark, path, "words"), ["obs_date"]), batch), f"{to}/words", MAP_PARTITIONS)
+    rebuild_partitions(_dated(_stored(spark, path, "slices").distinct(), batch), f"{to}/slices", MAP_PARTITIONS)
+
+
 def coverage_summary(coverage: DataFrame) -> DataFrame:
     """Mean coverage, number of buckets and number of slices."""
     return coverage.agg(mean_of_rounded(F.col("coverage"), 5).alias("mean_coverage"), F.count("*").alias("buckets"),

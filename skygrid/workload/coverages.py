@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from skygrid.operators import coverage
 from skygrid.operators.stations import expected_slots
 from skygrid.plans.grid import FILTER_BOX
+from skygrid.session import shared_dir
 from skygrid.workload.fixtures import CUBE_GRID
 from skygrid.workload.grids import RAYS
 from skygrid.workload.helpers import cells_cte, r6, R6
@@ -93,6 +94,34 @@ def v5(t):
     return _run(t, weight="area")
 
 
+def _map(t):
+    """A coverage map made in two writes, of which the second also brings slices of the first again."""
+    cube, path = t.cube_slices(), shared_dir(t.spark, "coverage-map")
+    coverage.add_to_map(cube.where("slice_no <= 4"), CUBE_GRID, path, "first")
+    coverage.add_to_map(cube.where("slice_no >= 3"), CUBE_GRID, path, "second")
+    return path
+
+
+@query("V2_coverage_from_map", ["v_cube"], daily_sql("area"))
+def v2_map(t):
+    """Daily area shares from a stored map of cells, after a second write."""
+    return coverage.coverage_from_map(t.spark, _map(t), CUBE_GRID, region=FILTER_BOX, weight="area", hub="modis", product="aod")
+
+
+@query("V2_coverage_from_map_zone", ["v_cube", "v_zone_vertex"], daily_sql("count", RAYS + ", reg as (select m.i, m.j, c.lat from mask m join cells c using (i, j))", "west"))
+def v2_map_zone(t):
+    """The same map asked for a zone."""
+    return coverage.coverage_from_map(t.spark, _map(t), CUBE_GRID, region="west", vertices=t.zone_vertex, hub="modis", product="aod")
+
+
+@query("V3_coverage_from_map", ["v_cube"], bucket_sql("monthly", "month"))
+def v3_map(t):
+    """Monthly shares from the map after it was compacted."""
+    path = shared_dir(t.spark, "compact-map")
+    coverage.compact_map(t.spark, _map(t), path)
+    return coverage.coverage_from_map(t.spark, path, CUBE_GRID, region=FILTER_BOX, granularity="monthly", hub="modis", product="aod")
+
+
 SLOTS = "slots as (select v.variable, s.t as time_utc from (select distinct variable from v_field) v, (select min(time_utc) as a, max(time_utc) + interval 9 hour as b from v_field) r, lateral (select unnest(generate_series(r.a, r.b, interval 1 hour)) as t) s)"
 
 
