@@ -15,7 +15,7 @@ from skygrid.functions.geo import is_finite
 from skygrid.operators.qc import drop_zero_fill
 from skygrid.plans.grid import GridSpec
 from skygrid.plans.dimension import fact_table
-from skygrid.plans.neighbours import candidate_cells, gather, nearest_per_cell, offsets_array, one_per_place, window_cells
+from skygrid.plans.neighbours import candidate_cells, gather, offsets_array, one_per_place, outward_nearest, window_cells
 
 CELL = ("granule_id", "i", "j")
 
@@ -178,10 +178,9 @@ def _one(cells: DataFrame) -> DataFrame:
     return cells.withColumn("count", F.lit(1.0))
 
 
-def nearest_regrid(pixels: DataFrame, grid: GridSpec, max_distance=0.1) -> DataFrame:
-    """Nearest valid pixel within ``max_distance``; the lower pixel_id wins a tie."""
-    pairs = candidate_cells(valid_pixels(pixels), grid, max_distance)
-    return _one(nearest_per_cell(pairs, CELL, "pixel_id", ["value"]).drop("d"))
+def nearest_regrid(pixels: DataFrame, grid: GridSpec, max_distance=0.1, most: float | None = None) -> DataFrame:
+    """Nearest valid pixel within ``max_distance``; the lower pixel_id wins a tie. ``most`` bounds a distance given as a column."""
+    return _one(outward_nearest(valid_pixels(pixels), grid, ["granule_id"], "pixel_id", ["value"], max_distance, most).drop("d"))
 
 
 def nearest_limited(pixels: DataFrame, grid: GridSpec, max_distance: float = 0.25) -> DataFrame:
@@ -347,7 +346,9 @@ def regrid_by_density(pixels: DataFrame, grid: GridSpec, method: str = "rbf") ->
     if method not in ("kdtree", "rbf"):
         raise ValueError("method must be 'kdtree' or 'rbf'")
     sized = pixels.join(fact_table(search_radius(pixels, grid).select("granule_id", "radius"), "radius"), "granule_id")
-    return METHODS[method](sized, grid, F.col("radius"))
+    if method == "kdtree":
+        return nearest_regrid(sized, grid, F.col("radius"), most=4 * grid.cell_deg)
+    return smooth_regrid(sized, grid, F.col("radius"))
 
 
 # -- adaptive choice --------------------------------------------------------------
@@ -414,8 +415,7 @@ def footprint_nn_daily(pixels: DataFrame, grid: GridSpec, cap: float = FOOTPRINT
     """
     ok = valid_pixels(footprint_radius(pixels, grid.lat_step, cap)).withColumn("obs_date", F.to_date("obs_time"))
     scale = fact_table(ok.groupBy("obs_date").agg(F.cos(F.radians(F.avg("lat"))).alias("lon_scale")), "day-scale")
-    pairs = candidate_cells(ok.join(scale, "obs_date"), grid, cap, F.col("lon_scale"))
-    best = nearest_per_cell(pairs, ("obs_date", "i", "j"), "pixel_id", ["value", "radius"])
+    best = outward_nearest(ok.join(scale, "obs_date"), grid, ["obs_date"], "pixel_id", ["value", "radius"], cap, lon_scale=F.col("lon_scale"))
     return best.where(F.col("d") <= F.col("radius")).select("obs_date", "i", "j", "value")
 
 

@@ -24,6 +24,14 @@ def hint_if_bounded(df: DataFrame, row_bound: int) -> DataFrame:
     return F.broadcast(df) if row_bound <= BROADCAST_ROWS else df
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared folder and read back; lineage ends here."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def fact_table(df: DataFrame, name: str) -> DataFrame:
     """A small aggregate, one row a granule or day, written once and counted before it meets the pixels.
 
@@ -31,8 +39,5 @@ def fact_table(df: DataFrame, name: str) -> DataFrame:
     input and would sort the pixel table for the join; a counted table within the bound is broadcast, a longer one is
     left to Spark.
     """
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
+    table = stored(df, name)
     return hint_if_bounded(table, table.count())

@@ -9,11 +9,13 @@ all tasks like any other.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skygrid.plans.dimension import stored
 from skygrid.plans.grid import GridSpec
 
 # Slack, in cells, so that rounding never drops a cell on the rim; exact predicates follow.
@@ -82,6 +84,78 @@ def nearest_per_cell(pairs: DataFrame, keys: Sequence[str], order: str, values:
     return picked.groupBy(*keys).agg(*[F.min_by(v, "_rank").alias(v) for v in values], F.min_by("d", "_rank").alias("d"))
 
 
+def _asked_blocks(pixels: DataFrame, grid: GridSpec, side: tuple[int, int]) -> DataFrame:
+    """Each pixel once for every block of ``side`` cells that its window of half-width ``_r`` touches: ``_bi``, ``_bj``."""
+    first_lat, first_lon = grid.lat_of(F.lit(0)), grid.lon_of(F.lit(0))
+
+    def block(x: Column, first: Column, step: float, n: int, size: int) -> Column:
+        cell = F.least(F.greatest(F.floor((x - first) / F.lit(step)), F.lit(0).cast("long")), F.lit(n - 1).cast("long"))
+        return F.floor(cell / size).cast("int")
+
+    def blocks(x: Column, r: Column, first: Column, step: float, n: int, size: int) -> Column:
+        near = (x + r >= first - _RIM) & (x - r <= first + (n - 1) * F.lit(step) + _RIM)
+        return F.when(near, F.sequence(block(x - r, first, step, n, size), block(x + r + step, first, step, n, size)))
+
+    rows = pixels.withColumn("_bi", F.explode(blocks(F.col("lat"), F.col("_r"), first_lat, grid.lat_step, grid.nlat, side[0])))
+    return rows.withColumn("_bj", F.explode(blocks(F.col("lon"), F.col("_r") / F.col("_s"), first_lon, grid.lon_step, grid.nlon, side[1])))
+
+
+def _ring_pairs(pixels: DataFrame, best: DataFrame, grid: GridSpec, keys: Sequence[str], reach: float) -> DataFrame:
+    """Pairs within ``reach`` (and a pixel's own radius) of the pixels that may still fill a cell, in unfinished blocks only.
+
+    A block whose cells all have a pixel is finished. The windows of the others are cut by block, so no cell of a
+    finished block is made, and none is made twice.
+    """
+    side = (max(1, math.ceil(2 * reach / grid.lat_step)), max(1, math.ceil(2 * reach / grid.lon_step)))
+    place = {"_bi": F.expr(f"cast(i div {side[0]} as int)"), "_bj": F.expr(f"cast(j div {side[1]} as int)")}
+    cells = (F.least(F.lit(side[0]), F.lit(grid.nlat) - F.col("_bi") * side[0]) * F.least(F.lit(side[1]), F.lit(grid.nlon) - F.col("_bj") * side[1]))
+    finished = best.withColumns(place).groupBy(*keys, "_bi", "_bj").agg(F.count("*").alias("_n")).where(F.col("_n") == cells)
+    asking = _asked_blocks(pixels.withColumn("_r", F.least(F.col("_radius"), F.lit(reach))), grid, side)
+    asking = asking.join(finished.select(*keys, "_bi", "_bj"), [*keys, "_bi", "_bj"], "left_anti")
+
+    def span(x: Column, r: Column, at: Column, step: float, size: int) -> tuple[Column, Column]:
+        return (F.greatest(x - r, at - 0.25 * step),
+                F.least(x + r, at + (F.lit(size) - 0.75) * F.lit(step)))
+
+    r, s = F.col("_r"), F.col("_s")
+    lat_lo, lat_hi = span(F.col("lat"), r, grid.lat_of(F.col("_bi") * side[0]), grid.lat_step, side[0])
+    lon_lo, lon_hi = span(F.col("lon"), r / s, grid.lon_of(F.col("_bj") * side[1]), grid.lon_step, side[1])
+    pairs = window_cells(asking, grid, lat_lo, lat_hi, lon_lo, lon_hi)
+    dx, dy = (F.col("lon") - F.col("cell_lon")) * s, F.col("lat") - F.col("cell_lat")
+    return pairs.withColumn("d", F.sqrt(dy * dy + dx * dx)).where(F.col("d") <= r)
+
+
+# First radius of an outward search in cells, and its growth from round to round.
+FIRST_RING, RING_GROWTH = 1.5, 4.0
+
+
+def outward_nearest(pixels: DataFrame, grid: GridSpec, keys: Sequence[str], order: str, values: Sequence[str], radius,
+                    most: float | None = None, lon_scale=1.0) -> DataFrame:
+    """The closest pixel of each cell within ``radius`` degrees, searched outwards; equal distances go to the smaller ``order``.
+
+    In a first round a pixel meets the few cells around it. A cell that finds a pixel within the radius of a round has found its
+    closest one, since all pixels that near have met it. Blocks of cells that are all settled close, and only pixels whose
+    window reaches an open block go on, with a larger radius, cut to these blocks. So a dense swath makes a dozen pairs a pixel
+    however far the search may go, and a coarse one a third more than a single search. ``most`` bounds a radius that is a column.
+    """
+    r = radius if isinstance(radius, Column) else F.lit(float(radius))
+    most = float(radius) if most is None else most
+    rows = pixels.select(*dict.fromkeys([*keys, order, *values, "lat", "lon"]), r.alias("_radius"),
+                         (lon_scale if isinstance(lon_scale, Column) else F.lit(float(lon_scale))).alias("_s"))
+    kept = list(dict.fromkeys([order, *values]))
+    reach = FIRST_RING * max(grid.lat_step, grid.lon_step)
+    first = candidate_cells(rows.withColumn("_r", F.least(F.col("_radius"), F.lit(reach))), grid, F.col("_r"), F.col("_s"))
+    best = nearest_per_cell(first, [*keys, "i", "j"], order, kept)
+    while reach < most:
+        best = stored(best, "nearest-so-far")
+        more = rows.where(F.col("_radius") > reach)
+        reach = min(reach * RING_GROWTH, most)
+        found = [*keys, "i", "j", *kept, "d"]
+        pairs = _ring_pairs(more, best, grid, keys, reach).select(*found).unionByName(best.select(*found))
+        best = nearest_per_cell(pairs, [*keys, "i", "j"], order, kept)
+    return best.select(*keys, "i", "j", *values, "d")
+
+
 def by_block(df: DataFrame, group: Sequence[str], row: str, col: str, side: int = 32) -> DataFrame:
     """Rows spread by blocks of ``side`` x ``side`` positions, named by ``_br`` and ``_bc``.
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from skygrid.operators import regrid
+from skygrid.plans.grid import GridSpec
 from skygrid.workload.fixtures import BIN_GRID, CUBE_GRID
 from skygrid.workload.helpers import R6, cells_cte, cells_out, ds, grid_edges_ctes, in_bin, r6
 from skygrid.workload.registry import query
@@ -136,6 +137,17 @@ def r4(t):
     return cells_out(regrid.idw_regrid(t.pixel, BIN_GRID, 0.4))
 
 
+FINE_GRID = GridSpec(20.8763171, 0.1, 53, 118.8809113, 0.1, 43)
+
+
+@query("R3_nearest_outward", ["v_pixel"], f"""
+with {VALID}, {cells_cte('cells', FINE_GRID)}, {pairs_cte('pairs', 'ok', 0.7)}
+select granule_id, i, j, {R6('value')} as value from ({nearest_sql('pairs')})""")
+def r3_outward(t):
+    """Cells much finer than the radius: found in rounds, from the pixel's own surroundings outwards."""
+    return cells_out(regrid.nearest_regrid(t.pixel, FINE_GRID, 0.7))
+
+
 @query("R5_nearest_limited", ["v_pixel"], f"""
 with {VALID}, {CELLS}, {pairs_cte('pairs', 'ok', 0.25)}
 select granule_id, i, j, {R6('value')} as value from ({nearest_sql('pairs')})""")
