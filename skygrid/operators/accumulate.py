@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from skygrid.functions.geo import finite, is_finite
 from skygrid.functions.time import period_start
+from skygrid.operators import moments
 from skygrid.operators.regrid import adaptive_regrid, valid_pixels
 from skygrid.plans.grid import GridSpec
 
 
 def weighted_stats(value: Column, weight: Column) -> tuple[Column, Column, Column]:
-    """Aggregates ``mean, count, std`` of one cell; weight counts only where the value exists."""
+    """Aggregates ``mean, count, std`` of one cell in a single pass, for streams; weight counts only where the value exists.
+
+    The spread is a difference of squares, which loses digits where it is far smaller than the mean; ``accumulate`` does not.
+    """
     w = F.when(is_finite(value), weight).otherwise(0.0)
     v = F.coalesce(finite(value), F.lit(0.0))
     mean = F.try_divide(F.sum(w * v), F.sum(w))
@@ -22,8 +26,7 @@ def weighted_stats(value: Column, weight: Column) -> tuple[Column, Column, Colum
 
 def accumulate(cells: DataFrame, keys=()) -> DataFrame:
     """Per cell over granules: count-weighted mean, number of granules, weighted std."""
-    mean, count, std = weighted_stats(F.col("value"), F.col("count"))
-    return cells.groupBy(*keys, "i", "j").agg(mean.alias("value"), count.alias("count"), std.alias("std"))
+    return moments.finished(moments.merged(moments.states_of(cells, keys), keys))
 
 
 def period_bucket(cells: DataFrame, period: str, time: str = "time") -> DataFrame:
@@ -31,6 +34,12 @@ def period_bucket(cells: DataFrame, period: str, time: str = "time") -> DataFram
     return accumulate(cells.withColumn("period", period_start(F.col(time), period)), ("period",))
 
 
+def period_buckets(cells: DataFrame, periods=moments.PERIODS, time: str = "time") -> DataFrame:
+    """``period_bucket`` for several period lengths (bucket, period) out of one reading: days first, the others from the days."""
+    days = moments.merged(moments.states_of(cells, [F.to_date(time).alias("obs_date")]), ("obs_date",))
+    return moments.finished(moments.rolled_up(days, periods))
+
+
 def tile_mean(tiles: DataFrame, keys=("obs_date",), order: str = "granule_id", legacy: bool = False) -> DataFrame:
     """Tiles of one day combined per cell: the mean of the valid values.
 

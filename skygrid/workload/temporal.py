@@ -5,8 +5,9 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from skygrid.functions.time import granule_time
-from skygrid.operators import accumulate, merge, regrid, reports
+from skygrid.operators import accumulate, merge, moments, regrid, reports
 from skygrid.operators.catalog import frame_order, top_k
+from skygrid.session import shared_dir
 from skygrid.workload.fixtures import BIN_GRID, CUBE_GRID
 from skygrid.workload.helpers import DS, R6, TS, dbl, ds, r6, ts
 from skygrid.workload.registry import query
@@ -44,9 +45,46 @@ select '{p}' as bucket, {DS('period')} as period, i, {R6('avg(value)')} as value
 def t2(t):
     """Zonal means of all five period lengths."""
     cells = t.cube.where("value is not null").withColumns({"time": F.col("obs_date").cast("timestamp"), "count": F.lit(1.0), "j": F.lit(0)})
-    parts = [accumulate.period_bucket(cells, p).select(F.lit(p).alias("bucket"), ds("period").alias("period"), "i",
-                                                       r6("value").alias("value"), "count") for p in PERIODS]
-    return merge.union_tables(parts)
+    return accumulate.period_buckets(cells, list(PERIODS)).select("bucket", ds("period").alias("period"), "i", r6("value").alias("value"), "count")
+
+
+# Means around 1e16 with a spread a hundred thousand times smaller, as in columns of molecules; check SQL in two passes.
+LARGE = "1e16 + 1e10 * value"
+TWO_PASSES = """with_mean as (select *, sum(w * v) over g / sum(w) over g as mean from {cells} window g as (partition by {keys})),
+stats as (select {keys}, min(mean) as value, count(*) as count, sqrt(sum(w * (v - mean) * (v - mean)) / sum(w)) as std from with_mean group by {keys})"""
+
+
+def _large_out(df, *keys):
+    return df.select(*keys, (F.floor(F.col("value") / 1e10 * 1e3 + 0.3137) / 1e3).alias("value"), "count", r6(F.col("std") / 1e10).alias("std"))
+
+
+LARGE_OUT = f"floor(value / 1e10 * 1e3 + 0.3137e0) / 1e3 as value, count, {R6('std / 1e10')} as std"
+
+
+@query("T1_large_values", ["v_cube"], f"""
+with cells as (select cast(date_trunc('month', obs_date) as date) as m, i, j, 1 + slice_no % 3 as w, {LARGE} as v from v_cube where value is not null),
+{TWO_PASSES.format(cells='cells', keys='m, i, j')} select {DS('m')} as period, i, j, {LARGE_OUT} from stats""")
+def t1_large(t):
+    """Weighted spread of large values, by month."""
+    cells = t.cube.withColumns({"value": F.lit(1e16) + F.lit(1e10) * F.col("value"), "count": 1 + F.col("slice_no") % 3,
+                                "period": F.to_date(F.date_trunc("month", "obs_date"))})
+    out = accumulate.accumulate(cells, ("period",)).where("count > 0")
+    return _large_out(out.withColumn("period", ds("period")), "period", "i", "j")
+
+
+@query("T2_states_topped_up", ["v_cube"], f"""
+with cells as (select p.bucket, case p.bucket {' '.join(f"when '{p}' then {e}" for p, e in PERIODS.items())} end as period, i, j, 1 + slice_no % 3 as w, {LARGE} as v
+  from v_cube cross join (values {', '.join(f"('{p}')" for p in PERIODS)}) p(bucket) where value is not null),
+{TWO_PASSES.format(cells='cells', keys='bucket, period, i, j')} select bucket, {DS('period')} as period, i, j, {LARGE_OUT} from stats""")
+def t2_states(t):
+    """All period lengths out of day states that were kept as a table and topped up by later slices, one batch twice."""
+    cells = t.cube.where("value is not null").withColumns(
+        {"value": F.lit(1e16) + F.lit(1e10) * F.col("value"), "count": 1 + F.col("slice_no") % 3})
+    path = shared_dir(t.spark, "day-states")
+    for batch, part in (("a", "slice_no <= 3"), ("b", "slice_no > 3"), ("b", "slice_no > 3")):
+        moments.add_to_states(cells.where(part), path, batch, F.col("obs_date"))
+    out = moments.finished(moments.rolled_up(moments.stored_states(t.spark, path)))
+    return _large_out(out.withColumn("period", ds("period")), "bucket", "period", "i", "j")
 
 
 TILES = f"{VALID}, {CELLS}, {pairs_cte('pairs', 'ok', 0.4)}, days as (select granule_id, cast(min(obs_time) as date) as obs_date from v_pixel group by 1), " \
