@@ -9,7 +9,10 @@ from skygrid.functions.geo import finite, is_finite
 from skygrid.functions.time import period_start
 from skygrid.operators import moments
 from skygrid.operators.regrid import adaptive_regrid, valid_pixels
+from skygrid.plans.dimension import fact_table
 from skygrid.plans.grid import GridSpec
+from skygrid.sources.grids import write_on_grid
+from skygrid.sources.tables import cube_layout, write_cube
 
 
 def weighted_stats(value: Column, weight: Column) -> tuple[Column, Column, Column]:
@@ -81,12 +84,15 @@ def first_fill(pixels: DataFrame, grid: GridSpec, keys=("granule_id",)) -> DataF
 
 def daily_cube(pixels: DataFrame, grid: GridSpec, legacy_mean: bool = False) -> DataFrame:
     """Every granule of a day gridded on its own, then combined per cell."""
-    days = pixels.groupBy("granule_id").agg(F.to_date(F.min("obs_time")).alias("obs_date"))
+    days = fact_table(pixels.groupBy("granule_id").agg(F.to_date(F.min("obs_time")).alias("obs_date")), "days")
     tiles = adaptive_regrid(pixels, grid).join(days, "granule_id")
     return grid.with_coordinates(tile_mean(tiles, legacy=legacy_mean))
 
 
-def monthly_cubes(pixels: DataFrame, grid: GridSpec) -> DataFrame:
-    """The daily cube with its output partitions, one per month."""
-    return daily_cube(pixels, grid).withColumns(
-        {"yyyy": F.date_format("obs_date", "yyyy"), "mm": F.date_format("obs_date", "MM")})
+def monthly_cubes(pixels: DataFrame, grid: GridSpec, path: str, **attributes) -> None:
+    """The daily cube written below ``path``, one output for each month with data; months that are written again are replaced.
+
+    ``attributes`` (hub, product, level, region, units, ...) describe the cube; its grid is registered beside it. ``scan_cube`` reads it.
+    """
+    days = daily_cube(pixels, grid).withColumns({"time": F.col("obs_date").cast("timestamp"), "slice_id": F.col("obs_date").cast("string")})
+    write_on_grid(cube_layout(days.drop("obs_date"), **attributes), grid, path, write_cube)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +15,7 @@ from skygrid.functions.time import bucket_label, in_date_range
 from skygrid.operators.region import box_of, region_cells, restrict_to_region
 from skygrid.plans.cellmaps import cell_words, covered_weight, region_words, union_words
 from skygrid.plans.grid import GridSpec
+from skygrid.sources.grids import grids_in
 from skygrid.sources.tables import rebuild_partitions
 
 COLUMNS = ("hub", "product", "region", "time", "granularity", "weight", "valid", "total", "coverage", "n_slices")
@@ -50,7 +54,7 @@ def off_grid_cells(cube: DataFrame, grid: GridSpec, tolerance: float = 1e-6) ->
                       | ~F.col("i").between(0, grid.nlat - 1) | ~F.col("j").between(0, grid.nlon - 1))
 
 
-def _on_grid(cube: DataFrame, grid: GridSpec, tolerance: float = 1e-6) -> DataFrame:
+def on_grid(cube: DataFrame, grid: GridSpec, tolerance: float = 1e-6) -> DataFrame:
     """``cube``, raising at the first measured cell whose stored position is not the grid's: rows of another grid are
     refused in the pass that counts them. A cube without stored positions cannot be told apart."""
     if not {"lat", "lon"} <= set(cube.columns):
@@ -94,7 +98,7 @@ def compute_coverage(cube: DataFrame, grid: GridSpec, *, region="taiwan", start=
     total = coverage_total(grid, region, weight, cube.sparkSession, vertices)
     known = cube if slices is None else slices
     known = known.select(slice_key, "time").distinct()
-    valid = _on_grid(restrict_to_region(cube.where(is_finite(F.col("value"))), grid, region, vertices), grid)
+    valid = on_grid(restrict_to_region(cube.where(is_finite(F.col("value"))), grid, region, vertices), grid)
 
     if granularity == "per_file":
         seen = covered_weight(cell_words(valid, [slice_key, "time"]), grid, [slice_key, "time"], weight)
@@ -131,6 +135,21 @@ def _by_day(words: DataFrame, days: DataFrame, total: Column, grid: GridSpec, re
     return _tidy(rows, hub, product, region, granularity, weight, F.col("_cov"))
 
 
+def coverage_by_grid(cube: DataFrame, grids: Mapping[str, GridSpec], *, granularity: str = "per_file", **options) -> DataFrame:
+    """``compute_coverage`` of a cube whose rows name their grid (``grid_id``), out of the registered ``grids``.
+
+    ``per_file`` measures each slice by the mask and the total of its own grid. The other granularities join slices cell by cell and
+    need a single grid: the rows themselves are looked at, and several grids, or one that is not registered, are an error.
+    """
+    found = sorted(grids_in(cube, grids))
+    if granularity != "per_file" and len(found) > 1:
+        raise ValueError(f"the product mixes grids ({', '.join(found)}); point it at one cube")
+    if not found:
+        return compute_coverage(cube, next(iter(grids.values())), granularity=granularity, **options)
+    parts = [compute_coverage(cube.where(F.col("grid_id") == name), grids[name], granularity=granularity, **options) for name in found]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # -- coverage kept as a table ------------------------------------------------------
 
 MAP_PARTITIONS = ("yyyy", "batch")
@@ -146,7 +165,7 @@ def add_to_map(cube: DataFrame, grid: GridSpec, path: str, batch: str, slice_key
     The map holds the whole grid, so any region and weight can be asked for later. A batch writes its own partitions and
     replaces them when repeated; slices that come again, in any batch, change nothing.
     """
-    valid = _on_grid(cube.where(is_finite(F.col("value")) & F.col("i").between(0, grid.nlat - 1) & F.col("j").between(0, grid.nlon - 1)), grid)
+    valid = on_grid(cube.where(is_finite(F.col("value")) & F.col("i").between(0, grid.nlat - 1) & F.col("j").between(0, grid.nlon - 1)), grid)
     day = F.to_date("time").alias("obs_date")
     slices = cube.select(day, F.col(slice_key).cast("string").alias("slice")).distinct()
     rebuild_partitions(_dated(cell_words(valid, [day]), batch), f"{path}/words", MAP_PARTITIONS)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skygrid.functions.time import EPOCH, gems_time, in_date_range, l3_date
+from skygrid.operators.coverage import on_grid
 from skygrid.plans.grid import GridSpec
 
 
@@ -31,11 +32,18 @@ def merge_cubes(cubes: Sequence[DataFrame], start, end, *, hub: str, product: st
                 grids: Sequence[GridSpec] = (), slice_key: str | None = None) -> DataFrame:
     """All slices in [start, end of day], nothing de-duplicated, with provenance columns.
 
-    Row order is a matter of the sink (``sort_by_time``). Cubes on different grids
-    are refused.
+    Row order is a matter of the sink (``sort_by_time``). Cubes on different grids are refused: those whose rows name
+    their grid (``grid_id``) by their rows, and with ``grids``, one a cube, by signature and by the position of every row that has one, in
+    the pass that reads it. Without either nothing can be told.
     """
     if len({g.signature() for g in grids}) > 1:
         raise ValueError("cubes are on different grids")
+    if grids:
+        cubes = [on_grid(cube, grid) for cube, grid in zip(cubes, grids, strict=True)]
+    if all("grid_id" in c.columns for c in cubes):
+        named = reduce(lambda a, b: a.union(b), [c.where(in_date_range(F.col("time"), start, end)).select("grid_id") for c in cubes])
+        if len(found := named.where("grid_id is not null").distinct().limit(2).collect()) > 1:
+            raise ValueError(f"cubes are on different grids: {sorted(r[0] for r in found)}")
     union = reduce(lambda a, b: a.unionByName(b), cubes)
     merged = union.where(in_date_range(F.col("time"), start, end)).withColumns({
         "hub": F.lit(hub), "product": F.lit(product), "level": F.lit(level),

@@ -32,7 +32,7 @@ def month_filter(start, end) -> Column:
 
 # Columns of a stored cube besides its partition columns.
 CUBE_SCHEMA = ("time timestamp, slice_id string, i int, j int, lat double, lon double, value double, count double, std double, "
-               "units string, processing_method string, description string, source string, resolution string, "
+               "units string, processing_method string, description string, source string, resolution string, grid_id string, "
                "hub string, level string, region string, product string, yyyy string, mm string")
 
 
@@ -83,6 +83,7 @@ def cube_layout(cube: DataFrame, *, hub: str, product: str, level: str = "L2", r
         "hub": F.lit(hub), "product": F.lit(product), "level": F.lit(level), "region": F.lit(region),
         "units": F.lit(units), "processing_method": F.lit(method),
         "description": F.lit(description), "source": F.lit(source), "resolution": F.lit(resolution),
+        "grid_id": F.col("grid_id") if "grid_id" in cube.columns else F.lit(None).cast("string"),
         "yyyy": F.date_format("time", "yyyy"), "mm": F.date_format("time", "MM")})
 
 

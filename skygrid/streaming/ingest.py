@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from skygrid.functions.geo import cell_weight, finite
+from skygrid.functions.geo import cell_weight, finite, is_finite
 from skygrid.functions.numbers import round_even
 from skygrid.operators.accumulate import weighted_stats
 from skygrid.operators.coverage import coverage_total
-from skygrid.operators.region import restrict_to_region
+from skygrid.operators.region import region_cells, restrict_to_region
 from skygrid.operators.regrid import supersample_regrid
+from skygrid.plans.cellmaps import WORD, WORD_BITS
+from skygrid.plans.dimension import hint_if_bounded
 from skygrid.plans.grid import GridSpec
 from skygrid.sources.tables import rebuild_partitions
 
@@ -125,6 +127,38 @@ def write_closed_days(means: DataFrame, sink: str, checkpoint: str) -> Streaming
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def stream_coverage(stream: DataFrame, grid: GridSpec, region=None, weight: str = "count", vertices: DataFrame | None = None,
+                    delay: str = "2 days", slice_key: str = "granule_id") -> DataFrame:
+    """Closed days only: valid and total weight of a region, coverage and the number of granules, in one streaming query.
+
+    A first windowed aggregate holds, for each open day, the observed cells as words of 64 columns and the granules as marks; when the
+    day closes, a second one on ``window_time`` adds up the weights and counts the marks. A granule without any valid pixel
+    still counts, and so does its day. ``region`` is a box, or a zone with its outlines; without one, the whole grid.
+    """
+    if region is None:
+        region = (float("-inf"), float("inf"), float("-inf"), float("inf"))
+    total = coverage_total(grid, region, weight, stream.sparkSession, vertices)
+    placed = stream.withWatermark("obs_time", delay).withColumns(
+        {"i": grid.row_index(F.col("lat")), "j": grid.col_index(F.col("lon"))})
+    mask = region_cells(grid, region, stream.sparkSession, vertices).select("i", "j", F.lit(True).alias("_in"))
+    placed = placed.join(hint_if_bounded(mask, grid.size), ["i", "j"], "left")
+    seen = F.col("_in") & is_finite(F.col("value")) & (F.col("qa") > 0)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("j").bitwiseAND(WORD - 1))
+
+    def mark(granule: Column, row: Column, word: Column, bits: Column) -> Column:
+        return F.struct(granule.alias("granule"), row.alias("i"), word.alias("w"), bits.alias("bits"))
+
+    cell = mark(F.lit(None).cast("string"), F.col("i"), F.shiftright("j", WORD_BITS), bit)
+    granule = mark(F.col(slice_key).cast("string"), F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(0).cast("long"))
+    marks = placed.select("obs_time", F.explode(F.when(seen, F.array(cell, granule)).otherwise(F.array(granule))).alias("_m"))
+    days = marks.groupBy(F.window("obs_time", "1 day").alias("day"), "_m.granule", "_m.i", "_m.w").agg(F.bit_or("_m.bits").alias("bits"))
+    row_weight = cell_weight(grid.lat_of(F.col("i")), weight)
+    found = days.groupBy(F.window(F.window_time("day"), "1 day").alias("day")).agg(
+        F.coalesce(F.sum(row_weight * F.bit_count("bits")), F.lit(0.0)).alias("valid"), F.count("granule").alias("n_slices"))
+    return found.select(F.to_date("day.start").alias("obs_date"), "valid", total.alias("total"),
+                        round_even(F.try_divide(F.col("valid"), total), 5).alias("coverage"), "n_slices")
+
+
 def closed_day_coverage(closed: DataFrame, grid: GridSpec, region=None, weight: str = "count",
                         vertices: DataFrame | None = None) -> DataFrame:
     """Share of the grid, or of a region, with a value, per closed day; cells by number or by area."""

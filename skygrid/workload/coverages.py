@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from skygrid.operators import coverage
 from skygrid.operators.stations import expected_slots
-from skygrid.plans.grid import FILTER_BOX
+from skygrid.plans.grid import FILTER_BOX, GridSpec
 from skygrid.session import shared_dir
+from skygrid.sources.grids import read_grids, register_grid
 from skygrid.workload.fixtures import CUBE_GRID
 from skygrid.workload.grids import RAYS
 from skygrid.workload.helpers import cells_cte, r6, R6
@@ -56,6 +57,37 @@ def v1(t):
     return _run(t, granularity="per_file")
 
 
+COARSE_GRID = GridSpec(21.0, 0.2, 26, 119.0, 0.2, 21)
+
+
+def _two_grids(t):
+    """Slices of even number on a grid of half the resolution; every row names its grid, and both grids are registered."""
+    path = shared_dir(t.spark, "grids")
+    fine, coarse = (register_grid(t.spark, path, g) for g in (CUBE_GRID, COARSE_GRID))
+    even = F.col("slice_no") % 2 == 0
+    cube = t.cube_slices().withColumns({c: F.when(even, F.expr(f"cast({c} div 2 as int)")).otherwise(F.col(c)) for c in ("i", "j")})
+    cube = cube.withColumns({"lat": F.when(even, COARSE_GRID.lat_of(F.col("i"))).otherwise(F.col("lat")),
+                             "lon": F.when(even, COARSE_GRID.lon_of(F.col("j"))).otherwise(F.col("lon")),
+                             "grid_id": F.when(even, F.lit(coarse)).otherwise(F.lit(fine))})
+    return cube, read_grids(t.spark, path)
+
+
+@query("V1_coverage_two_grids", ["v_cube"], f"""
+with {REG}, {cells_cte("wide", COARSE_GRID)}, reg2 as (select i, j, lat from wide where lon between 120 and 122 and lat between 22 and 25),
+tot as (select 1 as odd, sum(cos(radians(lat))) as total from reg union all select 0, sum(cos(radians(lat))) from reg2),
+seen as (select distinct obs_date, slice_no, case when slice_no % 2 = 0 then i // 2 else i end as i, case when slice_no % 2 = 0 then j // 2 else j end as j from v_cube where value is not null),
+hit as (select obs_date, slice_no, sum(cos(radians(coalesce(r.lat, s.lat)))) as valid from seen
+  left join reg r on slice_no % 2 = 1 and r.i = seen.i and r.j = seen.j left join reg2 s on slice_no % 2 = 0 and s.i = seen.i and s.j = seen.j
+  where coalesce(r.lat, s.lat) is not null group by 1, 2), slices as (select distinct obs_date, slice_no from v_cube)
+select {HEAD.format(region='box', label="strftime(obs_date + interval 1 hour * slice_no, '%Y-%m-%d %H:%M')", gran='per_file', weight='area')},
+  round_even(coalesce(valid, 0e0), 3) as valid, round_even(total, 3) as total, round_even(coalesce(valid, 0e0) / total, 5) as coverage, cast(1 as bigint) as n_slices
+from slices join tot on odd = slice_no % 2 left join hit using (obs_date, slice_no)""")
+def v1_two_grids(t):
+    """Each slice by the mask and the total of its own grid."""
+    cube, grids = _two_grids(t)
+    return coverage.coverage_by_grid(cube, grids, region=FILTER_BOX, weight="area", hub="modis", product="aod")
+
+
 @query("V2_coverage_daily", ["v_cube"], daily_sql())
 def v2(t):
     return _run(t)

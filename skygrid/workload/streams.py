@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from skygrid.operators.accumulate import accumulate
+from skygrid.plans.grid import FILTER_BOX
 from skygrid.session import shared_dir
 from skygrid.streaming import ingest
 from skygrid.workload.fixtures import BIN_GRID
-from skygrid.workload.helpers import CENTS, R6, cells_out, cents, ds, grid_edges_ctes, in_bin, r6
+from skygrid.workload.helpers import CENTS, DS, R6, cells_cte, cells_out, cents, ds, grid_edges_ctes, in_bin, r6
 from skygrid.workload.registry import query
 from skygrid.workload.regridding import supersample_ctes
 from skygrid.workload.temporal import STATS
@@ -88,6 +89,24 @@ def x4(t):
     return days.select(ds("obs_date").alias("obs_date"), "valid", "coverage")
 
 
+@query("X4_stream_region_coverage", ["v_pixel"], f"""
+with {grid_edges_ctes(BIN_GRID)}, {cells_cte('cells', BIN_GRID)}, reg as (select i, j, lat from cells where lon between 120 and 122 and lat between 22 and 25),
+tot as (select sum(cos(radians(lat))) as total from reg),
+days as (select cast(obs_time as date) as obs_date, count(distinct granule_id) as n_slices from v_pixel group by 1),
+seen as (select distinct cast(obs_time as date) as obs_date, e.k as i, f.k as j from v_pixel join lat_bins e on {in_bin('lat', 'e')} join lon_bins f on {in_bin('lon', 'f')}
+  where value is not null and qa > 0),
+hit as (select obs_date, sum(cos(radians(lat))) as valid from seen join reg using (i, j) group by 1)
+select {DS('obs_date')} as obs_date, {R6('coalesce(valid, 0e0)')} as valid, {R6('total')} as total, round_even(coalesce(valid, 0e0) / total, 5) as coverage, n_slices
+from days left join hit using (obs_date), tot where obs_date + interval 1 day <= (select max(obs_time) - interval 2 day from v_pixel)""")
+def x4_region(t):
+    """Area share of a region by closed day, with its number of granules, from one stream of two chained windows."""
+    base = _land(t, "stream-coverage")
+    days = ingest.stream_coverage(_stream(t, base, 3), BIN_GRID, FILTER_BOX, "area")
+    ingest.write_closed_days(days, f"{base}/days", f"{base}/cp").awaitTermination()
+    out = t.spark.read.parquet(f"{base}/days")
+    return out.select(ds("obs_date").alias("obs_date"), r6("valid").alias("valid"), r6("total").alias("total"), "coverage", "n_slices")
+
+
 @query("X5_reprocess_window", ["v_pixel"], f"with {CELLS} {OUT} daily")
 def x5(t):
     """Closed days from the stream, then the days after them rebuilt from the raw pixels."""

@@ -8,6 +8,7 @@ from skygrid.functions.time import granule_time
 from skygrid.operators import accumulate, merge, moments, regrid, reports
 from skygrid.operators.catalog import frame_order, top_k
 from skygrid.session import shared_dir
+from skygrid.sources.tables import scan_cube
 from skygrid.workload.fixtures import BIN_GRID, CUBE_GRID
 from skygrid.workload.helpers import DS, R6, TS, dbl, ds, r6, ts
 from skygrid.workload.registry import query
@@ -144,7 +145,10 @@ def t6(t):
 with {DAILY} select strftime(obs_date, '%Y') as yyyy, strftime(obs_date, '%m') as mm, count(*) as n_cells, count(distinct obs_date) as n_days,
   floor(sum(value) * 1e4 + 0.3137e0) / 1e4 as total from daily group by 1, 2""")
 def t7(t):
-    cubes = accumulate.monthly_cubes(_thinned(t), BIN_GRID)
+    """Monthly outputs written, then read back."""
+    path = shared_dir(t.spark, "months")
+    accumulate.monthly_cubes(_thinned(t), BIN_GRID, path, hub="modis", product="aod", level="L3")
+    cubes = scan_cube(t.spark, path, "aod").withColumn("obs_date", F.to_date("time"))
     return cubes.groupBy("yyyy", "mm").agg(F.count("*").alias("n_cells"), F.countDistinct("obs_date").alias("n_days"),
                                            (F.floor(F.sum("value") * 1e4 + 0.3137) / 1e4).alias("total"))
 
