@@ -79,10 +79,12 @@ def pivot_wide(series: DataFrame, names: Sequence[str], columns: Sequence[str] =
 
     The names are given, so no job runs to find them, and a pivot is one hash aggregation.
     """
-    single = len(columns) == 1
-    aggs = [F.max(F.when(F.col("station") == n, F.col(c))).alias(n if single else f"{n}_{c}")
-            for n in sorted(names) for c in columns]
-    return series.groupBy(*keys).agg(*aggs)
+    single, names = len(columns) == 1, sorted(names)
+    # A number in place of the name, so that the code of many columns stays small enough to be compiled.
+    numbered = series.select(*keys, *columns, F.array_position(F.array(*[F.lit(n) for n in names]), F.col("station")).cast("int").alias("_n"))
+    aggs = [F.max(F.when(F.col("_n") == k, F.col(c))).alias(n if single else f"{n}_{c}")
+            for k, n in enumerate(names, 1) for c in columns]
+    return numbered.groupBy(*keys).agg(*aggs)
 
 
 SURROUNDING = tuple(f"grid_{k}" for k in range(9)) + ("mean", "std")

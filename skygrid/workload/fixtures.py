@@ -90,9 +90,9 @@ select o_orderkey as file_id,
 from {orders}"""),
     "v_ledger": ("orders", """
 select o_orderkey as granule_id,
-       case when o_orderkey % 7 = 0 then 'empty' when o_orderkey % 11 = 0 then 'error' else 'ok' end as status
-from {orders}
-where o_orderpriority <> '1-URGENT'"""),
+       case when o_orderpriority = '1-URGENT' then 'pending' when o_orderkey % 7 = 0 then 'empty'
+            when o_orderkey % 11 = 0 then 'error' else 'ok' end as status
+from {orders}"""),
     "v_inventory": ("lineitem", """
 select concat('/data/', lower(l_returnflag), '/', cast(l_orderkey as string), '_', cast(l_linenumber as string),
               case when l_linestatus = 'F' then '.nc' else '.png' end) as path,

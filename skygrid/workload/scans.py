@@ -13,6 +13,7 @@ from skygrid.sources import swath, tables
 from skygrid.workload.fixtures import CUBE_GRID, FIELD_GRID
 from skygrid.workload.helpers import CENTS, DS, R6, TS, cents, ds, r6
 from skygrid.workload.registry import query
+from skygrid.workload.scalars import GRANULE_TIME, NAMES
 
 
 @query("A1_scan_cube", ["v_cube"], f"""
@@ -39,14 +40,11 @@ def a2(t):
 
 
 @query("A2_slice_time_from_name", ["v_filename"], f"""
-select file_id, {TS('''case when name like 'S5P_L3%' or name like 'GK2%' then strptime(regexp_extract(name, '([0-9]{8})', 1), '%Y%m%d')
-   + case when name like 'GK2%' then interval '3 hours 45 minutes' else interval '0' hour end
-   else strptime(regexp_extract(name, '([0-9]{8}T[0-9]{6})', 1), '%Y%m%dT%H%M%S') end''')} as slice_time
-from v_filename where (name like 'S5P%' or name like 'GK2%')
-  and strptime(regexp_extract(name, '([0-9]{{8}})', 1), '%Y%m%d') between timestamp '1996-01-01' and timestamp '1999-12-31'""")
+with {NAMES}, timed as (select file_id, {GRANULE_TIME} as slice_time from names)
+select file_id, {TS('slice_time')} as slice_time from timed where slice_time between timestamp '1996-01-01' and timestamp '1999-12-31 23:59:59'""")
 def a2_named(t):
-    named = t.filename.where(F.startswith("name", F.lit("S5P")) | F.startswith("name", F.lit("GK2")))
-    timed = tables.slices(named.withColumn("time", F.lit(None).cast("timestamp")), "1996-01-01", "1999-12-31", path="name")
+    """Slices of every kind of name, none of which has a time of its own; undated names are in no range."""
+    timed = tables.slices(t.filename.withColumn("time", F.lit(None).cast("timestamp")), "1996-01-01", "1999-12-31", path="name")
     return timed.select("file_id", F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("slice_time"))
 
 
@@ -163,12 +161,14 @@ def a12(t):
 select 'environment' as owner, s_name as station, cast(s_nationkey as int) as county, null as site_type from supplier
 union all select 'power', c_name, cast(c_nationkey as int), c_mktsegment from customer""")
 def a13(t):
-    """Two providers with their own column names, one of them without a site type."""
-    one = t.supplier.select(F.lit("environment").alias("owner"), F.col("s_name").alias("station"),
-                            F.col("s_nationkey").cast("int").alias("county"))
-    two = t.customer.select(F.lit("power").alias("owner"), F.col("c_name").alias("station"),
-                            F.col("c_nationkey").cast("int").alias("county"), F.col("c_mktsegment").alias("site_type"))
-    return union_tables([one, two])
+    """Two providers' CSV files with their own headers and encodings, which the reader finds out; one has no site type."""
+    path = shared_dir(t.spark, "stations")
+    t.supplier.select(F.col("s_name").alias("sitename"), F.col("s_nationkey").alias("county_no")).write.csv(f"{path}/environment", header=True)
+    (t.customer.select(F.col("c_name").alias("\u96fb\u5ee0\u540d\u7a31"), F.col("c_nationkey").alias("\u7e23\u5e02"), F.col("c_mktsegment").alias("\u985e\u578b"))
+     .write.option("encoding", "big5").csv(f"{path}/power", header=True))
+    one = tables.read_provider_csv(t.spark, f"{path}/environment", {"sitename": "station", "county_no": "county"}, "environment")
+    two = tables.read_provider_csv(t.spark, f"{path}/power", {"\u96fb\u5ee0\u540d\u7a31": "station", "\u7e23\u5e02": "county", "\u985e\u578b": "site_type"}, "power")
+    return union_tables([one, two]).withColumn("county", F.col("county").cast("int")).select("owner", "station", "county", "site_type")
 
 
 @query("A14_skip_bad_files", ["v_filename"], "select file_id, name from v_filename where not starts_with(name, '._')")
