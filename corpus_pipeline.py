@@ -15,21 +15,29 @@ from skygrid.llm.set_join import similarity_components
 from skygrid.llm.source_mixing import mixed_blocks
 
 
-def _as_given(edited: DataFrame, docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` in their order, the character count made anew where there is one."""
-    if "n_chars" in docs.columns:
-        edited = edited.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return edited.select(docs.columns)
+# What operators read; all other columns pass them under names that no operator adds.
+READ = ("doc_id", "text", "source")
+
+
+def _edited(docs: DataFrame, edit: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``edit`` of ``docs`` with the columns of ``docs`` in their order: a user's column keeps its values whatever its name."""
+    away = {c: f"_given_{k}" for k, c in enumerate(docs.columns) if c not in READ}
+    return edit(docs.withColumnsRenamed(away)).select([F.col(away.get(c, c)).alias(c) for c in docs.columns])
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """The character count made anew where there is one."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain of line labels does not reject. Null and empty texts are rejected."""
-    return score_quality(docs, table(spark, sf_dir, "labels")).where("predicted = 1").select(docs.columns)
+    return _edited(docs, lambda d: score_quality(d, table(spark, sf_dir, "labels")).where("predicted = 1"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the later occurrences of repeated three-line windows (a text may become empty)."""
-    return _as_given(remove_repeated_windows(docs), docs)
+    return _counted(_edited(docs, remove_repeated_windows))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +49,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words inside occurrences of benchmark phrases."""
-    return _as_given(without_spans(find_contamination(docs, table(spark, sf_dir, "benchmark"))), docs)
+    return _counted(_edited(docs, lambda d: without_spans(find_contamination(d, table(spark, sf_dir, "benchmark")))))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
