@@ -25,14 +25,14 @@ SYLLABLES = {"latin": "ba be bo da de do fa fe ka ke ko la le lo ma me mo na ne
 TITLES = {"f": "Mrs Ms Miss Frau Señora Madame Mme".split(), "m": "Mr Herr Señor Monsieur".split()}
 # Kinds in order of precedence where matches overlap.
 PATTERNS = {
-    # With a letter or digit in the local part or the host: nothing else can be replaced.
-    "email": r"(?:(?=[_.+%-]*[^\W_])[\w.+%-]+@|[_.+%-]+@(?=[_.-]*[^\W_][\w-]*\.[\w-]))[\w-]+(?:\.[\w-]+)+",
-    "secret": r"(?<![0-9A-Za-z])(?=[A-Fa-f]*\d)(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
-    "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
-    "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]|\.\d)",
-    "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{4}(?!\w)",
+    # With a letter or digit in the local part or the host: nothing else can be replaced. Only the start of a run is tried.
+    "email": r"(?<![\w.+%-])(?:(?=[_.+%-]*[^\W_])[\w.+%-]+@|[_.+%-]+@(?=[_.-]*[^\W_][\w-]*\.[\w-]))[\w-]+(?:\.[\w-]+)+",
+    "secret": r"(?<![0-9A-Za-z])(?=[A-Fa-f]*[0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])",
+    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
+    "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\d|\.\d)",
+    "card": r"(?<![\d-])[0-9](?:[ -]?[0-9]){12,18}(?![\d-]|\.\d)",
+    "ssn": r"(?<![\d-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\d-])",
+    "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{4}(?!\w)",
     "name": r"(?:(?<!\w)(?P<title>" + "|".join(sum(TITLES.values(), [])) + r")\.? )?(?<!\w)(?P<given>"
             + "|".join(sum(GIVEN.values(), [])) + r") (?P<family>[^\W\d_]+)(?!\w)",
 }
@@ -60,19 +60,26 @@ class Stream:
 
 
 def find_entities(text: str) -> list[tuple[int, int, str]]:
-    """Start, end and kind of entities, apart and in order; where matches overlap the kind listed first wins."""
+    """Start, end and kind of entities, apart and in order; where matches overlap the kind listed first wins.
+
+    The matches of a kind come in order and are walked beside those taken before, so the time grows with the text.
+    """
     taken: list[tuple[int, int, str]] = []
     digits = _DIGIT.search(text) is not None
     for kind, pattern in _FIND.items():
         # What no match can lack is looked for first.
         if not ("@" in text if kind == "email" else any(n in text for n in _GENDER) if kind == "name" else digits):
             continue
+        at, more = 0, []
         for m in pattern.finditer(text):
             if kind == "name" and not m["family"][0].isupper():
                 continue
-            if all(m.end() <= a or m.start() >= b for a, b, _ in taken):
-                taken.append((m.start(), m.end(), kind))
-    return sorted(taken)
+            while at < len(taken) and taken[at][1] <= m.start():
+                at += 1
+            if at == len(taken) or m.end() <= taken[at][0]:
+                more.append((m.start(), m.end(), kind))
+        taken = sorted(taken + more) if more else taken
+    return taken
 
 
 def entity(kind: str, mention: str) -> str:
@@ -82,7 +89,10 @@ def entity(kind: str, mention: str) -> str:
         return f"{m['given']} {m['family']}".lower()
     if kind == "ip":
         return ".".join(str(int(x)) for x in mention.split("."))
-    plain = mention.lower() if kind == "email" else re.sub(r"[^0-9a-z]", "", mention.lower())
+    if kind == "email":
+        # Letter by letter, so that each keeps its place; a letter whose small form is longer stays as it is.
+        return "".join(low if len(low := c.lower()) == 1 else c for c in mention)
+    plain = re.sub(r"[^0-9a-z]", "", mention.lower())
     return plain[1:] if kind == "phone" and len(plain) == 11 and plain[0] == "1" else plain
 
 
