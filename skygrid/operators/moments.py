@@ -41,10 +41,10 @@ def merged(states: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def finished(states: DataFrame) -> DataFrame:
-    """value, count and std of states; cells without any weight have neither value nor std."""
+    """value, count and std of states; cells without any weight have no value, and a std of 0 as the streaming mean gives it."""
     rest = [c for c in states.columns if c not in STATE]
     return states.select(*rest, F.col("mean").alias("value"), F.col("n").alias("count"),
-                         F.sqrt(F.try_divide(F.col("m2"), F.col("weight"))).alias("std"))
+                         F.sqrt(F.coalesce(F.try_divide(F.col("m2"), F.col("weight")), F.lit(0.0))).alias("std"))
 
 
 def rolled_up(days: DataFrame, periods: Sequence[str] = PERIODS, day: str = "obs_date") -> DataFrame:

@@ -85,7 +85,7 @@ def test_topped_up_states_equal_one_run(spark, tmp_path):
 def test_empty_cells_have_no_value(spark):
     df = spark.createDataFrame([(date(2024, 1, 1), 1, 0, 0, None, 2.0), (date(2024, 1, 1), 1, 0, 1, 3.0, 0.0)], SCHEMA)
     got = {(r.i, r.j): (r.value, r["count"], r["std"]) for r in accumulate.accumulate(df).collect()}
-    assert got == {(0, 0): (None, 0, None), (0, 1): (None, 0, None)}
+    assert got == {(0, 0): (None, 0, 0.0), (0, 1): (None, 0, 0.0)}
 
 
 def test_one_exchange_of_states_and_no_sort(spark, tmp_path):
