@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,107 +15,147 @@ from skygrid.llm.common import passing, raw, spot, spot_filter, written
 from skygrid.llm.components import components
 
 U = np.uint64
+_STEP = U(0x9E3779B97F4A7C15)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ODD = np.random.default_rng(20240607).integers(1, 2**63, 64, dtype=np.int64).astype(U) * U(2) + U(1)
 KEYS, ROWS_PER_KEY = 6, 2
 KEY_BITS, FILTER_SHIFT = 32, 5
 MAX_HEAVY = 1_000_000  # bound of the collected list of frequent shingles
 LONGEST_RUN = 64
+LONG_WORD = 64
+_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
 SLICE = 4 << 20
 
 
-class _Words(dict):
-    """64-bit hashes of words, remembered; the memory is emptied when it has grown large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
     return x ^ (x >> U(31))
 
 
-def shingle_set(text: bytes, words: dict, width: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of ``width``-word shingles; of fewer words, the whole sequence is one shingle."""
-    ws = text.translate(_LOWER).split()
-    n = len(ws)
-    if not n:
-        return np.zeros(0, U)
-    h = np.fromiter(map(words.__getitem__, ws), U, n)
-    k = min(n, width)
-    v = np.full(n - k + 1, k, U)
-    for j in range(k):
-        v = v * U(0x9E3779B97F4A7C15) + h[j:n - k + 1 + j]
-    return np.unique(mixed(v))
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts end to end, A-Z lowered, and how many each text has.
 
+    Words are read eight bytes at a time, all words at once; the few beyond ``LONG_WORD`` bytes are hashed one by one.
+    """
+    joined = (b" " + b" ".join(texts)).translate(_LOWER) + b" " * 8
+    data = np.frombuffer(joined, np.uint8)
+    space = (data == 32) | (data - np.uint8(9) < 5)
+    change = np.flatnonzero(space[1:] != space[:-1]) + 1
+    start, size = change[::2], change[1::2] - change[::2]
+    eight = np.ndarray(data.size - 7, "<u8", joined, strides=(1,))
+    h = mixed((eight[start] & _BYTES[np.minimum(size, 8)]) ^ (size.astype(U) * _STEP))
+    for k in range(8, LONG_WORD, 8):
+        more = np.flatnonzero(size > k)
+        if not more.size:
+            break
+        h[more] = mixed(h[more] * _STEP ^ (eight[start[more] + k] & _BYTES[np.minimum(size[more] - k, 8)]))
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(joined[start[i]:start[i] + size[i]])
+    after = np.cumsum([0] + [len(t) + 1 for t in texts])
+    return h, np.diff(np.searchsorted(start, after + 1))
 
-def class_of(s: np.ndarray) -> U:
-    """The class of a set: equal sets share it, others but for an accident of 64 bits do not."""
-    return np.sum(mixed(s + _ODD[60]), dtype=U)
+
+def shingle_sets(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the ``width``-word shingles of all texts end to end, sorted and distinct in each, and the edges between texts.
+
+    Of fewer words than ``width`` the whole sequence is one shingle. Everything but sorting is done for all texts at
+    once: a text has some hundred words, too few for array operations of its own.
+    """
+    h, n = word_hashes(texts)
+    count = np.where(n > 0, np.maximum(n - width, 0) + 1, 0)
+    begin, edge = np.cumsum(n) - n, np.r_[0, np.cumsum(count)]
+    v, padded = np.full(h.size, width, U), np.r_[h, np.zeros(width, U)]
+    for j in range(width):
+        v = v * _STEP + padded[j:j + h.size]
+    flat = v[np.repeat(begin - edge[:-1], count) + np.arange(edge[-1])]
+    for i in np.flatnonzero((n > 0) & (n < width)):
+        whole = n[i:i + 1].astype(U)
+        for x in h[begin[i]:begin[i] + n[i]]:
+            whole = whole * _STEP + x
+        flat[edge[i]] = whole[0]
+    flat = mixed(flat)
+    ends = edge.tolist()
+    for i in np.flatnonzero(count > 1).tolist():
+        flat[ends[i]:ends[i + 1]].sort()
+    new = np.ones(flat.size, bool)
+    new[1:] = flat[1:] != flat[:-1]
+    new[edge[:-1][count > 0]] = True
+    return flat[new], np.r_[0, np.cumsum(new)][edge]
+
+
+def classes_of(flat: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """The class of each (not empty) set: equal sets share it, others but for an accident of 64 bits do not."""
+    return np.add.reduceat(mixed(flat + _ODD[60]), edge[:-1])
 
 
 def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(U).view(np.int64), pa.int64())
 
 
+def _cut(sizes: list[int]) -> Iterator[slice]:
+    """Ranges of texts of about ``SLICE`` bytes; a longer text is one of its own."""
+    start = full = 0
+    for k, size in enumerate(sizes):
+        if full and full + size > SLICE:
+            yield slice(start, k)
+            start, full = k, 0
+        full += size
+    if start < len(sizes):
+        yield slice(start, len(sizes))
+
+
 def _describe(text_col: str, width: int, shared):
     """Class, size, minhash keys, and how many shingles are not frequent: few in the most typical set of a group."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, freq = _Words(), shared.value
+        freq = shared.value
         for batch in batches:
-            rows = []
-            for text in raw(batch, text_col):
-                s = shingle_set(text, words, width)
-                if not s.size:
-                    rows.append((None, 0, None, None))
-                    continue
-                low = np.array([(s * odd).min() for odd in _ODD[:KEYS * ROWS_PER_KEY]], U).reshape(KEYS, ROWS_PER_KEY)
-                keys = mixed(low[:, 0] * _ODD[40] + low[:, 1] + np.arange(KEYS, dtype=U))
-                rows.append((int(class_of(s).view(np.int64)), len(s), keys.view(np.int64).tolist(), int((freq.levels(s) == 0).sum())))
-            cols = list(zip(*rows)) if rows else [()] * 4
-            doc = batch.column(0)
-            yield pa.RecordBatch.from_arrays([doc] + [pa.array(list(c), t) for c, t in zip(
-                cols, (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64()))], ["doc_id", "g", "n", "keys", "own"])
+            texts = raw(batch, text_col)
+            for part in _cut([len(t) for t in texts]):
+                flat, edge = shingle_sets(texts[part], width)
+                n = np.diff(edge)
+                some = n > 0
+                first = edge[:-1][some]
+                g, own, keys = np.zeros(n.size, np.int64), np.zeros(n.size, np.int64), np.zeros((0, KEYS), U)
+                if flat.size:
+                    g[some] = classes_of(flat, np.r_[first, flat.size]).view(np.int64)
+                    own[some] = np.add.reduceat((freq.levels(flat) == 0).astype(np.int64), first)
+                    low = [np.minimum.reduceat(flat * odd, first) for odd in _ODD[:KEYS * ROWS_PER_KEY]]
+                    keys = np.stack([mixed(low[2 * k] * _ODD[40] + low[2 * k + 1] + U(k)) for k in range(KEYS)], 1)
+                offsets = np.r_[0, np.cumsum(some) * KEYS].astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[part], pa.array(g, mask=~some), pa.array(n),
+                     pa.ListArray.from_arrays(pa.array(offsets), _long(keys.ravel()), mask=pa.array(~some)), pa.array(own, mask=~some)],
+                    ["doc_id", "g", "n", "keys", "own"])
 
     return run
 
 
-def _slices(batches: Iterator[pa.RecordBatch], text_col: str, width: int, ids: bool = False):
-    """Shingle sets of some texts at a time; each text of a task only once."""
-    words, seen = _Words(), set()
+def _slices(batches: Iterator[pa.RecordBatch], text_col: str, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Shingle sets of some texts at a time, none of them empty; each text of a task only once."""
+    seen = set()
     for batch in batches:
-        sets, size = [], 0
-        doc = batch.column(0).to_pylist() if ids else [None] * batch.num_rows
-        for i, text in zip(doc, raw(batch, text_col)):
+        texts = []
+        for text in raw(batch, text_col):
             mark = xxhash.xxh3_128_digest(text)
-            if (i, mark) in seen:
-                continue
-            seen.add((i, mark))
-            s = shingle_set(text, words, width)
-            if s.size:
-                sets.append((i, s))
-                size += len(text)
-            if size > SLICE:
-                yield sets
-                sets, size = [], 0
-        if sets:
-            yield sets
+            if mark not in seen:
+                seen.add(mark)
+                texts.append(text)
+        for part in _cut([len(t) for t in texts]):
+            flat, edge = shingle_sets(texts[part], width)
+            if flat.size:
+                yield flat, np.r_[edge[:-1][np.diff(edge) > 0], flat.size]
 
 
 def _shingle_keys(text_col: str, width: int, parts: int):
     """Leading bits of all shingles, sorted and cut by range: one row for each range and slice of texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sets in _slices(batches, text_col, width):
-            keys = np.concatenate([s for _, s in sets]) >> U(64 - KEY_BITS)
+        for flat, _ in _slices(batches, text_col, width):
+            keys = (flat >> U(64 - KEY_BITS)).astype(np.uint32)
             keys.sort()
-            part = (keys * U(parts)) >> U(KEY_BITS)
+            part = (keys.astype(U) * U(parts)) >> U(KEY_BITS)
             edge = np.searchsorted(part, np.arange(parts + 1).astype(U))
-            rows = [(p, keys[edge[p]:edge[p + 1]].astype(np.uint32).tobytes()) for p in range(parts) if edge[p] < edge[p + 1]]
+            rows = [(p, keys[edge[p]:edge[p + 1]].tobytes()) for p in range(parts) if edge[p] < edge[p + 1]]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
                                              ["part", "keys"])
 
@@ -160,14 +201,17 @@ class Frequencies:
         at = np.minimum(np.searchsorted(self.heavy, key), self.heavy.size - 1)
         return np.where(self.heavy[at] == key, self.level[at], U(0))
 
-    def prefix(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Shingles of the probing prefix, rare first, that another set may have; and their places in that order."""
-        key, level, n = s >> U(64 - KEY_BITS), self.levels(s), len(s)
-        chosen = np.lexsort((s, level))[:n - -(-4 * n // 5) + 1] if level.any() else np.arange(n - -(-4 * n // 5) + 1)
-        token, key = s[chosen], key[chosen]
-        spot = key >> U(FILTER_SHIFT)
+    def prefixes(self, flat: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shingles of the probing prefixes, rare first, that another set may have; the sets they are of, and their places in that order."""
+        n, level = np.diff(edge), self.levels(flat)
+        of = np.repeat(np.arange(n.size), n)
+        place = np.arange(flat.size) - edge[of]
+        order = np.argsort(of * 64 + level.astype(np.int64), kind="stable") if level.any() else np.arange(flat.size)
+        inside = place < (n - -(-4 * n // 5) + 1)[of]
+        token, of, place = flat[order[inside]], of[inside], place[inside]
+        spot = token >> U(64 - KEY_BITS + FILTER_SHIFT)
         shared = (self.filter[(spot >> U(3)).astype(np.int64)] >> (spot & U(7)).astype(np.uint8)) & 1 == 1
-        return token[shared], np.flatnonzero(shared)
+        return token[shared], of[shared], place[shared]
 
 
 def _frequencies(docs: DataFrame, text_col: str, width: int, n_shingles: int) -> Frequencies:
@@ -187,14 +231,9 @@ def _frequencies(docs: DataFrame, text_col: str, width: int, n_shingles: int) ->
 def _tokens(text_col: str, width: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         freq = shared.value
-        for sets in _slices(batches, text_col, width):
-            token, g, at = [], [], []
-            for _, s in sets:
-                t, place = freq.prefix(s)
-                token.append(t)
-                g.append(np.full(t.size, class_of(s), U))
-                at.append((np.int64(s.size) << 32) + place)
-            yield pa.RecordBatch.from_arrays([_long(np.concatenate(token)), _long(np.concatenate(g)), pa.array(np.concatenate(at), pa.int64())],
+        for flat, edge in _slices(batches, text_col, width):
+            token, of, place = freq.prefixes(flat, edge)
+            yield pa.RecordBatch.from_arrays([_long(token), _long(classes_of(flat, edge)[of]), pa.array((np.diff(edge)[of] << 32) + place)],
                                              ["token", "g", "at"])
 
     return run
@@ -285,9 +324,9 @@ def _sets(text_col: str, width: int, shared):
     """Sets of the documents whose id may be wanted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = (passing(batch, "spot", shared.value) for batch in batches)
-        for sets in _slices(wanted, text_col, width):
-            g = np.array([class_of(s) for _, s in sets], U)
-            yield pa.RecordBatch.from_arrays([_long(g), pa.array([s.view(np.int64) for _, s in sets], pa.list_(pa.int64()))], ["g", "shingles"])
+        for flat, edge in _slices(wanted, text_col, width):
+            yield pa.RecordBatch.from_arrays([_long(classes_of(flat, edge)), pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), _long(flat))],
+                                             ["g", "shingles"])
 
     return run
 

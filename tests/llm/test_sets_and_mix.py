@@ -61,6 +61,23 @@ def test_join_against_all_pairs(docs_of, monkeypatch, short_runs):
     assert got == _plain_components(rows)
 
 
+def test_sets_of_many_texts_at_once():
+    """Words of every length and byte, cut as one text at a time would be."""
+    texts = [b"", b" ", b"a", b"A b\x0bc d", b"a b c d e", b"x y z " * 9, b"\n\ta  b ", b"a\x00", b"\x00", "é \x1c \x85 x".encode(), b""]
+    texts += [b" ".join(b"w" * n for n in range(k, k + 7)) for k in range(1, 80)] + [b"q" * 5000 + b" " + b"q" * 5001]
+    h, n = set_join.word_hashes(texts)
+    words = [w for t in texts for w in t.lower().split()]
+    assert n.tolist() == [len(t.split()) for t in texts]
+    assert len(set(zip(words, h.tolist()))) == len(set(words)) == len(set(h.tolist()))
+    flat, edge = set_join.shingle_sets(texts)
+    for k, text in enumerate(texts):
+        alone = set_join.shingle_sets([text])[0]
+        w = text.lower().split()
+        assert flat[edge[k]:edge[k + 1]].tolist() == alone.tolist() == sorted(set(alone.tolist()))
+        assert len(alone) == len({tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))} if w else ())
+    assert [x.tolist() for x in set_join.shingle_sets([])] == [[], [0]]
+
+
 def test_join_of_nothing(docs_of):
     assert similarity_components(docs_of([])).count() == 0
     assert [tuple(r) for r in similarity_components(docs_of([(4, None)])).collect()] == [(4, 0, 4)]
