@@ -58,11 +58,13 @@ _LETTERS = " || ".join(
     for run in range(4) for k in range(8))
 
 OP3 = f"""
-with p as (select page_id, coalesce(html, '') as body from pages),
-h as (select page_id, cast(strlen(body) as bigint) as payload_bytes, sha1(body) as h from p),
-d as (select page_id, payload_bytes, {_LETTERS} as payload_digest, min(page_id) over (partition by h) as first from h)
+with p as (select page_id, url, coalesce(html, '') as body from pages),
+h as (select page_id, url, cast(strlen(body) as bigint) as payload_bytes, sha1(body) as h from p),
+d as (select page_id, url, payload_bytes, {_LETTERS} as payload_digest, min(page_id) over (partition by h) as first from h)
 select page_id, payload_bytes, payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type,
-  case when page_id = first then null else first end as refers_to
+  case when page_id = first then null else first end as refers_to,
+  'GET ' || coalesce(nullif(regexp_extract(replace(replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A'), 'WARC/1', 'WARC%2F1'), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1), ''), '/') || ' HTTP/1.1' as request_line,
+  cast(1 as bigint) as n_requests, cast(1 as bigint) as n_metadata
 from d
 """
 

@@ -19,7 +19,7 @@ from skygrid.llm.registry import query
 from skygrid.llm.set_join import similarity_components
 from skygrid.llm.simhash_ball import simhash_components
 from skygrid.llm.source_mixing import mix_sources
-from skygrid.llm.warc import assemble_captures, read_archives, write_archives
+from skygrid.llm.warc import CRLF, assemble_captures, read_archives, write_archives
 from skygrid.session import shared_dir
 
 
@@ -69,18 +69,20 @@ def op3(spark, sf_dir):
     path = shared_dir(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
     captures = assemble_captures(read_archives(spark, path))
-    # Only these parts of a capture are wanted, so payloads stay behind where they are read.
+    # All three records of a capture feed the row; its payload is digested where it is read and does not travel.
     parts = captures.select("record_id", "response.record_type", "response.refers_to", "response.sent_bytes", "response.sent_digest",
-                            "response.payload_digest", "metadata.fields")
+                            "response.payload_digest", "metadata.fields", "n_requests", "n_metadata",
+                            F.substring_index("request.block", CRLF, 1).alias("request_line"))
     first = F.col("record_type") == "response"
     rows = written(parts.select(
         "record_id", F.col("fields")["pageId"].cast("long").alias("page_id"),
         F.when(first, F.col("sent_bytes")).otherwise(F.col("fields")["payloadBytes"].cast("long")).alias("payload_bytes"),
         F.when(first, F.col("sent_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
-        "record_type", F.col("refers_to").alias("_to")), "captures")
+        "record_type", F.col("refers_to").alias("_to"), "request_line", "n_requests", "n_metadata"), "captures")
     # A revisit names the response's record; that record's page is looked up.
     named = rows.where("record_type = 'response'").groupBy(F.col("record_id").alias("_to")).agg(F.min("page_id").alias("refers_to"))
-    return rows.join(named, "_to", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return rows.join(named, "_to", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+                                                  "request_line", "n_requests", "n_metadata")
 
 
 @query("op8_chat_events", check_sql.OP8)

@@ -150,17 +150,20 @@ def assemble_captures(records: DataFrame) -> DataFrame:
     response in ``records`` has no capture. A response without partners has null in their place. Equal record ids make
     one row each. The payload stays a column of the row and is not read unless it is used.
     """
-    def partner(kind: str) -> DataFrame:
-        return (records.where(F.col("record_type") == kind).groupBy(F.col("concurrent_to").alias("record_id"))
-                .agg(F.min_by(F.struct(F.col("record_id").alias("id"), F.col("block").cast("string").alias("block")), "record_id").alias(kind),
-                     F.count_distinct("record_id").alias(f"n_{kind}")))
+    # Both kinds of partners in one reading: each record id once, then one row a capture.
+    kinds = ("request", "metadata")
+    once = (records.where(F.col("record_type").isin(*kinds)).groupBy("concurrent_to", F.col("record_type").alias("kind"), F.col("record_id").alias("id"))
+            .agg(F.min("block").alias("block")))
+    of = lambda kind: F.when(F.col("kind") == kind, F.struct("id", F.col("block").cast("string").alias("block")))
+    partners = once.groupBy(F.col("concurrent_to").alias("record_id")).agg(
+        *[F.min(of(k)).alias(k) for k in kinds], *[F.count(of(k)).alias(f"n_{k}") for k in kinds])
 
     fields = F.expr("map_from_entries(transform(filter(split(metadata.block, '\\r\\n'), x -> instr(x, ': ') > 0), "
                     "x -> struct(substring_index(x, ': ', 1), substring(x, instr(x, ': ') + 2))))")
     main = records.where(F.col("record_type").isin("response", "revisit"))
     return (main.select("record_id", "record_type", "refers_to", "target_uri", "date", "http_head", "payload", "payload_digest",
                         F.octet_length("payload").cast("long").alias("sent_bytes"), base32_sha1(F.col("payload")).alias("sent_digest"))
-            .join(partner("request"), "record_id", "left").join(partner("metadata"), "record_id", "left")
+            .join(partners, "record_id", "left")
             .withColumn("metadata", F.when(F.col("metadata").isNotNull(), F.struct(F.col("metadata.id").alias("id"), fields.alias("fields"))))
             .select("record_id", "target_uri", "date",
                     F.struct("record_type", "refers_to", "http_head", "payload", "payload_digest", "sent_bytes", "sent_digest").alias("response"),

@@ -48,6 +48,21 @@ def test_archive_round_trip(spark, tmp_path):
     assert all(r.response.refers_to in ids for r in got if r.response.record_type == "revisit")
 
 
+def test_partners_of_a_capture(spark):
+    """Several, repeated and missing partners, and partners of no capture."""
+    rows = [("r1", "response", None), ("r2", "revisit", None), ("q2", "request", "r1"), ("q1", "request", "r1"), ("q1", "request", "r1"),
+            ("m1", "metadata", "r1"), ("m9", "metadata", "gone"), ("q9", "request", None)]
+    records = spark.createDataFrame(rows, "record_id string, record_type string, concurrent_to string").selectExpr(
+        "*", "cast(null as string) refers_to", "'u' target_uri", "'d' date", "'x' payload_digest", "cast(concat('k: ', record_id) as binary) block",
+        "'h' http_head", "cast('p' as binary) payload")
+    got = {r.record_id: r for r in assemble_captures(records).collect()}
+    assert set(got) == {"r1", "r2"}
+    one, two = got["r1"], got["r2"]
+    assert (one.n_requests, one.n_metadata, one.request.id, one.request.block) == (2, 1, "q1", "k: q1")
+    assert (one.metadata.id, one.metadata.fields) == ("m1", {"k": "m1"})
+    assert (two.n_requests, two.n_metadata, two.request, two.metadata) == (0, 0, None, None)
+
+
 def test_short_record_is_refused(spark, tmp_path):
     (tmp_path / "w").mkdir()
     (tmp_path / "w/a.warc").write_bytes(f"{VERSION}\r\nWARC-Type: resource\r\nContent-Length: 50\r\n\r\nshort\r\n\r\n".encode())
