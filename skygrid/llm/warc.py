@@ -12,15 +12,10 @@ IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def base32_sha1(payload: Column) -> Column:
-    """SHA-1 in upper-case base32: four runs of 40 bits, eight letters each."""
+    """SHA-1 in upper-case base32: four runs of 40 bits as eight digits to the base 32 each, then other letters for the digits."""
     hexed = F.sha1(payload)
-    letters = []
-    for run in range(4):
-        bits = F.conv(F.substring(hexed, 1 + 10 * run, 10), 16, 10).cast("long")
-        for k in range(8):
-            five = F.shiftright(bits, 35 - 5 * k).bitwiseAND(F.lit(31)).cast("int")
-            letters.append(F.substring(F.lit(BASE32), five + 1, F.lit(1)))
-    return F.concat(*letters)
+    runs = [F.lpad(F.conv(F.substring(hexed, 1 + 10 * run, 10), 16, 32), 8, "0") for run in range(4)]
+    return F.translate(F.concat(*runs), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32)
 
 
 def _uuid(*parts: Column) -> Column:
