@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from skygrid.llm.common import SPACE_RUN, n_words, written
 
-GOLDEN = 0.6180339887498949
 BUCKET_ROWS = 2048
 SLOTS_PER_TASK = 500_000
+URN_CHUNK = 4096
 
 
 def _same_source(a: DataFrame, b: DataFrame) -> Column:
@@ -101,23 +101,26 @@ class Mix:
                 .withColumn("block", F.col("first_block") + F.col("piece.k")))
 
     def draws(self) -> DataFrame:
-        """How many slots each shard gives each source.
+        """How many slots each shard gives each source: a multinomial draw from what the shards before it have left.
 
-        A shard's slots are one multinomial draw by equally spaced points with one random offset, so a count is within one of its
-        expectation; the offsets of the shards follow a golden-ratio sequence, so sums over shards stay close too.
+        Every source owns as many places of one urn as the whole mixture expects of it. A keyed permutation deals the places to
+        the slots of all shards, so a shard's counts have the spread of a draw and their sums over all shards are the expected ones.
+        A source's places are made in chunks, so that none is one task.
         """
-        every = Window.partitionBy()
+        total, every = max(self.n_shards * self.slots_per_shard, 1), Window.partitionBy()
         upto = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        start = F.pmod(F.xxhash64(F.lit(self.seed), F.lit("offset")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        offset = (start + F.col("shard") * F.lit(GOLDEN)) % F.lit(1.0)
-        edge = lambda c: F.ceil(F.col(c) * F.lit(float(self.slots_per_shard)) - offset)
-        return (self.sources.where("source_size > 0").withColumn("_share", self.expected / F.sum(self.expected).over(every))
-                .withColumn("_to", F.sum("_share").over(upto))
-                .withColumn("_from", F.coalesce(F.lag("_to").over(Window.orderBy("source_no")), F.lit(0.0)))
-                .withColumn("_to", F.when(F.lead("_to").over(Window.orderBy("source_no")).isNull(), F.lit(1.0)).otherwise(F.col("_to")))
-                .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(self.n_shards - 1))))
-                .withColumn("n_slots", edge("_to") - edge("_from")).where("n_slots > 0")
-                .select("source", "source_no", "source_blocks", "shard", "n_slots"))
+        owned = (self.sources.where("source_size > 0").withColumn("_share", self.expected / F.sum(self.expected).over(every))
+                 .withColumn("_to", F.round(F.sum("_share").over(upto) * total).cast("long"))
+                 .withColumn("_from", F.coalesce(F.lag("_to").over(Window.orderBy("source_no")), F.lit(0).cast("long")))
+                 .where("_to > _from"))
+        first = F.explode(F.sequence(F.col("_from"), F.col("_to") - 1, F.lit(URN_CHUNK).cast("long")))
+        chunks = (owned.select("source_no", "source_blocks", "_to", first.alias("_first"))
+                  .repartition(-(-total // SLOTS_PER_TASK) or 1, "_first"))
+        places = chunks.select("source_no", "source_blocks", F.explode(F.sequence("_first", F.least(F.col("_first") + URN_CHUNK, "_to") - 1)).alias("_at"),
+                               F.lit(total).cast("long").alias("_total"), F.xxhash64(F.lit(self.seed), F.lit("urn")).alias("_key"))
+        return (permuted(places, "_at", "_total", "_key")
+                .groupBy("source_no", "source_blocks", F.floor(F.col("_at") / F.lit(max(self.slots_per_shard, 1))).alias("shard"))
+                .agg(F.count(F.lit(1)).alias("n_slots")))
 
     def slots(self) -> DataFrame:
         """source_no, shard, slot (a number in its source and shard), epoch, block."""

@@ -172,3 +172,21 @@ def test_mixture_is_native_and_takes_empty_tables(spark):
     plan = mixed_blocks(some)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InArrow" not in plan
     assert Mix(some).n_shards == 1
+
+
+def test_counts_of_shards_are_drawn(spark):
+    """Counts of a source over the shards spread as draws without replacement do, and add up to what the mixture expects."""
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), 64).alias("text"),
+                                    F.element_at(F.array(*map(F.lit, "abc")), F.pmod("id", F.lit(3)).cast("int") + 1).alias("source"))
+    mix = Mix(docs, shard_blocks=60)
+    got = {}
+    for r in mix.draws().collect():
+        got.setdefault(r.source_no, {})[r.shard] = r.n_slots
+    n, shards = mix.slots_per_shard, mix.n_shards
+    assert shards == 100 and n == 60
+    per_shard = [sum(of.get(k, 0) for of in got.values()) for k in range(shards)]
+    assert per_shard == [n] * shards
+    for source, p in enumerate((5 / 8, 2 / 8, 1 / 8)):
+        counts = np.array([got[source].get(k, 0) for k in range(shards)])
+        assert abs(counts.sum() - p * n * shards) <= 1
+        assert 0.6 < counts.var() / (n * p * (1 - p)) < 1.6
