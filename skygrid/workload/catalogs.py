@@ -30,6 +30,34 @@ def c2(t):
     return catalog.footprint_intersects(t.catalog, (120, 122, 22, 25)).select("granule_id")
 
 
+def _apart(a: str, b: str, c: str, d: str) -> str:
+    """Parallelogram against box by separating axes, on three turns of the globe."""
+    def on_turn(s: int) -> str:
+        corners = [f"({x} + {s}, {y})" for x in (a, b) for y in (c, d)]
+        tests = [f"greatest(u1, u2, u3, u4) >= {a} + {s} and least(u1, u2, u3, u4) <= {b} + {s}",
+                 f"greatest(lat1, lat2, lat3, lat4) >= {c} and least(lat1, lat2, lat3, lat4) <= {d}"]
+        for k in (2, 4):
+            along = lambda x, y: f"((lat1 - lat{k}) * ({x}) + (u{k} - u1) * ({y}))"
+            ring = ", ".join(along(f"u{n}", f"lat{n}") for n in (1, 2, 3, 4))
+            box = ", ".join(along(*corner[1:-1].split(", ")) for corner in corners)
+            tests.append(f"greatest({ring}) >= least({box}) and least({ring}) <= greatest({box})")
+        return "(" + " and ".join(tests) + ")"
+    return " or ".join(on_turn(s) for s in (-360, 0, 360))
+
+
+@query("C2_footprint_outlines", ["v_footprint"], f"""
+with placed as (
+  select granule_id, lat1, lat2, lat3, lat4, lon1 as u1,
+         {", ".join(f"lon{k} - 360 * round((lon{k} - lon1) / 360) as u{k}" for k in (2, 3, 4))}
+  from v_footprint)
+select granule_id, ({_apart("120", "122", "22", "25")}) as at_strait, ({_apart("178", "183", "10", "30")}) as at_dateline from placed""")
+def c2_outlines(t):
+    corner = lambda k: F.struct(F.col(f"lon{k}").alias("lon"), F.col(f"lat{k}").alias("lat"))
+    ring = F.array(*[corner(k) for k in (1, 2, 3, 4)])
+    return t.footprint.select("granule_id", catalog.ring_intersects(ring, (120, 122, 22, 25)).alias("at_strait"),
+                              catalog.ring_intersects(ring, [(178, 10), (-177, 10), (-177, 30), (178, 30)]).alias("at_dateline"))
+
+
 @query("C3_overlaps_period", ["v_catalog"], f"""
 select granule_id, {TS('start_time')} as start_time from v_catalog where not (end_time < timestamp '1997-03-01' or start_time > timestamp '1997-06-30')""")
 def c3(t):

@@ -77,6 +77,16 @@ select o_orderkey as granule_id,
        cast(o_orderkey % 45 as double) as lat_min,
        cast(o_orderkey % 45 + 5 as double) as lat_max
 from {orders}"""),
+    "v_footprint": ("orders", """
+select granule_id,
+       case when x > 180 then x - 360 else x end as lon1, y as lat1,
+       case when x + 2 > 180 then x + 2 - 360 else x + 2 end as lon2, y + cast(0.5 as double) as lat2,
+       case when x + 5 > 180 then x + 5 - 360 else x + 5 end as lon3, y + cast(5.5 as double) as lat3,
+       case when x + 3 > 180 then x + 3 - 360 else x + 3 end as lon4, y + cast(5 as double) as lat4
+from (select o_orderkey as granule_id,
+             cast(100 + o_custkey % 40 + case when o_orderkey % 3 = 0 then 55 else 0 end as double) as x,
+             cast(o_orderkey % 45 as double) as y
+      from {orders}) as placed"""),
     "v_filename": ("orders", """
 select o_orderkey as file_id,
        case o_orderkey % 7
