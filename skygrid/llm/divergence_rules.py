@@ -41,6 +41,8 @@ class Rules:
     min_folded_words: int = 100  # likewise for words
     max_char_distance: float = 0.2
     max_word_distance: float = 0.36
+    min_reference_chars: int = 2_000  # a reference of less, without the judged text, is none
+    min_reference_words: int = 1_000
     common_share: float = 0.002  # a word is common from this share of its language's words: at most 500 a language
 
 
@@ -141,19 +143,24 @@ class References:
             counts = [n for _, n in ws]
             self.words[lang] = np.array([*counts, total[lang] - sum(counts)], float)
 
-    def distances(self, lang: str | None, hist: np.ndarray, text: bytes, rules: Rules) -> tuple[float | None, float | None]:
-        """Distances from the language's own references; None where it has none or the text is too short."""
+    def distances(self, lang: str | None, hist: np.ndarray, text: bytes, rules: Rules, counted: bool) -> tuple[float | None, float | None]:
+        """Distances from the language's own references without this text, which is in them if ``counted``; None where what is
+        left of them is too small or the text too short."""
         chars = char_histogram(hist)
         by_char = by_word = None
         if lang in self.chars and chars.sum() >= rules.min_chars:
-            by_char = distance(chars, self.chars[lang])
+            others = self.chars[lang] - counted * chars
+            if others.sum() >= rules.min_reference_chars:
+                by_char = distance(chars, others)
         bag = Counter(folded_words(text))
         if lang in self.words and (n := sum(bag.values())) >= rules.min_folded_words:
             h = np.zeros(len(self.words[lang]))
             for w, k in self.place[lang].items():
                 h[k] = bag[w]
             h[-1] = n - h.sum()
-            by_word = distance(h, self.words[lang])
+            others = self.words[lang] - counted * h
+            if others.sum() >= rules.min_reference_words:
+                by_word = distance(h, others)
         return by_char, by_word
 
 
@@ -178,7 +185,8 @@ def judge_by_distribution(docs: DataFrame, *, text_col: str = "text", lang_col:
     too short for one of the comparisons (null distance) is not judged by it.
 
     Null and empty texts have no words and fail. Every language, however rare, is compared
-    with its own references, and texts of null language with those of all such texts; where no word is common there is no word distance. Repeated rows each get the same result. Input columns
+    with its own references, and texts of null language with those of all such texts. The judged text is left out of them, and where
+    less than the smallest reference is left, or no word is common, there is no distance (null). Repeated rows each get the same result. Input columns
     that carry an added name are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(language_references(docs, text_col=text_col, lang_col=lang_col, rules=rules))
@@ -190,7 +198,7 @@ def judge_by_distribution(docs: DataFrame, *, text_col: str = "text", lang_col:
             for lang, text in zip(batch.column(batch.schema.get_field_index(lang_col)).to_pylist(), raw(batch, text_col)):
                 hist, n, chars, symbols, dup, repeated = base_counts(text)
                 bad = failed(n, repeated, rules)
-                dc, dw = refs.distances(lang, hist, text, rules)
+                dc, dw = refs.distances(lang, hist, text, rules, not bad)
                 ok = not bad and (dc is None or dc <= rules.max_char_distance) and (dw is None or dw <= rules.max_word_distance)
                 out.append((n, chars, symbols, dup, repeated, bad, dc, dw, ok))
             kinds = [pa.int64()] * 5 + [pa.bool_()] + [pa.float64()] * 2 + [pa.bool_()]

@@ -208,8 +208,44 @@ def test_rare_languages_have_their_own_references(spark):
     rare = [(1000, " ".join(random.choices([f"zz{j}" for j in range(60)], k=120)), "xx"), (1001, " ".join(f"字{j}" for j in range(600)), "yy")]
     docs = spark.createDataFrame(big + rare, "doc_id long, text string, lang string")
     got = {r.doc_id: r for r in divergence_rules.judge_by_distribution(docs).where("doc_id >= 1000").collect()}
-    assert got[1000].kept and got[1000].word_distance == 0 and got[1000].char_distance == 0
-    assert got[1001].kept and got[1001].word_distance is None and got[1001].char_distance == 0
+    # Without the judged text nothing is left of their references: a text is never compared with itself.
+    assert got[1000].kept and got[1000].word_distance is None and got[1000].char_distance is None
+    assert got[1001].kept and got[1001].word_distance is None and got[1001].char_distance is None
+
+
+def test_distances_against_a_plain_version(spark):
+    """References of each language without the judged text, common words by their share of all, small references none."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(120):
+        lang = rng.choice(["aa", "bb", "bb", None])
+        vocabulary = [f"{lang}{'x' * (j % 5)}{j}" for j in range(400)]
+        rows.append((k, " ".join(rng.choices(vocabulary, [1 / (j + 1) for j in range(400)], k=rng.randint(40, 300))), lang))
+    rows += [(500, " ".join(f"{chr(97 + j % 26)}{j}" for j in range(150)), "cc"), (501, "# $ " * 300, "cc"), (502, "# 1 " * 300, "aa")]
+    rules = divergence_rules.Rules(min_reference_chars=1500, min_reference_words=500)
+    got = {r.doc_id: r for r in divergence_rules.judge_by_distribution(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rules=rules).collect()}
+
+    kinds = lambda t: Counter("lower" if c.islower() else "upper" if c.isupper() else "digit" if c.isdigit() else "blank" if c == " " else "other" for c in t)
+    bag = lambda t: Counter(w for w in t.split() if w[0].isalnum())
+    used = [r for r in rows if not got[r[0]].base_failed]
+    assert 0 < len(used) < len(rows)
+
+    def js(p, q):
+        keys, a, b = set(p) | set(q), sum(p.values()), sum(q.values())
+        part = lambda x, m: x * math.log2(x / m) if x else 0.0
+        return math.sqrt(max(0.0, sum(part(p[c] / a, (p[c] / a + q[c] / b) / 2) + part(q[c] / b, (p[c] / a + q[c] / b) / 2) for c in keys) / 2))
+
+    for i, text, lang in rows:
+        every = sum((bag(t) for _, t, x in used if x == lang), Counter())
+        common = {w for w, n in every.items() if n >= 0.002 * sum(every.values())}
+        folded = lambda b: Counter({**{w: n for w, n in b.items() if w in common}, None: sum(n for w, n in b.items() if w not in common)})
+        others = [t for j, t, x in used if x == lang and j != i]
+        chars, words = sum(map(kinds, others), Counter()), folded(sum(map(bag, others), Counter()))
+        want_char = js(kinds(text), chars) if sum(kinds(text).values()) >= 200 and sum(chars.values()) >= 1500 else None
+        want_word = js(folded(bag(text)), words) if sum(bag(text).values()) >= 100 and common and sum(words.values()) >= 500 else None
+        r = got[i]
+        assert (r.char_distance, r.word_distance) == (pytest.approx(want_char), pytest.approx(want_word)), i
+        assert r.kept == (not r.base_failed and (want_char or 0) <= rules.max_char_distance and (want_word or 0) <= rules.max_word_distance)
 
 
 # -- chain classifier
