@@ -1,5 +1,7 @@
 """Outward search against all pairs, and how few pairs it makes."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -83,3 +85,21 @@ def test_no_sort_for_the_closest_pixel(spark):
     px = spark.createDataFrame([(1, 1, 20.1, 118.1, 1.0, 0.1)], SCHEMA)
     for df in (regrid.nearest_regrid(px, GRID, 0.1), regrid.nearest_regrid(px, GRID, 0.9)):
         assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_some_blocks_finish_and_others_go_on(spark):
+    """A dense half swath: its blocks close, those on its rim are searched again; radii differ, one pixel has none and some have no granule."""
+    rng = np.random.default_rng(5)
+    at = [(19.85 + 0.1 * a, 117.95 + 0.1 * b) for a in range(24) for b in range(31)]
+    rows = [(1, k, y + float(rng.normal(0, 0.01)), x, float(k), 0.12 if k % 7 == 0 else 0.6) for k, (y, x) in enumerate(at)]
+    df = spark.createDataFrame([*rows, (1, 9999, 23.9, 118.3, 7.0, None), (None, 1, 22.0, 119.0, 5.0, 0.3)], SCHEMA)
+    got = _found(neighbours.outward_nearest(df, GRID, ["granule_id"], "pixel_id", ["value"], F.col("radius"), 0.6))
+    assert got == _brute([*rows, (1, 9999, 23.9, 118.3, 7.0, 0.15000000000000002), (None, 1, 22.0, 119.0, 5.0, 0.3)], GRID)
+
+
+def test_later_rounds_shuffle_pixels_and_no_pairs(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "TASK_CELLS", 100, raising=False)
+    px = spark.createDataFrame(_swath(np.random.default_rng(3), 12, (19.0, 25.0, 117.0, 122.0)), SCHEMA)
+    plan = regrid.nearest_regrid(px, GRID, 0.9)._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"Exchange hashpartitioning\((.*?)\)", plan)
+    assert exchanges and all("_bi" in x and "_bj" in x for x in exchanges)
