@@ -83,10 +83,12 @@ class Block:
     """The words of some texts in order of first sight, and their pairs of neighbours by place in that list (0 start, 1 end)."""
 
     def __init__(self, texts: list[bytes]):
-        lists = [tokens(t) for t in texts]
-        self.length = np.array([len(x) for x in lists], np.int64)
+        # Text by text, so that a block's words are held once each and not once for every time they occur.
         seen: dict[bytes, int] = {}
-        word = np.fromiter((seen.setdefault(w, len(seen)) for w in chain.from_iterable(lists)), np.int64, int(self.length.sum()))
+        lists = [np.fromiter((seen.setdefault(w, len(seen)) for w in tokens(t)), np.int32) for t in texts]
+        self.length = np.array([x.size for x in lists], np.int64)
+        word = np.concatenate(lists) if lists else np.zeros(0, np.int32)
+        del lists
         self.words = list(seen)
         self.word_counts = np.bincount(word, minlength=len(seen))
         self.doc = np.flatnonzero(self.length)
@@ -214,7 +216,7 @@ def _sum_pairs(messages: pa.Table) -> pa.Table:
     rows = messages.to_pylist()
     sent = [_unpack_keys(r["keys"]) for r in rows]
     keys, at = np.unique(np.concatenate(sent), return_inverse=True)
-    n, model = np.concatenate([_unpack(r["n"]) for r in rows]), np.repeat([r["block"] & 1 for r in rows], [x.size for x in sent])
+    n, model = np.concatenate([_unpack(r["n"]) for r in rows]), np.repeat(np.array([r["block"] & 1 for r in rows], np.int8), [x.size for x in sent])
     counts = [np.bincount(at, np.where(model == m, n, 0), keys.size).astype(np.int64) for m in (BACKGROUND, TARGET)]
     places = np.split(at, np.cumsum([x.size for x in sent])[:-1])
     return _table([(r["block"], rows[0]["bucket"], None, _pack(counts[0][x]), _pack(counts[1][x]))
@@ -266,6 +268,7 @@ def _score(text_col: str, totals: Totals, buckets: int, size: ModelSize, schema:
                             ("loss_difference", pa.array(losses[TARGET] - losses[BACKGROUND], mask=none))):
                 rows = rows.append_column(name, v)
             done.append(rows.cast(schema))
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(done)
 
     return run

@@ -284,3 +284,18 @@ def test_held_out_accuracy_and_edges(spark, docs_of):
     assert empty.score.nunique() == 1
     none = quality_crf.score_quality(odd, labels.where("false")).toPandas()
     assert (none.score == 0.5).all() and quality_crf.score_quality(docs_of([]), labels).count() == 0
+
+
+def test_a_block_holds_a_word_once():
+    """A word that comes a million times in a block takes a number each time, not an object."""
+    import tracemalloc
+
+    from skygrid.llm.lm_difference import Block
+
+    texts = [b" ".join(b"word%d" % (k * 7 % 50) for k in range(2000))] * 150
+    tracemalloc.start()
+    b = Block(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(b.words) == 50 and b.word_counts.sum() == 300_000 and int(b.pair_counts.sum()) == 150 * 2001
+    assert peak < 80 * 300_000
