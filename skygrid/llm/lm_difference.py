@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from skygrid.llm.common import passing, raw, spot, spot_filter, without, written
+from skygrid.llm.common import raw, without, written
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 UNKNOWN, START, END = 0, 1, 2
@@ -43,28 +43,27 @@ def tokens(text: bytes) -> list[bytes]:
     return text.translate(_LOWER).split()
 
 
-def _pack(a: np.ndarray, kind: str = "<i8") -> bytes:
-    """Numbers by byte, all lowest bytes first: the high ones are mostly zero."""
-    return zlib.compress(np.ascontiguousarray(a, kind).view(np.uint8).reshape(-1, int(kind[-1])).T.tobytes(), 1)
+_CODEC = pa.Codec("zstd", compression_level=1)
 
 
-def _unpack(data: bytes, kind: str = "<i8") -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(int(kind[-1]), -1).T).view(kind).ravel()
+def _pack(*columns: np.ndarray, plain: int = 0) -> bytes:
+    """Columns of numbers by byte, all lowest bytes first: the high ones are mostly zero. The lowest ``plain`` bytes of the first
+    column look random and are left as they are."""
+    width = [(int(c.max(initial=0)).bit_length() + 7) // 8 for c in columns]
+    by_byte = [np.ascontiguousarray(c, "<u8").view(np.uint8).reshape(-1, 8)[:, :w].T.tobytes() for c, w in zip(columns, width)]
+    data, low = b"".join(by_byte), min(plain, width[0]) * len(columns[0])
+    return len(columns[0]).to_bytes(4, "little") + bytes(width) + data[:low] + (_CODEC.compress(data[low:], asbytes=True) if len(data) > low else b"")
 
 
-def _pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted pair numbers: first words as differences, then second words."""
-    return _pack(np.r_[np.diff(keys >> np.uint64(32), prepend=np.uint64(0)), keys & np.uint64(0xFFFFFFFF)], "<u4")
-
-
-def _unpack_keys(data: bytes) -> np.ndarray:
-    first, second = _unpack(data, "<u4").astype(np.uint64).reshape(2, -1)
-    return (np.cumsum(first, dtype=np.uint64) << np.uint64(32)) | second
-
-
-def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    x = (keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((x ^ (x >> np.uint64(32))) % np.uint64(buckets)).astype(np.int64)
+def _unpack(packed: bytes, columns: int = 1, plain: int = 0) -> list[np.ndarray]:
+    n, width = int.from_bytes(packed[:4], "little"), packed[4:4 + columns]
+    low, size, start = min(plain, width[0]) * n, sum(width) * n, 4 + columns
+    data = packed[start:start + low] + (_CODEC.decompress(packed[start + low:], size - low, asbytes=True) if size > low else b"")
+    out, at = np.zeros((columns, n, 8), np.uint8), 0
+    for k, w in enumerate(width):
+        out[k, :, :w] = np.frombuffer(data, np.uint8, w * n, at).reshape(w, n).T
+        at += w * n
+    return list(out.view("<i8")[:, :, 0])
 
 
 def _split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -79,6 +78,38 @@ def _word_bucket(words: list[bytes], buckets: int) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
 
 
+@dataclass(frozen=True)
+class PairKeys:
+    """Pairs of vocabulary numbers as scattered numbers of 2 * ``bits`` bits, no two alike, dealt to ``buckets`` in their order.
+
+    A block's keys in a bucket lie as close as all its keys do, however many buckets there are: so their differences take no more room
+    when a larger corpus needs more buckets."""
+
+    bits: int
+    buckets: int
+
+    @classmethod
+    def of(cls, largest: int, buckets: int) -> PairKeys:
+        return cls(max(16, largest.bit_length()), buckets)
+
+    def keys(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        bits, all_bits = np.uint64(self.bits), np.uint64((1 << 2 * self.bits) - 1)
+        # Multiplied by odd numbers and folded: each step can be undone, so different pairs stay different.
+        x = (((first.astype(np.uint64) << bits) | second.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)) & all_bits
+        return ((x ^ (x >> bits)) * np.uint64(0x94D049BB133111EB)) & all_bits
+
+    def spans(self, keys: np.ndarray) -> Iterator[tuple[int, slice]]:
+        """Each bucket that occurs with the place of its keys, of all sorted ones."""
+        bucket = ((keys >> np.uint64(2 * self.bits - 32)) * np.uint64(self.buckets)) >> np.uint64(32)
+        starts = np.flatnonzero(np.diff(bucket, prepend=np.uint64(self.buckets)))
+        for k, start, end in zip(bucket[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), keys.size]):
+            yield k, slice(start, end)
+
+    def base(self, bucket: int) -> np.uint64:
+        """A number no larger than any key of a bucket."""
+        return np.uint64(((bucket << 32) // self.buckets) << (2 * self.bits - 32))
+
+
 class Block:
     """The words of some texts in order of first sight, and their pairs of neighbours by place in that list (0 start, 1 end)."""
 
@@ -105,27 +136,36 @@ def _texts(packed: bytes, text_col: str) -> list[bytes]:
     return [t for x in pa.ipc.open_stream(packed) for t in raw(x, text_col)]
 
 
-def _global_keys(pairs: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Pairs of a block's places as pairs of vocabulary numbers, 32 bits each."""
-    ids = np.r_[START, END, ids].astype(np.uint64)
-    return (ids[pairs // len(ids)] << np.uint64(32)) | ids[pairs % len(ids)]
+def _block_sums(b: Block, ids: np.ndarray, marked: np.ndarray, deal: PairKeys) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's keys with their places for each of its pairs, then words, and what it counts of each in all and in the marked texts.
+
+    A word alone is the pair of it and the start, which no text has: counts of words are summed and told like those of pairs."""
+    v, ids = len(b.words) + 2, np.r_[START, END, ids]
+    first, second = np.divmod(b.pairs, v)
+    keys, at = np.unique(deal.keys(np.r_[ids[first], ids[2:]], np.r_[ids[second], np.full(v - 2, START)]), return_inverse=True)
+    mine = np.bincount(b.at[np.repeat(marked[b.doc], b.length[b.doc] + 1)], minlength=b.pairs.size)
+    counts = [(b.pair_counts, b.word_counts), (mine, np.bincount(second, mine, v)[2:])]
+    return keys, at, np.stack([np.bincount(at, np.concatenate(c), keys.size) for c in counts]).astype(np.int64)
 
 
-STORED = "block long, rows binary, n_docs long, n_tokens long"
+STORED = "block long, rows binary, lengths binary, n_docs long, n_tokens long, n_words long"
 
 
-def _blocks(text_col: str, model: int, size: ModelSize):
-    """Rows packed in blocks, with their texts that have tokens. The last bit of a block's number tells its model."""
+def _blocks(text_col: str, size: ModelSize):
+    """Rows packed in blocks, with their numbers of tokens, their texts that have any, and their different words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         number, full = TaskContext.get().partitionId() << 32, 0
 
         def block() -> pa.RecordBatch:
-            sink, n = pa.BufferOutputStream(), [len(tokens(t)) for x in held for t in raw(x, text_col)]
+            sink, words, n = pa.BufferOutputStream(), set(), []
+            for found in (tokens(t) for x in held for t in raw(x, text_col)):
+                words.update(found)
+                n.append(len(found))
             with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as out:
                 out.write_table(pa.Table.from_batches(held).combine_chunks())
             held.clear()
-            return _table([(2 * number + model, sink.getvalue().to_pybytes(), sum(map(bool, n)), sum(n))], STORED).to_batches()[0]
+            return _table([(number, sink.getvalue().to_pybytes(), _pack(np.array(n, np.int64)), sum(map(bool, n)), sum(n), len(words))], STORED).to_batches()[0]
 
         for batch in batches:
             start = 0
@@ -149,7 +189,7 @@ def _table(rows: list[tuple], fields: str) -> pa.Table:
     return pa.table({name: pa.array(list(c), pa.binary() if kind == "binary" else pa.int64()) for c, (name, kind) in zip(cols, parts)})
 
 
-MESSAGE = "bucket long, block long, keys binary, n binary"
+MESSAGE = "bucket long, block long, words binary, n binary"
 
 
 def _word_messages(text_col: str, buckets: int):
@@ -164,76 +204,90 @@ def _word_messages(text_col: str, buckets: int):
     return run
 
 
-REPLY = "block long, bucket long, ids binary, background binary, target binary"
-NUMBERED = REPLY + ", vocabulary long, unknown_background long, unknown_target long"
+REPLY = "block long, bucket long, ids binary, n binary"
+NUMBERED = "block long, bucket long, ids binary, vocabulary long"
 
 
-def _number_words(buckets: int, size: ModelSize, allowed):
-    """A bucket's words: numbers of the vocabulary's and counts of all, told to each block that has them."""
+def _number_words(size: ModelSize, allowed):
+    """A bucket's words: numbers of the vocabulary's from 1, told to each block that has them."""
     def run(messages: pa.Table) -> pa.Table:
         rows, seen = messages.to_pylist(), {}
-        at = [np.array([seen.setdefault(w, len(seen)) for w in zlib.decompress(r["keys"]).split()], np.int64) for r in rows]
-        counts = np.zeros((2, len(seen)), np.int64)
+        at = [np.array([seen.setdefault(w, len(seen)) for w in zlib.decompress(r["words"]).split()], np.int64) for r in rows]
+        counts = np.zeros(len(seen), np.int64)
         for r, x in zip(rows, at):
-            counts[r["block"] & 1, x] += _unpack(r["n"])
-        known = counts[BACKGROUND] >= size.min_count
+            counts[x] += _unpack(r["n"])[0]
+        known = counts >= size.min_count
         if allowed is not None:
             known &= np.array([w in allowed.value for w in seen], bool)
-        ids, bucket = np.zeros(len(seen), np.int64), rows[0]["bucket"]
-        ids[known] = END + 1 + np.arange(known.sum()) * buckets + bucket
-        if ids.max(initial=0) >= 1 << 32:
-            raise ValueError("more words than 32 bits can number")
-        out = [(r["block"], bucket, _pack(ids[x], "<u4"), _pack(counts[0, x]), _pack(counts[1, x]), None, None, None) for r, x in zip(rows, at)]
-        out.append((-1, bucket, None, None, None, int(known.sum()), *(int(c[~known].sum()) for c in counts)))
-        return _table(out, NUMBERED)
+        numbers = np.where(known, np.cumsum(known), 0)
+        out = [(r["block"], rows[0]["bucket"], _pack(numbers[x]), None) for r, x in zip(rows, at)]
+        return _table([*out, (-1, rows[0]["bucket"], None, int(known.sum()))], NUMBERED)
 
     return run
 
 
-def _told(bucket: np.ndarray, replies: list[dict], column: str, kind: str = "<i8") -> np.ndarray:
-    """What the buckets tell a block of its words or pairs, in the block's order. Counters and blocks see words in the same order."""
-    out, told = np.zeros(bucket.size, np.int64), {r["bucket"]: r[column] for r in replies}
-    for k, part in _split(bucket):
-        out[part] = _unpack(told[k], kind)
+def _ids(words: list[bytes], told: list[dict], buckets: int) -> np.ndarray:
+    """Numbers in the whole vocabulary of a block's words. The counter and the block see words in the same order."""
+    out, packed = np.zeros(len(words), np.int64), {r["bucket"]: r["ids"] for r in told if r["ids"] is not None}
+    for k, part in _split(_word_bucket(words, buckets)):
+        number = _unpack(packed[k])[0]
+        out[part] = np.where(number > 0, END + 1 + (number - 1) * buckets + k, UNKNOWN)
     return out
 
 
-def _pair_messages(text_col: str, buckets: int):
+# What a block is told of its texts in the target comes like a word bucket's numbers, under this number.
+MARKS = -1
+
+
+def _marked(told: list[dict], n: int) -> np.ndarray:
+    out = np.zeros(n, bool)
+    for r in told:
+        if r["bucket"] == MARKS:
+            out[_unpack(r["ids"])[0]] = True
+    return out
+
+
+SUMS = "bucket long, block long, data binary"
+
+
+def _pair_messages(text_col: str, buckets: int, deal: PairKeys):
+    """Each key once: its distance from the one before, what the block counts of it in all and in marked texts."""
     def run(blocks: pa.Table, replies: pa.Table) -> pa.Table:
         out, told = [], replies.to_pylist()
         for r in blocks.to_pylist():
             b = Block(_texts(r["rows"], text_col))
-            keys, at = np.unique(_global_keys(b.pairs, _told(_word_bucket(b.words, buckets), told, "ids", "<u4")), return_inverse=True)
-            n = np.bincount(at, b.pair_counts, keys.size).astype(np.int64)
-            out += [(k, r["block"], _pack_keys(keys[part]), _pack(n[part])) for k, part in _split(_bucket(keys, buckets))]
-        return _table(out, MESSAGE)
+            keys, _, n = _block_sums(b, _ids(b.words, told, buckets), _marked(told, b.length.size), deal)
+            out += [(k, r["block"], _pack(np.diff(keys[s], prepend=deal.base(k)), n[0, s], n[1, s], plain=2)) for k, s in deal.spans(keys)]
+        return _table(out, SUMS)
 
     return run
 
 
-def _sum_pairs(messages: pa.Table) -> pa.Table:
-    """Counts of a bucket's pairs over all blocks, told to each block of texts to score in the order it sent them."""
-    rows = messages.to_pylist()
-    sent = [_unpack_keys(r["keys"]) for r in rows]
-    keys, at = np.unique(np.concatenate(sent), return_inverse=True)
-    n, model = np.concatenate([_unpack(r["n"]) for r in rows]), np.repeat(np.array([r["block"] & 1 for r in rows], np.int8), [x.size for x in sent])
-    counts = [np.bincount(at, np.where(model == m, n, 0), keys.size).astype(np.int64) for m in (BACKGROUND, TARGET)]
-    places = np.split(at, np.cumsum([x.size for x in sent])[:-1])
-    return _table([(r["block"], rows[0]["bucket"], None, _pack(counts[0][x]), _pack(counts[1][x]))
-                   for r, x in zip(rows, places) if r["block"] & 1 == BACKGROUND], REPLY)
+def _sum_pairs(deal: PairKeys):
+    """Counts of a bucket's pairs over all blocks, told to each block less its own in the order it sent them."""
+    def run(messages: pa.Table) -> pa.Table:
+        bucket, blocks = messages.column("bucket")[0].as_py(), messages.column("block").to_pylist()
+        sent = [_unpack(x.as_buffer().to_pybytes(), 3, plain=2) for x in messages.column("data")]
+        base = deal.base(bucket)
+        keys, at = np.unique(np.concatenate([np.cumsum(x[0].view(np.uint64), dtype=np.uint64) + base for x in sent]), return_inverse=True)
+        # Sums of whole numbers below 2**53: exact as doubles.
+        counts = [np.bincount(at, np.concatenate([x[m] for x in sent]), keys.size).astype(np.int64) for m in (1, 2)]
+        places = np.split(at, np.cumsum([len(x[0]) for x in sent])[:-1])
+        return _table([(block, bucket, None, _pack(counts[0][p] - x[1], counts[1][p] - x[2])) for block, p, x in zip(blocks, places, sent)], REPLY)
+
+    return run
 
 
 @dataclass(frozen=True)
 class Totals:
-    """What one number tells of each model: words in the vocabulary, texts, tokens, tokens outside the vocabulary."""
+    """What one number tells of each model: words in the vocabulary, texts, tokens."""
 
     vocabulary: int
     docs: tuple[int, int]
     tokens: tuple[int, int]
-    unknown: tuple[int, int]
 
 
-def _score(text_col: str, totals: Totals, buckets: int, size: ModelSize, schema: pa.Schema):
+def _score(text_col: str, totals: Totals, buckets: int, deal: PairKeys, size: ModelSize, schema: pa.Schema):
     whole = [t + 2 * d for t, d in zip(totals.tokens, totals.docs)]
     # The background's counts are scaled to the target's tokens, so both are smoothed alike.
     scale = ((whole[TARGET] / whole[BACKGROUND] if whole[BACKGROUND] else 0.0) or 1.0, 1.0)
@@ -241,26 +295,22 @@ def _score(text_col: str, totals: Totals, buckets: int, size: ModelSize, schema:
     def run(blocks: pa.Table, replies: pa.Table) -> pa.Table:
         told = replies.to_pylist()
         done = [schema.empty_table()]
-        for block, packed in zip(blocks.column("block").to_pylist(), blocks.column("rows").to_pylist()):
-            if block & 1 != BACKGROUND:
-                continue
+        for packed in blocks.column("rows").to_pylist():
             rows = pa.ipc.open_stream(packed).read_all().combine_chunks()
             b = Block([t for x in rows.to_batches() for t in raw(x, text_col)])
-            of_words, of_pairs = [r for r in told if r["ids"] is not None], [r for r in told if r["ids"] is None]
-            bucket = _word_bucket(b.words, buckets)
-            ids, *words = _told(bucket, of_words, "ids", "<u4"), _told(bucket, of_words, "background"), _told(bucket, of_words, "target")
-            keys, at = np.unique(_global_keys(b.pairs, ids), return_inverse=True)
-            bucket = _bucket(keys, buckets)
-            pairs = _told(bucket, of_pairs, "background"), _told(bucket, of_pairs, "target")
+            keys, at, n = _block_sums(b, _ids(b.words, told, buckets), _marked(told, b.length.size), deal)
+            of_pairs = {r["bucket"]: r["n"] for r in told if r["n"] is not None}
+            for k, s in deal.spans(keys):
+                n[:, s] += _unpack(of_pairs[k], 2)
+            pairs, words = n[:, at[:b.pairs.size]], n[:, at[b.pairs.size:]]
             doc, losses = np.repeat(b.doc, b.length[b.doc] + 1), {}
             for m in (BACKGROUND, TARGET):
-                known = np.where(ids == UNKNOWN, totals.unknown[m], words[m])
-                single = np.r_[totals.docs[m], totals.docs[m], known] * scale[m]
+                single = np.r_[totals.docs[m], totals.docs[m], words[m]] * scale[m]
                 first, second = single[b.pairs // single.size], single[b.pairs % single.size]
                 total = whole[m] * scale[m]
                 alone = (second + size.add) / (total + size.add * (totals.vocabulary + 3))
                 weight = np.where(first > 0, size.pair_weight, 0.0)
-                loss = -np.log(weight * pairs[m][at] * scale[m] / np.maximum(first, 1e-9) + (1 - weight) * alone)
+                loss = -np.log(weight * pairs[m] * scale[m] / np.maximum(first, 1e-9) + (1 - weight) * alone)
                 losses[m] = np.bincount(doc, loss[b.at], b.length.size) / (b.length + 1)
             none = b.length == 0
             for name, v in (("n_tokens", pa.array(b.length)), ("target_loss", pa.array(losses[TARGET], mask=none)),
@@ -286,16 +336,30 @@ def _most_frequent(docs: DataFrame, text_col: str, size: ModelSize):
     return docs.sparkSession.sparkContext.broadcast({bytes(r[0]) for r in top})
 
 
-def _target_texts(docs: DataFrame, target_ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    # Most documents outside the target are told by a filter of ids where they are read; only the others' texts go to the join.
-    bits = docs.sparkSession.sparkContext.broadcast(spot_filter(target_ids.where(F.col(id_col).isNotNull()), id_col))
+MARKED = "block long, bucket long, ids binary, n_docs long, n_tokens long"
+
 
-    def probable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _marks(stored: DataFrame, base: DataFrame, target_ids: DataFrame, id_col: str) -> DataFrame:
+    """Places of the texts in the target by block: ids travel, texts do not."""
+    id_type = base.schema[id_col].dataType
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield passing(batch, "_spot", bits.value).select([text_col, id_col])
+            for r in batch.to_pylist():
+                at = pa.ipc.open_stream(r["rows"]).schema.names.index(id_col)
+                ids = pa.ipc.open_stream(r["rows"], options=pa.ipc.IpcReadOptions(included_fields=[at])).read_all().combine_chunks()
+                n = _unpack(r["lengths"])[0]
+                found = pa.table([ids.column(0), pa.array(np.full(n.size, r["block"])), pa.array(np.arange(n.size)), pa.array(n)], ["_id", "_block", "_place", "_n"])
+                yield from found.filter(pa.array(n > 0)).to_batches()
+
+    def packed(found: pa.Table) -> pa.Table:
+        n = found.column("_n").to_numpy()
+        return _table([(found.column("_block")[0].as_py(), MARKS, _pack(np.sort(found.column("_place").to_numpy())), n.size, int(n.sum()))], MARKED)
 
-    near = docs.select(text_col, id_col, spot(F.col(id_col)).alias("_spot"))
-    return near.mapInArrow(probable, near.drop("_spot").schema).join(target_ids.select(id_col).distinct(), id_col, "left_semi").select(text_col)
+    ids = T.StructType([T.StructField("_id", id_type)] + T.StructType.fromDDL("_block long, _place long, _n long").fields)
+    targets = target_ids.select(F.col(id_col).alias("_id")).distinct()
+    return (stored.select("block", "rows", "lengths").mapInArrow(places, ids).join(targets, "_id", "left_semi")
+            .drop("_id").groupBy("_block").applyInArrow(packed, MARKED))
 
 
 def score_difference(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -303,7 +367,8 @@ def score_difference(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "d
     """``docs`` with n_tokens, target_loss, background_loss (nats a token) and their difference; lower is closer to the target.
 
     Interpolated two-word models over one vocabulary, all words found at least ``size.min_count`` times in the documents; other
-    words are one unknown. Counts of words and of pairs are exact and stay in tables. Documents are packed in blocks of a bounded size. A block
+    words are one unknown. Counts of words and of pairs are exact and stay in tables. Documents are packed in blocks of a bounded size, each
+    with marks for its texts in the target, so that both models are counted in one reading. A block
     sends each of its words, then each of its pairs, once to the bucket that sums it, and is told the sums in the order sent: so neither a
     frequent word nor a frequent pair makes more than a number for each block, and nothing but totals reaches the driver.
 
@@ -313,26 +378,30 @@ def score_difference(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "d
     """
     extra = T.StructType.fromDDL(FIELDS)
     base = without(docs, *extra.fieldNames())
-    target = _target_texts(base, target_ids, id_col, text_col)
-    stored = written(base.mapInArrow(_blocks(text_col, BACKGROUND, size), STORED)
-                     .union(target.mapInArrow(_blocks(text_col, TARGET, size), STORED)), "blocks")
-    sums = {r["model"]: r for r in stored.groupBy(F.col("block").bitwiseAND(1).alias("model"))
-            .agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).collect()}
-    every = lambda c: tuple(sums[m][c] if m in sums else 0 for m in (BACKGROUND, TARGET))
-    buckets = 1 + sum(every("n_tokens")) // size.bucket_tokens
+    stored = written(base.mapInArrow(_blocks(text_col, size), STORED), "blocks")
+    marks = written(_marks(stored, base, target_ids, id_col), "marks")
+    sums = [df.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols]).first()
+            for df, cols in ((stored, ("n_docs", "n_tokens", "n_words")), (marks, ("n_docs", "n_tokens")))]
+    buckets = 1 + sums[0]["n_tokens"] // size.bucket_tokens
+    # Words come as bytes and are held as objects: a fourth of the number for a bucket.
+    word_buckets = 1 + 4 * sums[0]["n_words"] // size.bucket_tokens
 
     allowed = None if size.words is None else _most_frequent(base, text_col, size)
     texts = stored.select("block", "rows")
-    numbered = written(texts.mapInArrow(_word_messages(text_col, buckets), MESSAGE)
-                       .groupBy("bucket").applyInArrow(_number_words(buckets, size, allowed), NUMBERED), "words")
-    t = numbered.where("block = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("vocabulary", "unknown_background", "unknown_target")]).first()
-    totals = Totals(t[0], every("n_docs"), every("n_tokens"), (t[1], t[2]))
-    words = numbered.where("block >= 0").select("block", "bucket", "ids", "background", "target")
+    numbered = written(texts.mapInArrow(_word_messages(text_col, word_buckets), MESSAGE)
+                       .groupBy("bucket").applyInArrow(_number_words(size, allowed), NUMBERED), "words")
+    t = numbered.where("block = -1").agg(F.coalesce(F.sum("vocabulary"), F.lit(0)), F.coalesce(F.max("vocabulary"), F.lit(0))).first()
+    totals = Totals(t[0], tuple(x["n_docs"] for x in sums), tuple(x["n_tokens"] for x in sums))
+    largest = END + t[1] * word_buckets
+    if largest >= 1 << 32:
+        raise ValueError("more words than 32 bits can number")
+    deal = PairKeys.of(largest, buckets)
+    words = numbered.where("block >= 0").select("block", "bucket", "ids").union(marks.select("block", "bucket", "ids"))
 
     # The blocks are dealt out once: both steps name the same exchange of ``texts``, and Spark makes it a single one.
-    pairs = (texts.groupBy("block").cogroup(words.select("block", "bucket", "ids").groupBy("block"))
-             .applyInArrow(_pair_messages(text_col, buckets), MESSAGE).groupBy("bucket").applyInArrow(_sum_pairs, REPLY))
-    told = words.where(F.col("block").bitwiseAND(1) == BACKGROUND).union(pairs)
+    pairs = (texts.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(_pair_messages(text_col, word_buckets, deal), SUMS)
+             .groupBy("bucket").applyInArrow(_sum_pairs(deal), REPLY))
+    told = words.withColumn("n", F.lit(None).cast("binary")).union(pairs)
     schema = T.StructType(base.schema.fields + extra.fields)
     return (texts.groupBy("block").cogroup(told.groupBy("block"))
-            .applyInArrow(_score(text_col, totals, buckets, size, to_arrow_schema(schema)), schema))
+            .applyInArrow(_score(text_col, totals, word_buckets, deal, size, to_arrow_schema(schema)), schema))

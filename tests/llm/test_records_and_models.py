@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from skygrid.llm import crf, divergence_rules, quality_crf
 from skygrid.llm.chat_events import chat_events, digest_conversations, fold_events, read_piece, render
-from skygrid.llm.common import table
+from skygrid.llm.common import table, written
 from skygrid.llm.lm_difference import ModelSize, score_difference
 from skygrid.llm.warc import VERSION, assemble_captures, read_archives, write_archives
 
@@ -299,3 +299,62 @@ def test_a_block_holds_a_word_once():
     tracemalloc.stop()
     assert len(b.words) == 50 and b.word_counts.sum() == 300_000 and int(b.pair_counts.sum()) == 150 * 2001
     assert peak < 80 * 300_000
+
+
+def test_targets_are_marked_in_blocks_and_counted_in_one_reading(spark, monkeypatch):
+    """Repeated, null and text ids over many blocks and buckets; a text in the target is held and dealt out once, not for each model."""
+    from skygrid.llm import lm_difference
+
+    rng, held = random.Random(11), {}
+    monkeypatch.setattr(lm_difference, "written", lambda df, name: held.setdefault(name, written(df, name)))
+    words = [f"w{k}" for k in range(3000)]
+    rows = [(rng.choice([None, *(f"id{j}" for j in range(250))]), " ".join(rng.choices(words, [1 / (j + 1) for j in range(3000)], k=rng.randint(0, 60)))) for _ in range(400)]
+    targets = [f"id{j}" for j in range(0, 250, 2)]
+    docs, wanted = spark.createDataFrame(rows, "doc_id string, text string"), spark.createDataFrame([(x,) for x in [*targets, targets[0], None, "other"]], "doc_id string")
+    got = lm_difference.score_difference(docs, wanted, size=ModelSize(block_bytes=2000, bucket_tokens=300)).collect()
+    assert held["blocks"].count() > 30 and held["blocks"].agg(F.sum("n_docs")).first()[0] == sum(bool(t) for _, t in rows)
+    assert len(got) == len(rows)
+
+    count = Counter(w for _, t in rows for w in t.split())
+    line = lambda t: ["<s>", *[w if count[w] > 1 else "<unk>" for w in t.split()], "</s>"]
+    use = [[line(t) for _, t in rows if t], [line(t) for i, t in rows if t and i in targets]]
+    single, pair = [Counter(w for t in u for w in t) for u in use], [Counter(p for t in u for p in itertools.pairwise(t)) for u in use]
+    scale, v = (sum(single[1].values()) / sum(single[0].values()), 1.0), sum(n > 1 for n in count.values()) + 3
+
+    def loss(x, m):
+        one = [(scale[m] * single[m][b] + 0.5) / (scale[m] * sum(single[m].values()) + 0.5 * v) for b in x[1:]]
+        return -sum(math.log(0.7 * pair[m][a, b] / single[m][a] + 0.3 * p if single[m][a] else p) for a, b, p in zip(x, x[1:], one)) / (len(x) - 1)
+
+    want = sorted((i or "", t, loss(line(t), 0), loss(line(t), 1)) for i, t in rows if t)
+    for r, (i, t, all_texts, target) in zip(sorted((r for r in got if r.text), key=lambda r: (r.doc_id or "", r.text)), want, strict=True):
+        assert (r.doc_id or "", r.text, r.n_tokens) == (i, t, len(t.split()))
+        assert r.background_loss == pytest.approx(all_texts, rel=1e-9) and r.target_loss == pytest.approx(target, rel=1e-9)
+
+
+def test_pairs_take_the_same_room_in_many_buckets():
+    """More buckets come with a larger corpus: what a block sends them and hears from them must not grow with their number."""
+    from skygrid.llm.lm_difference import PairKeys, _pack, _unpack
+
+    every = np.arange(64)
+    assert np.unique(PairKeys(6, 1).keys(np.repeat(every, 64), np.tile(every, 64))).size == 64 * 64
+    rng, room = np.random.default_rng(2), {}
+    pairs = np.unique(rng.zipf(1.2, 400_000) % 1_000_000 * 1_000_000 + rng.zipf(1.2, 400_000) % 1_000_000)
+    n = rng.zipf(1.5, pairs.size) % 500
+    for buckets in (20, 1200):
+        deal = PairKeys.of(1_000_000, buckets)
+        order = np.argsort(keys := deal.keys(pairs // 1_000_000, pairs % 1_000_000))
+        keys, sent = keys[order], []
+        for k, s in deal.spans(keys):
+            sent.append(_pack(np.diff(keys[s], prepend=deal.base(k)), n[s], n[s], plain=2))
+            distance, one, two = _unpack(sent[-1], 3, plain=2)
+            assert (np.cumsum(distance.view(np.uint64), dtype=np.uint64) + deal.base(k) == keys[s]).all() and (one == n[s]).all() and (two == n[s]).all()
+        assert len(sent) == buckets
+        room[buckets] = sum(map(len, sent))
+    assert room[1200] < 1.2 * room[20]
+    for bits, buckets in ((16, 3), (32, 7919)):
+        deal = PairKeys(bits, buckets)
+        keys = np.sort(deal.keys(rng.integers(0, 1 << bits, 50_000), rng.integers(0, 1 << bits, 50_000)))
+        found = list(deal.spans(keys))
+        assert [s.stop for _, s in found] == [*[s.start for _, s in found[1:]], keys.size] and len({k for k, _ in found}) == len(found)
+        assert all(deal.base(k) <= keys[s][0] for k, s in found) and all(keys[s][-1] < deal.base(k + 1) for k, s in found if k + 1 < buckets)
+    assert _unpack(_pack(np.zeros(0, np.int64), np.zeros(0, np.int64)), 2)[1].size == 0
