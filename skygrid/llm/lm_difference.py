@@ -78,36 +78,79 @@ def _word_bucket(words: list[bytes], buckets: int) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
 
 
+def _folded(x: np.ndarray) -> np.ndarray:
+    """Whole numbers without a sign: 0, -1, 1, -2 as 0, 1, 2, 3."""
+    return np.where(x < 0, -2 * x - 1, 2 * x)
+
+
+def _unfolded(x: np.ndarray) -> np.ndarray:
+    return (x >> 1) ^ -(x & 1)
+
+
 @dataclass(frozen=True)
 class PairKeys:
-    """Pairs of vocabulary numbers as scattered numbers of 2 * ``bits`` bits, no two alike, dealt to ``buckets`` in their order.
+    """Pairs of vocabulary numbers as scattered numbers, no two alike, dealt to ``buckets`` in their order.
 
     A block's keys in a bucket lie as close as all its keys do, however many buckets there are: so their differences take no more room
-    when a larger corpus needs more buckets."""
+    when a larger corpus needs more buckets. Numbers below 2**common, those of frequent words, take that many bits, others ``bits``: a
+    pair is of one of four kinds, told by the highest two bits of its key, and scattered over the room of its kind."""
 
     bits: int
+    common: int
     buckets: int
 
     @classmethod
-    def of(cls, largest: int, buckets: int) -> PairKeys:
-        return cls(max(16, largest.bit_length()), buckets)
+    def of(cls, largest: int, word_buckets: int, buckets: int) -> PairKeys:
+        bits = largest.bit_length()
+        if bits > 31:
+            raise ValueError("more words than 31 bits can number")
+        # Every bucket of words numbers its most frequent first.
+        return cls(max(2, bits), min(max(2, bits), max(12, (4 * word_buckets).bit_length())), buckets)
+
+    def _width(self, kind: np.ndarray) -> np.ndarray:
+        return np.array([2 * self.common, self.common + self.bits, self.bits + self.common, 2 * self.bits], np.uint64)[kind]
 
     def keys(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        bits, all_bits = np.uint64(self.bits), np.uint64((1 << 2 * self.bits) - 1)
+        kind = 2 * (first >> self.common > 0) + (second >> self.common > 0)
+        width = self._width(kind)
+        mask = (np.uint64(1) << width) - np.uint64(1)
+        x = (first.astype(np.uint64) << np.where(kind & 1, self.bits, self.common).astype(np.uint64)) | second.astype(np.uint64)
         # Multiplied by odd numbers and folded: each step can be undone, so different pairs stay different.
-        x = (((first.astype(np.uint64) << bits) | second.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)) & all_bits
-        return ((x ^ (x >> bits)) * np.uint64(0x94D049BB133111EB)) & all_bits
+        x = (x * np.uint64(0xBF58476D1CE4E5B9)) & mask
+        return (kind.astype(np.uint64) << np.uint64(62)) | (((x ^ (x >> (width >> np.uint64(1)))) * np.uint64(0x94D049BB133111EB)) & mask)
+
+    @staticmethod
+    def kinds(keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(62)).astype(np.int64)
+
+    def bucket(self, keys: np.ndarray) -> np.ndarray:
+        high = ((keys & np.uint64((1 << 62) - 1)) << (np.uint64(64) - self._width(self.kinds(keys)))) >> np.uint64(32)
+        return ((high * np.uint64(self.buckets)) >> np.uint64(32)).astype(np.int64)
+
+    def _base(self, bucket: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Numbers no larger than any key of a kind in a bucket."""
+        return (((bucket.astype(np.uint64) << np.uint64(32)) // np.uint64(self.buckets)) << np.uint64(32)) >> (np.uint64(64) - self._width(kind))
 
     def spans(self, keys: np.ndarray) -> Iterator[tuple[int, slice]]:
-        """Each bucket that occurs with the place of its keys, of all sorted ones."""
-        bucket = ((keys >> np.uint64(2 * self.bits - 32)) * np.uint64(self.buckets)) >> np.uint64(32)
-        starts = np.flatnonzero(np.diff(bucket, prepend=np.uint64(self.buckets)))
+        """Each bucket that occurs with the place of its keys, of all keys sorted by bucket."""
+        bucket = self.bucket(keys)
+        starts = np.flatnonzero(np.diff(bucket, prepend=-1))
         for k, start, end in zip(bucket[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), keys.size]):
             yield k, slice(start, end)
 
-    def base(self, bucket: int) -> np.uint64:
-        """A number no larger than any key of a bucket."""
-        return np.uint64(((bucket << 32) // self.buckets) << (2 * self.bits - 32))
+    def distances(self, keys: np.ndarray) -> np.ndarray:
+        """From the key before, of keys sorted by bucket, kind and number; the first of a kind in a bucket from the base."""
+        bucket, kind, x = self.bucket(keys), self.kinds(keys), keys & np.uint64((1 << 62) - 1)
+        out = np.diff(x, prepend=np.uint64(0))
+        first = np.flatnonzero(np.diff(4 * bucket + kind, prepend=-1))
+        out[first] = x[first] - self._base(bucket[first], kind[first])
+        return out
+
+    def restored(self, bucket: int, distances: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """A bucket's keys."""
+        sums, first = np.cumsum(distances.view(np.uint64), dtype=np.uint64), np.flatnonzero(np.diff(kind, prepend=-1))
+        start = self._base(np.full(first.size, bucket), kind[first]) - np.where(first > 0, sums[first - 1], np.uint64(0))
+        return (kind.astype(np.uint64) << np.uint64(62)) | (sums + np.repeat(start, np.diff(first, append=kind.size)))
 
 
 class Block:
@@ -137,12 +180,16 @@ def _texts(packed: bytes, text_col: str) -> list[bytes]:
 
 
 def _block_sums(b: Block, ids: np.ndarray, marked: np.ndarray, deal: PairKeys) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A block's keys with their places for each of its pairs, then words, and what it counts of each in all and in the marked texts.
+    """A block's keys by bucket with their places for each of its pairs, then words, and what it counts of each in all and in the marked texts.
 
     A word alone is the pair of it and the start, which no text has: counts of words are summed and told like those of pairs."""
     v, ids = len(b.words) + 2, np.r_[START, END, ids]
     first, second = np.divmod(b.pairs, v)
     keys, at = np.unique(deal.keys(np.r_[ids[first], ids[2:]], np.r_[ids[second], np.full(v - 2, START)]), return_inverse=True)
+    order = np.argsort(deal.bucket(keys), kind="stable")
+    place = np.empty_like(order)
+    place[order] = np.arange(order.size)
+    keys, at = keys[order], place[at]
     mine = np.bincount(b.at[np.repeat(marked[b.doc], b.length[b.doc] + 1)], minlength=b.pairs.size)
     counts = [(b.pair_counts, b.word_counts), (mine, np.bincount(second, mine, v)[2:])]
     return keys, at, np.stack([np.bincount(at, np.concatenate(c), keys.size) for c in counts]).astype(np.int64)
@@ -162,7 +209,7 @@ def _blocks(text_col: str, size: ModelSize):
             for found in (tokens(t) for x in held for t in raw(x, text_col)):
                 words.update(found)
                 n.append(len(found))
-            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as out:
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as out:
                 out.write_table(pa.Table.from_batches(held).combine_chunks())
             held.clear()
             return _table([(number, sink.getvalue().to_pybytes(), _pack(np.array(n, np.int64)), sum(map(bool, n)), sum(n), len(words))], STORED).to_batches()[0]
@@ -209,7 +256,7 @@ NUMBERED = "block long, bucket long, ids binary, vocabulary long"
 
 
 def _number_words(size: ModelSize, allowed):
-    """A bucket's words: numbers of the vocabulary's from 1, told to each block that has them."""
+    """A bucket's words: numbers of the vocabulary's from 1, frequent ones first, told to each block that has them."""
     def run(messages: pa.Table) -> pa.Table:
         rows, seen = messages.to_pylist(), {}
         at = [np.array([seen.setdefault(w, len(seen)) for w in zlib.decompress(r["words"]).split()], np.int64) for r in rows]
@@ -219,7 +266,9 @@ def _number_words(size: ModelSize, allowed):
         known = counts >= size.min_count
         if allowed is not None:
             known &= np.array([w in allowed.value for w in seen], bool)
-        numbers = np.where(known, np.cumsum(known), 0)
+        numbers = np.zeros(len(seen), np.int64)
+        numbers[np.argsort(np.where(known, -counts, 0), kind="stable")] = np.arange(1, len(seen) + 1)
+        numbers[~known] = 0
         out = [(r["block"], rows[0]["bucket"], _pack(numbers[x]), None) for r, x in zip(rows, at)]
         return _table([*out, (-1, rows[0]["bucket"], None, int(known.sum()))], NUMBERED)
 
@@ -257,27 +306,13 @@ def _pair_messages(text_col: str, buckets: int, deal: PairKeys):
         for r in blocks.to_pylist():
             b = Block(_texts(r["rows"], text_col))
             keys, _, n = _block_sums(b, _ids(b.words, told, buckets), _marked(told, b.length.size), deal)
-            out += [(k, r["block"], _pack(np.diff(keys[s], prepend=deal.base(k)), n[0, s], n[1, s], plain=2)) for k, s in deal.spans(keys)]
+            distances, kinds = deal.distances(keys), deal.kinds(keys)
+            out += [(k, r["block"], _pack(distances[s], kinds[s], n[0, s], n[1, s], plain=1)) for k, s in deal.spans(keys)]
         return _table(out, SUMS)
 
     return run
 
 
-def _sum_pairs(deal: PairKeys):
-    """Counts of a bucket's pairs over all blocks, told to each block less its own in the order it sent them."""
-    def run(messages: pa.Table) -> pa.Table:
-        bucket, blocks = messages.column("bucket")[0].as_py(), messages.column("block").to_pylist()
-        sent = [_unpack(x.as_buffer().to_pybytes(), 3, plain=2) for x in messages.column("data")]
-        base = deal.base(bucket)
-        keys, at = np.unique(np.concatenate([np.cumsum(x[0].view(np.uint64), dtype=np.uint64) + base for x in sent]), return_inverse=True)
-        # Sums of whole numbers below 2**53: exact as doubles.
-        counts = [np.bincount(at, np.concatenate([x[m] for x in sent]), keys.size).astype(np.int64) for m in (1, 2)]
-        places = np.split(at, np.cumsum([len(x[0]) for x in sent])[:-1])
-        return _table([(block, bucket, None, _pack(counts[0][p] - x[1], counts[1][p] - x[2])) for block, p, x in zip(blocks, places, sent)], REPLY)
-
-    return run
-
-
 @dataclass(frozen=True)
 class Totals:
     """What one number tells of each model: words in the vocabulary, texts, tokens."""
@@ -287,6 +322,30 @@ class Totals:
     tokens: tuple[int, int]
 
 
+def _expected(n: np.ndarray, totals: Totals) -> np.ndarray:
+    """Of counts in all texts, about what the target's share of tokens has of them."""
+    return (n * round((totals.tokens[TARGET] << 16) / max(1, totals.tokens[BACKGROUND]))) >> 16
+
+
+def _sum_pairs(totals: Totals, deal: PairKeys):
+    """Counts of a bucket's pairs over all blocks, told to each block less its own in the order it sent them, the target's from what
+    is expected."""
+    def run(messages: pa.Table) -> pa.Table:
+        bucket, blocks = messages.column("bucket")[0].as_py(), messages.column("block").to_pylist()
+        sent = [_unpack(x.as_buffer().to_pybytes(), 4, plain=1) for x in messages.column("data")]
+        keys, at = np.unique(np.concatenate([deal.restored(bucket, *x[:2]) for x in sent]), return_inverse=True)
+        # Sums of whole numbers below 2**53: exact as doubles.
+        counts = [np.bincount(at, np.concatenate([x[m] for x in sent]), keys.size).astype(np.int64) for m in (2, 3)]
+        out, end = [], 0
+        for block, x in zip(blocks, sent):
+            start, end = end, end + len(x[0])
+            rest, target = (c[at[start:end]] - own for c, own in zip(counts, x[2:]))
+            out.append((block, bucket, None, _pack(rest, _folded(target - _expected(rest, totals)))))
+        return _table(out, REPLY)
+
+    return run
+
+
 def _score(text_col: str, totals: Totals, buckets: int, deal: PairKeys, size: ModelSize, schema: pa.Schema):
     whole = [t + 2 * d for t, d in zip(totals.tokens, totals.docs)]
     # The background's counts are scaled to the target's tokens, so both are smoothed alike.
@@ -301,7 +360,8 @@ def _score(text_col: str, totals: Totals, buckets: int, deal: PairKeys, size: Mo
             keys, at, n = _block_sums(b, _ids(b.words, told, buckets), _marked(told, b.length.size), deal)
             of_pairs = {r["bucket"]: r["n"] for r in told if r["n"] is not None}
             for k, s in deal.spans(keys):
-                n[:, s] += _unpack(of_pairs[k], 2)
+                rest, target = _unpack(of_pairs[k], 2)
+                n[:, s] += rest, _unfolded(target) + _expected(rest, totals)
             pairs, words = n[:, at[:b.pairs.size]], n[:, at[b.pairs.size:]]
             doc, losses = np.repeat(b.doc, b.length[b.doc] + 1), {}
             for m in (BACKGROUND, TARGET):
@@ -341,12 +401,11 @@ MARKED = "block long, bucket long, ids binary, n_docs long, n_tokens long"
 
 def _marks(stored: DataFrame, base: DataFrame, target_ids: DataFrame, id_col: str) -> DataFrame:
     """Places of the texts in the target by block: ids travel, texts do not."""
-    id_type = base.schema[id_col].dataType
+    at = [c.lower() for c in base.columns].index(id_col.lower())
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                at = pa.ipc.open_stream(r["rows"]).schema.names.index(id_col)
                 ids = pa.ipc.open_stream(r["rows"], options=pa.ipc.IpcReadOptions(included_fields=[at])).read_all().combine_chunks()
                 n = _unpack(r["lengths"])[0]
                 found = pa.table([ids.column(0), pa.array(np.full(n.size, r["block"])), pa.array(np.arange(n.size)), pa.array(n)], ["_id", "_block", "_place", "_n"])
@@ -356,7 +415,7 @@ def _marks(stored: DataFrame, base: DataFrame, target_ids: DataFrame, id_col: st
         n = found.column("_n").to_numpy()
         return _table([(found.column("_block")[0].as_py(), MARKS, _pack(np.sort(found.column("_place").to_numpy())), n.size, int(n.sum()))], MARKED)
 
-    ids = T.StructType([T.StructField("_id", id_type)] + T.StructType.fromDDL("_block long, _place long, _n long").fields)
+    ids = T.StructType([T.StructField("_id", base.schema[at].dataType)] + T.StructType.fromDDL("_block long, _place long, _n long").fields)
     targets = target_ids.select(F.col(id_col).alias("_id")).distinct()
     return (stored.select("block", "rows", "lengths").mapInArrow(places, ids).join(targets, "_id", "left_semi")
             .drop("_id").groupBy("_block").applyInArrow(packed, MARKED))
@@ -392,15 +451,12 @@ def score_difference(docs: DataFrame, target_ids: DataFrame, *, id_col: str = "d
                        .groupBy("bucket").applyInArrow(_number_words(size, allowed), NUMBERED), "words")
     t = numbered.where("block = -1").agg(F.coalesce(F.sum("vocabulary"), F.lit(0)), F.coalesce(F.max("vocabulary"), F.lit(0))).first()
     totals = Totals(t[0], tuple(x["n_docs"] for x in sums), tuple(x["n_tokens"] for x in sums))
-    largest = END + t[1] * word_buckets
-    if largest >= 1 << 32:
-        raise ValueError("more words than 32 bits can number")
-    deal = PairKeys.of(largest, buckets)
+    deal = PairKeys.of(END + t[1] * word_buckets, word_buckets, buckets)
     words = numbered.where("block >= 0").select("block", "bucket", "ids").union(marks.select("block", "bucket", "ids"))
 
     # The blocks are dealt out once: both steps name the same exchange of ``texts``, and Spark makes it a single one.
     pairs = (texts.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(_pair_messages(text_col, word_buckets, deal), SUMS)
-             .groupBy("bucket").applyInArrow(_sum_pairs(deal), REPLY))
+             .groupBy("bucket").applyInArrow(_sum_pairs(totals, deal), REPLY))
     told = words.withColumn("n", F.lit(None).cast("binary")).union(pairs)
     schema = T.StructType(base.schema.fields + extra.fields)
     return (texts.groupBy("block").cogroup(told.groupBy("block"))

@@ -333,28 +333,34 @@ def test_targets_are_marked_in_blocks_and_counted_in_one_reading(spark, monkeypa
 
 def test_pairs_take_the_same_room_in_many_buckets():
     """More buckets come with a larger corpus: what a block sends them and hears from them must not grow with their number."""
-    from skygrid.llm.lm_difference import PairKeys, _pack, _unpack
+    from skygrid.llm.lm_difference import PairKeys, _folded, _pack, _unfolded, _unpack
 
     every = np.arange(64)
-    assert np.unique(PairKeys(6, 1).keys(np.repeat(every, 64), np.tile(every, 64))).size == 64 * 64
+    assert np.unique(PairKeys(6, 3, 1).keys(np.repeat(every, 64), np.tile(every, 64))).size == 64 * 64
     rng, room = np.random.default_rng(2), {}
-    pairs = np.unique(rng.zipf(1.2, 400_000) % 1_000_000 * 1_000_000 + rng.zipf(1.2, 400_000) % 1_000_000)
+    words = np.minimum(rng.zipf(1.2, (2, 400_000)), 999_999)
+    pairs = np.unique(words[0] * 1_000_000 + words[1])
     n = rng.zipf(1.5, pairs.size) % 500
-    for buckets in (20, 1200):
-        deal = PairKeys.of(1_000_000, buckets)
-        order = np.argsort(keys := deal.keys(pairs // 1_000_000, pairs % 1_000_000))
-        keys, sent = keys[order], []
+    for buckets in (20, 600):
+        deal = PairKeys.of(1_000_000, 25, buckets)
+        keys, sent = np.sort(deal.keys(pairs // 1_000_000, pairs % 1_000_000)), []
+        assert np.unique(keys).size == keys.size and set(deal.kinds(keys)) == {0, 1, 2, 3}
+        keys = keys[np.argsort(deal.bucket(keys), kind="stable")]
+        distances, kinds = deal.distances(keys), deal.kinds(keys)
         for k, s in deal.spans(keys):
-            sent.append(_pack(np.diff(keys[s], prepend=deal.base(k)), n[s], n[s], plain=2))
-            distance, one, two = _unpack(sent[-1], 3, plain=2)
-            assert (np.cumsum(distance.view(np.uint64), dtype=np.uint64) + deal.base(k) == keys[s]).all() and (one == n[s]).all() and (two == n[s]).all()
+            sent.append(_pack(distances[s], kinds[s], n[s], plain=1))
+            distance, kind, count = _unpack(sent[-1], 3, plain=1)
+            assert (deal.restored(k, distance, kind) == keys[s]).all() and (count == n[s]).all()
         assert len(sent) == buckets
         room[buckets] = sum(map(len, sent))
-    assert room[1200] < 1.2 * room[20]
-    for bits, buckets in ((16, 3), (32, 7919)):
-        deal = PairKeys(bits, buckets)
-        keys = np.sort(deal.keys(rng.integers(0, 1 << bits, 50_000), rng.integers(0, 1 << bits, 50_000)))
-        found = list(deal.spans(keys))
+    assert room[600] < 1.35 * room[20]
+    for bits, common, buckets in ((5, 2, 3), (16, 12, 3), (31, 13, 7919), (31, 31, 100)):
+        deal = PairKeys(bits, common, buckets)
+        keys = np.unique(deal.keys(*(rng.integers(0, 1 << np.array([common, bits])[rng.integers(0, 2, 50_000)]) for _ in range(2))))
+        keys = keys[np.argsort(deal.bucket(keys), kind="stable")]
+        found, distances = list(deal.spans(keys)), deal.distances(keys)
         assert [s.stop for _, s in found] == [*[s.start for _, s in found[1:]], keys.size] and len({k for k, _ in found}) == len(found)
-        assert all(deal.base(k) <= keys[s][0] for k, s in found) and all(keys[s][-1] < deal.base(k + 1) for k, s in found if k + 1 < buckets)
+        assert all((deal.restored(k, distances[s], deal.kinds(keys[s])) == keys[s]).all() for k, s in found)
     assert _unpack(_pack(np.zeros(0, np.int64), np.zeros(0, np.int64)), 2)[1].size == 0
+    odd = np.arange(-50, 50)
+    assert (_unfolded(_folded(odd)) == odd).all() and _folded(odd).min() == 0
