@@ -102,10 +102,10 @@ class PairKeys:
     @classmethod
     def of(cls, largest: int, word_buckets: int, buckets: int) -> PairKeys:
         bits = largest.bit_length()
-        if bits > 31:
-            raise ValueError("more words than 31 bits can number")
-        # Every bucket of words numbers its most frequent first.
-        return cls(max(2, bits), min(max(2, bits), max(12, (4 * word_buckets).bit_length())), buckets)
+        if bits > 32:
+            raise ValueError("more words than 32 bits can number")
+        # Every bucket of words numbers its most frequent first. Numbers of 32 bits leave no room for a kind: all are of the first.
+        return cls(max(2, bits), bits if bits == 32 else min(max(2, bits), max(12, (4 * word_buckets).bit_length())), buckets)
 
     def _width(self, kind: np.ndarray) -> np.ndarray:
         return np.array([2 * self.common, self.common + self.bits, self.bits + self.common, 2 * self.bits], np.uint64)[kind]
@@ -119,12 +119,14 @@ class PairKeys:
         x = (x * np.uint64(0xBF58476D1CE4E5B9)) & mask
         return (kind.astype(np.uint64) << np.uint64(62)) | (((x ^ (x >> (width >> np.uint64(1)))) * np.uint64(0x94D049BB133111EB)) & mask)
 
-    @staticmethod
-    def kinds(keys: np.ndarray) -> np.ndarray:
-        return (keys >> np.uint64(62)).astype(np.int64)
+    def kinds(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(62)).astype(np.int64) if self.common < self.bits else np.zeros(keys.size, np.int64)
+
+    def _within(self, keys: np.ndarray) -> np.ndarray:
+        return keys & np.uint64((1 << 62) - 1) if self.common < self.bits else keys
 
     def bucket(self, keys: np.ndarray) -> np.ndarray:
-        high = ((keys & np.uint64((1 << 62) - 1)) << (np.uint64(64) - self._width(self.kinds(keys)))) >> np.uint64(32)
+        high = (self._within(keys) << (np.uint64(64) - self._width(self.kinds(keys)))) >> np.uint64(32)
         return ((high * np.uint64(self.buckets)) >> np.uint64(32)).astype(np.int64)
 
     def _base(self, bucket: np.ndarray, kind: np.ndarray) -> np.ndarray:
@@ -140,7 +142,7 @@ class PairKeys:
 
     def distances(self, keys: np.ndarray) -> np.ndarray:
         """From the key before, of keys sorted by bucket, kind and number; the first of a kind in a bucket from the base."""
-        bucket, kind, x = self.bucket(keys), self.kinds(keys), keys & np.uint64((1 << 62) - 1)
+        bucket, kind, x = self.bucket(keys), self.kinds(keys), self._within(keys)
         out = np.diff(x, prepend=np.uint64(0))
         first = np.flatnonzero(np.diff(4 * bucket + kind, prepend=-1))
         out[first] = x[first] - self._base(bucket[first], kind[first])

@@ -354,13 +354,18 @@ def test_pairs_take_the_same_room_in_many_buckets():
         assert len(sent) == buckets
         room[buckets] = sum(map(len, sent))
     assert room[600] < 1.35 * room[20]
-    for bits, common, buckets in ((5, 2, 3), (16, 12, 3), (31, 13, 7919), (31, 31, 100)):
+    for bits, common, buckets in ((5, 2, 3), (16, 12, 3), (31, 13, 7919), (31, 31, 100), (32, 32, 100)):
         deal = PairKeys(bits, common, buckets)
-        keys = np.unique(deal.keys(*(rng.integers(0, 1 << np.array([common, bits])[rng.integers(0, 2, 50_000)]) for _ in range(2))))
+        first, second = (rng.integers(0, 1 << np.array([common, bits])[rng.integers(0, 2, 50_000)]) for _ in range(2))
+        keys = np.unique(deal.keys(first, second))
+        assert keys.size == len(set(zip(first.tolist(), second.tolist())))
         keys = keys[np.argsort(deal.bucket(keys), kind="stable")]
         found, distances = list(deal.spans(keys)), deal.distances(keys)
         assert [s.stop for _, s in found] == [*[s.start for _, s in found[1:]], keys.size] and len({k for k, _ in found}) == len(found)
         assert all((deal.restored(k, distances[s], deal.kinds(keys[s])) == keys[s]).all() for k, s in found)
     assert _unpack(_pack(np.zeros(0, np.int64), np.zeros(0, np.int64)), 2)[1].size == 0
+    assert PairKeys.of((1 << 32) - 1, 9, 9) == PairKeys(32, 32, 9) and PairKeys.of((1 << 31) - 1, 9, 9) == PairKeys(31, 12, 9)
+    with pytest.raises(ValueError):
+        PairKeys.of(1 << 32, 9, 9)
     odd = np.arange(-50, 50)
     assert (_unfolded(_folded(odd)) == odd).all() and _folded(odd).min() == 0
